@@ -20,6 +20,9 @@ class Tables:
     """Attribute access to the tables of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from rivulet.session import ensure_utc
+
+        ensure_utc(spark)
         self.spark = spark
         self.sf_dir = sf_dir
 
