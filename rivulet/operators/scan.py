@@ -125,8 +125,26 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     make rows unique within a key (end with an id). `keys=()` scans the
     whole table in one order. Output types: count → bigint, max → double,
     sum → bigint for bigint input else double, last → input type."""
+    from pyspark.sql.types import DecimalType
+
     spark = df.sparkSession
     keys, order, specs = list(keys), list(order), list(specs)
+    # decimal sums run exactly on unscaled longs and are scaled back after
+    dec = {s.out: df.schema[s.value].dataType for s in specs
+           if s.how == "sum" and isinstance(df.schema[s.value].dataType, DecimalType)}
+    if dec:
+        orig_cols = df.columns
+        for s in specs:
+            if s.out in dec:
+                df = df.withColumn(f"_unscaled_{s.out}",
+                                   (F.col(s.value) * (10 ** dec[s.out].scale)).cast("bigint"))
+        specs_in = [Running(f"_unscaled_{s.out}", s.how, s.out, s.inclusive) if s.out in dec else s
+                    for s in specs]
+        res = keyed_scan(df, keys, order, specs_in, num_partitions)
+        fixed = [(F.col(s.out).cast(DecimalType(38, dec[s.out].scale)) / (10 ** dec[s.out].scale))
+                 .cast(DecimalType(38, dec[s.out].scale)).alias(s.out) if s.out in dec else F.col(s.out)
+                 for s in specs]
+        return res.select(*orig_cols, *fixed)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + order]) \
                .sortWithinPartitions(*(keys + order))
