@@ -10,10 +10,26 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+# Fact tables whose rows carry real per-row work (text, events, line items).
+FACT_TABLES = ("documents", "pages", "conversations", "lineitem", "orders", "events", "embeddings")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a fact table at least one input split per core. A Parquet file
+    is split by row group; a file written as one row group is read by one
+    task, and everything up to the first shuffle would run on one core. In
+    that case (only) the rows are dealt round robin to all cores. On a
+    cluster the tables span many files and splits, and this is a no-op."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions()
+    return df.repartition(par) if n < par else df
 
 
 class Tables:
