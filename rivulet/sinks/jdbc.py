@@ -76,8 +76,13 @@ def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str],
         if seen:
             return False
     stage = f"STG_{uuid.uuid4().hex[:16].upper()}"
-    df.write.jdbc(url, stage, mode="overwrite", properties=properties or {})
     cols = ", ".join(df.columns)
+    # staging table with the target's column types
+    try:
+        execute(spark, url, [f"CREATE TABLE {stage} AS SELECT {cols} FROM {table} WITH NO DATA"], properties)
+    except Exception:  # noqa: BLE001 - dialects without WITH NO DATA
+        execute(spark, url, [f"CREATE TABLE {stage} AS SELECT {cols} FROM {table} WHERE 1 = 0"], properties)
+    df.write.jdbc(url, stage, mode="append", properties=properties or {})
     match = " AND ".join(f"{table}.{k} = s.{k}" for k in keys)
     stmts = [f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {stage} s WHERE {match})",
              f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {stage}"]
