@@ -267,5 +267,5 @@ SELECT o_orderkey, o_custkey, o_orderstatus, year(o_orderdate) AS o_year,
 def map_project(t):
     """B1: map = projection with computed columns."""
     o = t.orders
-    return o.select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").alias("o_year"),
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus", F.year("o_orderdate").cast("bigint").alias("o_year"),
                     (o.o_totalprice * 2).alias("doubled"), (o.o_orderkey + 1).alias("next_key"))

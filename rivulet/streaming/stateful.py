@@ -40,9 +40,11 @@ def keyed_counter(stream: DataFrame, key_col: str, id_col: str, ts_col: str) ->
 
 
 class OrderTimeout(StatefulProcessor):
-    """Per user: open orders wait in MapState; a payment settles every open
-    order placed before it within the timeout; an event-time timer at order time + timeout marks
-    an order still open as cancelled. Emits (order_id, status)."""
+    """Per user: open orders wait in ListState (order_id, ts_us). A payment
+    pays every open order placed before it within the timeout; one
+    event-time timer per user, at the earliest open deadline, cancels the
+    orders whose deadline has passed. Each call reads and writes the state
+    once and works on whole pandas batches. Emits (order_id, status)."""
 
     def __init__(self, timeout_us: int, id_col: str, ts_col: str, kind_col: str,
                  open_kind: str, paid_kind: str):
@@ -52,42 +54,62 @@ class OrderTimeout(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "order_id LONG", "ts_us LONG")
+        self.open = handle.getListState("open", "order_id LONG, ts_us LONG")
+        self.timer = handle.getValueState("timer", "ms LONG")
+
+    def _deadline_ms(self, ts_us):
+        return -(-(ts_us + self.timeout_us) // 1000)  # ceil to milliseconds
+
+    def _load(self) -> pd.DataFrame:
+        rows = list(self.open.get()) if self.open.exists() else []
+        return pd.DataFrame([tuple(r) for r in rows], columns=["order_id", "ts_us"], dtype="int64")
+
+    def _store(self, opens: pd.DataFrame) -> None:
+        old = self.timer.get()[0] if self.timer.exists() else None
+        if len(opens) == 0:
+            self.open.clear()
+            if old is not None:
+                self.handle.deleteTimer(old)
+                self.timer.clear()
+            return
+        self.open.put([(int(a), int(b)) for a, b in zip(opens["order_id"], opens["ts_us"])])
+        nxt = int(self._deadline_ms(int(opens["ts_us"].min())))
+        if nxt != old:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            self.handle.registerTimer(nxt)
+            self.timer.update((nxt,))
 
     def handleInputRows(self, key, rows, timerValues):
+        import numpy as np
+
         pdf = pd.concat(list(rows), ignore_index=True)
-        pdf = pdf.sort_values([self.ts_col, self.id_col])  # ts_col: epoch microseconds
-        out = []
-        for r in pdf.itertuples(index=False):
-            kind = getattr(r, self.kind_col)
-            us = int(getattr(r, self.ts_col))
-            if kind == self.open_kind:
-                oid = int(getattr(r, self.id_col))
-                self.open.updateValue((oid,), (us,))
-                self.handle.registerTimer(self._timer_ms(us))
-            elif kind == self.paid_kind:
-                # every open order placed before this payment and still within
-                # its timeout is paid
-                for (oid,), (ots,) in list(self.open.iterator()):
-                    if ots < us <= ots + self.timeout_us:
-                        out.append((oid, "paid"))
-                        self.open.removeKey((oid,))
-                        self.handle.deleteTimer(self._timer_ms(ots))
-        if out:
-            yield pd.DataFrame(out, columns=["order_id", "status"])
-
-    def _timer_ms(self, ts_us: int) -> int:
-        return -(-(ts_us + self.timeout_us) // 1000)  # ceil to milliseconds
+        kinds = pdf[self.kind_col]
+        new = pdf.loc[kinds == self.open_kind, [self.id_col, self.ts_col]]
+        new.columns = ["order_id", "ts_us"]
+        opens = pd.concat([self._load(), new.astype("int64")], ignore_index=True)
+        pays = np.sort(pdf.loc[kinds == self.paid_kind, self.ts_col].to_numpy(dtype="int64"))
+        if len(pays) and len(opens):
+            ts = opens["ts_us"].to_numpy()
+            idx = np.searchsorted(pays, ts, side="right")   # first payment strictly after
+            nxt = np.where(idx < len(pays), pays[np.minimum(idx, len(pays) - 1)], np.iinfo("int64").max)
+            paid = nxt <= ts + self.timeout_us
+        else:
+            paid = np.zeros(len(opens), dtype=bool)
+        self._store(opens[~paid])
+        if paid.any():
+            yield pd.DataFrame({"order_id": opens.loc[paid, "order_id"].to_numpy(), "status": "paid"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        fire = expiredTimerInfo.getExpiryTimeInMs()
-        out = []
-        for (oid,), (ots,) in list(self.open.iterator()):
-            if self._timer_ms(ots) <= fire:
-                out.append((oid, "cancelled"))
-                self.open.removeKey((oid,))
-        if out:
-            yield pd.DataFrame(out, columns=["order_id", "status"])
+        # every order whose deadline the watermark has passed is due, not
+        # only the one this timer was set for
+        fire = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        self.timer.clear()
+        opens = self._load()
+        due = self._deadline_ms(opens["ts_us"]) <= fire
+        self._store(opens[~due])
+        if due.any():
+            yield pd.DataFrame({"order_id": opens.loc[due, "order_id"].to_numpy(), "status": "cancelled"})
 
     def close(self) -> None:
         pass
