@@ -29,15 +29,19 @@ def prepare(spark: SparkSession) -> None:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None, spread: bool = True) -> DataFrame:
     """A benchmark table as a streaming source (file source over the folder,
-    restricted to the table's file; the schema is fixed up front)."""
+    restricted to the table's file; the schema is fixed up front). Each
+    benchmark table is one file of one row group, which a file source reads
+    in a single task; `spread` deals the rows to all cores before the
+    per-row work. (A Kafka source with many partitions needs no spread.)"""
     if schema is None:
         schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    df = r.parquet(sf_dir)
+    return df.repartition(spark.sparkContext.defaultParallelism) if spread else df
 
 
 def event_time(df: DataFrame, col: str = "ts", out: str | None = None) -> DataFrame:
