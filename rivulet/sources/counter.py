@@ -1,0 +1,65 @@
+"""A checkpointed custom streaming source (Python data source API): each
+of `partitions` partitions emits `P-<partition> -> <offset>` rows with
+consecutive offsets. The offsets live in the query checkpoint, so a query
+restarted after a failure continues with no gap and no duplicate. An
+optional one-time failure at a given offset exercises the recovery path.
+
+Register with `spark.dataSource.register(CounterSource)` and read with
+`spark.readStream.format("rivulet_counter")`."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
+
+
+class CounterSource(DataSource):
+    """Options: partitions (3), rows_per_batch (5), limit (offsets per
+    partition, 0 = unbounded), fail_at (offset) + fail_marker (file path):
+    fail once when a batch would cross `fail_at`."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "rivulet_counter"
+
+    def schema(self) -> str:
+        return "partition INT, offset BIGINT, value STRING"
+
+    def simpleStreamReader(self, schema):
+        return CounterReader(self.options)
+
+
+class CounterReader(SimpleDataSourceStreamReader):
+    def __init__(self, options):
+        self.partitions = int(options.get("partitions", 3))
+        self.per_batch = int(options.get("rows_per_batch", 5))
+        self.limit = int(options.get("limit", 0))
+        self.fail_at = int(options.get("fail_at", -1))
+        self.marker = options.get("fail_marker")
+
+    def initialOffset(self) -> dict:
+        return {str(p): 0 for p in range(self.partitions)}
+
+    def _end(self, start: int) -> int:
+        end = start + self.per_batch
+        return min(end, self.limit) if self.limit else end
+
+    def _rows(self, start: dict, end: dict):
+        for p in range(self.partitions):
+            for o in range(start[str(p)], end[str(p)]):
+                yield (p, o, f"P-{p} -> {o}")
+
+    def read(self, start: dict):
+        end = {p: self._end(o) for p, o in start.items()}
+        if self.fail_at >= 0 and self.marker and not os.path.exists(self.marker) \
+                and any(s <= self.fail_at < e for s, e in zip(start.values(), end.values())):
+            open(self.marker, "w").close()
+            raise RuntimeError(f"injected failure before offset {self.fail_at}")
+        return iter(list(self._rows(start, end))), end
+
+    def readBetweenOffsets(self, start: dict, end: dict):
+        return iter(list(self._rows(start, end)))
+
+    def commit(self, end: dict) -> None:
+        pass
