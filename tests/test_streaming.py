@@ -18,7 +18,7 @@ def test_word_count_survives_restart(spark, tmp_dir):
     """Checkpointed streaming word count stopped between batches and
     restarted equals the batch word count (no loss, no double count)."""
     src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
-    _write_lines(src, "1.txt", ["spark flink", " spark  hive "])
+    _write_lines(src, "1.txt", ["spark storm", " spark  hive "])
 
     def run():
         lines = spark.readStream.schema("value string").text(src).withColumnRenamed("value", "line")
@@ -26,10 +26,10 @@ def test_word_count_survives_restart(spark, tmp_dir):
         return S.run_update(counts, "wc", ["word"], checkpoint=ckpt, path=out)
 
     first = rows(run())
-    assert first == [("flink", 1), ("hive", 1), ("spark", 2)]
+    assert first == [("storm", 1), ("hive", 1), ("spark", 2)]
     _write_lines(src, "2.txt", ["spark hbase", ""])
     second = rows(run())
-    assert second == [("flink", 1), ("hbase", 1), ("hive", 1), ("spark", 3)]
+    assert second == [("storm", 1), ("hbase", 1), ("hive", 1), ("spark", 3)]
     batch = rows(TX.word_count(TX.flat_map_words(spark.read.text(src).withColumnRenamed("value", "line"))))
     assert second == batch
 
