@@ -85,3 +85,15 @@ def daily_totals(etl_df: DataFrame, ts: str = "order_time") -> DataFrame:
     g = etl_df.groupBy(w.alias("w")).agg(F.sum("money").alias("amount"))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     F.lit(NATIONAL_KEY).alias("global"), "amount")
+
+
+def level_rows(etl_df: DataFrame, key_cities: Sequence[str]) -> DataFrame:
+    """Each order once per report level it counts for: national, its
+    province, and its city when that is a key city. One aggregation over
+    (level, name) then serves all three reports (also on a stream)."""
+    entries = F.array(
+        F.struct(F.lit("global").alias("level"), F.lit(NATIONAL_KEY).alias("name")),
+        F.struct(F.lit("province").alias("level"), F.col("province").alias("name")),
+        F.when(F.col("city").isin(list(key_cities)),
+               F.struct(F.lit("city").alias("level"), F.col("city").alias("name"))))
+    return etl_df.select(F.inline(F.filter(entries, lambda e: e.isNotNull())), "money")

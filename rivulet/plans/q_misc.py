@@ -69,6 +69,18 @@ def log_start_timestamp(t):
     return start_from(_log(t), pos).select("partition", "offset", "ts")
 
 
+@query("log_start_position", sql="""
+WITH log AS (SELECT CAST(user_id % 3 AS INTEGER) AS partition, event_id AS "offset", ts FROM events)
+SELECT partition, "offset", ts FROM log WHERE partition <> 0 OR "offset" >= 3000""")
+def log_start_position(t):
+    """Committed group offsets where a partition has one (partition
+    0 at 3000), the `earliest` reset policy for the others."""
+    from rivulet.sources.log import StartPosition, start_from
+
+    pos = StartPosition().from_latest().from_group_offsets({0: 3000})
+    return start_from(_log(t), pos, default="earliest").select("partition", "offset", "ts")
+
+
 @query("src_elements", sql="""
 SELECT label, count(*) AS n FROM events JOIN (VALUES ('view', 'browse'), ('purchase', 'buy')) v(event_type, label)
   USING (event_type) GROUP BY label""")

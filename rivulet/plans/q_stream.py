@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.parse import money
 from rivulet.plans.q_basic import _SQL_LINES
+from rivulet.plans.q_report import _SQL_ETL, _SQL_KEY_CITIES
 from rivulet.plans.registry import query
 from rivulet.streaming import runner as S
 
@@ -101,3 +102,45 @@ def stream_order_timeout(t):
                 F.unix_micros("ts").alias("ts_us")).withWatermark("ts", "0 seconds")
     res = order_timeout(ev, "user_id", "event_id", "ts_us", "event_type", 6 * 3600, "view", "purchase")
     return S.run_append(res, "stream-order-timeout")
+
+
+def _etl_stream(t):
+    from rivulet.plans import order_report as R
+    from rivulet.plans.q_joins import ip_segments
+
+    S.prepare(t.spark)
+    orders = S.table_stream(t.spark, t.sf_dir, "orders")
+    return R.etl(R.order_records_from_orders(orders), ip_segments(t))
+
+
+@query("stream_report_daily", sql=f"""WITH {_SQL_ETL}
+SELECT time_bucket(INTERVAL '1 day', order_time, TIMESTAMP '2000-01-01 16:00:00') AS window_start,
+       time_bucket(INTERVAL '1 day', order_time, TIMESTAMP '2000-01-01 16:00:00') + INTERVAL '1 day' AS window_end,
+       '全国' AS global, CAST(sum(money) AS {_DEC}) AS amount FROM etl GROUP BY 1, 2""")
+def stream_report_daily(t):
+    """N4/H11 on a stream: national total per UTC+8 day, event time with a
+    2-second watermark, update mode (the current window value is emitted
+    every trigger), upserted by window into the sink."""
+    from rivulet.plans import order_report as R
+
+    etl = _etl_stream(t).withColumn("order_time", F.col("order_time").cast("timestamp")) \
+        .withWatermark("order_time", "2 seconds")
+    daily = R.daily_totals(etl).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                                       "global", "amount")
+    return S.run_update(daily, "stream-report-daily", ["window_start", "window_end"])
+
+
+@query("stream_report_levels", sql=f"""WITH {_SQL_ETL}
+SELECT 'global' AS level, '全国' AS name, CAST(sum(money) AS {_DEC}) AS amount FROM etl
+UNION ALL SELECT 'province', province, CAST(sum(money) AS {_DEC}) FROM etl GROUP BY province
+UNION ALL SELECT 'city', city, CAST(sum(money) AS {_DEC}) FROM etl WHERE city IN ({_SQL_KEY_CITIES}) GROUP BY city""")
+def stream_report_levels(t):
+    """N1–N3 on a stream from one ETL result: running national, province
+    and key-city totals in one stateful aggregation, update mode."""
+    from rivulet.plans import order_report as R
+    from rivulet.plans.q_report import KEY_CITIES
+
+    lv = R.level_rows(_etl_stream(t), KEY_CITIES)
+    g = lv.groupBy("level", "name").agg(F.sum("money").alias("amount"))
+    return S.run_update(g, "stream-report-levels", ["level", "name"])
