@@ -12,14 +12,16 @@ from rivulet.functions.cols import as_col
 # Character classes of the JVM string methods.
 # `String.trim` removes every char <= U+0020 at both ends.
 TRIM_CHARS = r"[\x00-\x20]"
+TRIM_SET = "".join(chr(i) for i in range(0x21))
 # `\s` of java.util.regex without UNICODE_CHARACTER_CLASS.
 WHITESPACE = r"[ \t\n\x0B\f\r]"
 WHITESPACE_RUN = WHITESPACE + "+"
 
 
 def java_trim(c) -> Column:
-    """`String.trim()`: strip chars <= U+0020 from both ends."""
-    return F.regexp_replace(as_col(c), rf"\A{TRIM_CHARS}+|{TRIM_CHARS}+\z", "")
+    """`String.trim()`: strip chars <= U+0020 from both ends (a character
+    set trim, no regex)."""
+    return F.btrim(as_col(c), F.lit(TRIM_SET))
 
 
 def is_blank(c) -> Column:

@@ -33,6 +33,30 @@ def words_udtf():
     return Words
 
 
+def words_arrow_udtf(key: str, line: str):
+    """Vectorised form of `words_udtf` (`arrow_udtf`): receives whole Arrow
+    record batches of (key, line) rows through a TABLE argument and emits
+    (key, word) rows with Arrow compute kernels — no per-row Python."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    from pyspark.sql.functions import arrow_udtf
+
+    from rivulet.functions.text import TRIM_SET, WHITESPACE_RUN
+
+    @arrow_udtf(returnType=f"{key} bigint, word string")
+    class ArrowWords:
+        def eval(self, batch: pa.RecordBatch):
+            t = pc.utf8_trim(batch.column(line), characters=TRIM_SET)
+            keep = pc.fill_null(pc.greater(pc.utf8_length(t), 0), False)
+            t = pc.filter(t, keep)
+            k = pc.filter(batch.column(key), keep)
+            parts = pc.split_pattern_regex(t, WHITESPACE_RUN)
+            yield pa.table({key: pc.take(k, pc.list_parent_indices(parts)),
+                            "word": pc.list_flatten(parts)})
+
+    return ArrowWords
+
+
 def count_pattern(df: DataFrame, col: str, pattern: str, out: str, keep: Sequence[str] = ()) -> DataFrame:
     """Count regex matches per row with `mapInPandas`; the pattern is
     compiled once per partition (set-up) and applied to whole batches."""

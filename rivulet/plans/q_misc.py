@@ -184,17 +184,14 @@ def monte_carlo_pi(t):
 @query("process_udtf", sql=f"""WITH {_SQL_LINES}
 SELECT doc_id, count(*) AS n_words FROM words GROUP BY doc_id""")
 def process_udtf(t):
-    """A ProcessFunction-style flatMap as a Python UDTF (Arrow batches)
-    emitting the words of each non-blank line."""
-    from rivulet.operators.process import words_udtf
+    """A ProcessFunction-style flatMap as a Python table function fed
+    whole Arrow batches, emitting the words of each non-blank line."""
+    from rivulet.operators.process import words_arrow_udtf
     from rivulet.operators.text import explode_lines
 
     lines = explode_lines(t.documents.select("doc_id", "text"), keep=("doc_id",))
-    spark = t.spark
-    spark.udtf.register("rivulet_words", words_udtf())
-    lines.createOrReplaceTempView("rivulet_doc_lines")
-    w = spark.sql("SELECT doc_id, word FROM rivulet_doc_lines, LATERAL rivulet_words(line)")
-    return w.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"))
+    words = words_arrow_udtf("doc_id", "line")(lines.asTable())
+    return words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"))
 
 
 @query("map_in_pandas_setup", sql="""
