@@ -122,3 +122,80 @@ def order_timeout(stream: DataFrame, key_col: str, id_col: str, ts_col: str, kin
     proc = OrderTimeout(timeout_seconds * 1_000_000, id_col, ts_col, kind_col, open_kind, paid_kind)
     return stream.groupBy(key_col).transformWithStateInPandas(
         proc, "order_id bigint, status string", "Append", "EventTime")
+
+
+class AllowedLateness(StatefulProcessor):
+    """Event-time tumbling window per key with allowed lateness and a late
+    side output. A window fires when the watermark passes its end (timer),
+    then fires again with the updated total for every late row that arrives
+    before end + lateness; rows later than that go to the side output. State
+    per key: MapState window_start → (total, fired)."""
+
+    def __init__(self, size_ms: int, lateness_ms: int, ts_col: str, value_col: str, id_col: str):
+        self.size, self.lateness = size_ms, lateness_ms
+        self.ts_col, self.value_col, self.id_col = ts_col, value_col, id_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.wins = handle.getMapState("wins", "win_start LONG", "total DOUBLE, fired BOOLEAN")
+
+    def _due(self, key, t):
+        """Fire windows whose end the watermark `t` has passed; drop windows
+        past their lateness."""
+        out = []
+        for (start,), (total, fired) in list(self.wins.iterator()):
+            end = start + self.size
+            if end + self.lateness <= t:
+                if not fired:
+                    out.append(("fire", start, key[0], total, None))
+                self.wins.removeKey((start,))
+            elif end <= t and not fired:
+                out.append(("fire", start, key[0], total, None))
+                self.wins.updateValue((start,), (total, True))
+        return out
+
+    def handleInputRows(self, key, rows, timerValues):
+        wm = timerValues.getCurrentWatermarkInMs()
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.id_col)
+        # the watermark passed before these rows: due windows fire first
+        out = self._due(key, wm)
+        for r in pdf.itertuples(index=False):
+            ts = int(getattr(r, self.ts_col))
+            start = ts - ts % self.size
+            end = start + self.size
+            if end + self.lateness <= wm:
+                out.append(("side", start, key[0], None, int(getattr(r, self.id_col))))
+                continue
+            cur = self.wins.getValue((start,)) if self.wins.containsKey((start,)) else (0.0, False)
+            total, fired = cur[0] + float(getattr(r, self.value_col)), cur[1]
+            if end <= wm:  # window already due: a late update fires at once
+                fired = True
+                out.append(("late_fire", start, key[0], total, int(getattr(r, self.id_col))))
+            elif not self.wins.containsKey((start,)):
+                self.handle.registerTimer(end)
+            if not self.wins.containsKey((start,)):
+                self.handle.registerTimer(end + self.lateness)
+            self.wins.updateValue((start,), (total, fired))
+        if out:
+            yield pd.DataFrame(out, columns=["kind", "win_start", "key", "total", "event_id"])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        t = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        out = self._due(key, t)
+        if out:
+            yield pd.DataFrame(out, columns=["kind", "win_start", "key", "total", "event_id"])
+
+    def close(self) -> None:
+        pass
+
+
+def allowed_lateness(stream: DataFrame, key_col: str, ts_ms_col: str, value_col: str, id_col: str,
+                     window_seconds: int, lateness_seconds: int) -> DataFrame:
+    """Stream of window firings: (kind, win_start ms, key, total, event_id)
+    with kind in fire | late_fire | side. The stream needs a watermark; the
+    per-row time goes in `ts_ms_col` (epoch ms) so Spark's own late-row
+    filter does not drop the rows this operator classifies."""
+    proc = AllowedLateness(window_seconds * 1000, lateness_seconds * 1000, ts_ms_col, value_col, id_col)
+    ktype = dict(stream.dtypes)[key_col]
+    return stream.groupBy(key_col).transformWithStateInPandas(
+        proc, f"kind string, win_start bigint, key {ktype}, total double, event_id bigint", "Append", "EventTime")

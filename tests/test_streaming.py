@@ -140,3 +140,32 @@ def test_stream_bucketed_files(spark, tmp_dir):
     q.awaitTermination()
     dirs = sorted(d for d in os.listdir(f"{tmp_dir}/out") if d.startswith("bucket="))
     assert dirs == ["bucket=2024-01-01--05", "bucket=2024-01-01--06"]
+
+
+def test_allowed_lateness_stream(spark, tmp_dir):
+    """H8/H9 on a stream: fire at the watermark, re-fire per late row
+    within the lateness, side output after it (watermark per micro-batch)."""
+    from rivulet.streaming.stateful import allowed_lateness
+
+    S.prepare(spark)
+    src = f"{tmp_dir}/gate"
+    # window 10 s, watermark delay 0, lateness 5 s; one file per micro-batch
+    _write_lines(src, "1.json", ['{"id": 1, "t": 1, "v": 1}', '{"id": 2, "t": 12, "v": 2}'])
+    _write_lines(src, "2.json", ['{"id": 3, "t": 8, "v": 3}', '{"id": 4, "t": 16, "v": 4}'])
+    _write_lines(src, "3.json", ['{"id": 5, "t": 3, "v": 5}', '{"id": 6, "t": 30, "v": 6}'])
+    for i, name in enumerate(["1.json", "2.json", "3.json"]):  # file source order = modification time
+        os.utime(f"{src}/{name}", (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    st = (spark.readStream.schema("id long, t long, v double").option("maxFilesPerTrigger", 1).json(src)
+          .withColumn("ts", F.timestamp_seconds("t")).withColumn("ts_ms", F.col("t") * 1000)
+          .withColumn("k", F.lit("gate")).withWatermark("ts", "0 seconds")
+          .select("k", "ts_ms", "v", "id"))
+    res = S.run_append(allowed_lateness(st, "k", "ts_ms", "v", "id", 10, 5), "late",
+                       path=f"{tmp_dir}/o", checkpoint=f"{tmp_dir}/c")
+    got = rows(res, "kind", "win_start", "total", "event_id")
+    # batch 1: wm 0; no-data batch: wm 12 fires [0,10) = 1
+    # batch 2 (wm 12): id 3 late for [0,10) → 4; id 4 in [10,20)
+    # batch 3 (wm 16): id 5 at 3 s: 10 + 5 <= 16 → side output; then wm 30 fires [10,20) = 6
+    assert ("fire", 0, 1.0, None) in got
+    assert ("late_fire", 0, 4.0, 3) in got
+    assert ("side", 0, None, 5) in got
+    assert ("fire", 10000, 6.0, None) in got
