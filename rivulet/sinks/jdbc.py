@@ -104,3 +104,14 @@ def upsert_each_batch(url: str, table: str, keys: Sequence[str], properties: dic
         jdbc_upsert(batch_df, url, table, keys, properties, batch_id=batch_id, job=job)
 
     return write
+
+
+def append_each_batch(url: str, table: str, properties: dict | None = None):
+    """A `foreachBatch` function inserting each micro-batch (the per-record
+    stream JDBC sink, batched): rows go from executors straight to the
+    database. At-least-once; use `upsert_each_batch` for exactly-once."""
+
+    def write(batch_df: DataFrame, batch_id: int) -> None:
+        jdbc_append(batch_df, url, table, properties)
+
+    return write

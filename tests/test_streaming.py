@@ -68,6 +68,13 @@ def test_foreach_batch_jdbc_upsert(spark, tmp_dir):
     q.awaitTermination()
     got = JD.query_rows(spark, url, "SELECT CITY, AMOUNT FROM city_total", props)
     assert [(c, str(a)) for c, a in rows(got)] == [("a", "2.50"), ("b", "2.25")]
+    # per-record sink (K6): every input row appended
+    JD.execute(spark, url, ["CREATE TABLE raw_orders (CITY VARCHAR(50), MONEY DOUBLE)"], props)
+    q = (st.select(F.col("city").alias("CITY"), F.col("money").alias("MONEY")).writeStream
+         .option("checkpointLocation", f"{tmp_dir}/ck2").foreachBatch(JD.append_each_batch(url, "raw_orders", props))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert JD.query_rows(spark, url, "SELECT COUNT(*) AS n FROM raw_orders", props).first()[0] == 3
 
 
 def test_checkpointed_custom_source_recovers(spark, tmp_dir):
