@@ -40,3 +40,33 @@ def test_decimal_sum_exact(spark):
     got = keyed_scan(df, ["k"], ["i"], [Running("v", "sum", "s")], num_partitions=4)
     last = got.where("i = 99").first()["s"]
     assert str(last) == "4951.00"
+
+
+def test_keyed_scan_property(spark):
+    """Random tables (few keys, heavy duplication of one key, random
+    partition counts) against a pandas reference."""
+    import pandas as pd
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    row = st.tuples(st.sampled_from([0, 0, 0, 1, 2]), st.integers(0, 50), st.integers(-5, 5))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=60), st.integers(1, 9))
+    def check(data, parts):
+        pdf = pd.DataFrame([(k, t, i, v) for i, (k, t, v) in enumerate(data)], columns=["k", "t", "i", "v"])
+        df = spark.createDataFrame(pdf)
+        got = keyed_scan(df, ["k"], ["t", "i"], [Running("v", "sum", "s"), Running(None, "count", "c"),
+                                                  Running("v", "max", "mp", inclusive=False)],
+                         num_partitions=parts)
+        exp = pdf.sort_values(["k", "t", "i"]).copy()
+        g = exp.groupby("k")
+        exp["s"] = g["v"].cumsum()
+        exp["c"] = g.cumcount() + 1
+        exp["mp"] = g["v"].transform(lambda x: x.cummax().shift(1))
+        want = sorted((int(r.i), int(r.s), int(r.c), None if pd.isna(r.mp) else float(r.mp))
+                      for r in exp.itertuples())
+        have = sorted((r["i"], r["s"], r["c"], r["mp"]) for r in got.collect())
+        assert have == want
+
+    check()
