@@ -1,5 +1,4 @@
 import os
-import shutil
 
 from pyspark.sql import functions as F
 
