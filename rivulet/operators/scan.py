@@ -220,3 +220,90 @@ def global_seq(df: DataFrame, order: Sequence[str], out: str = "seq",
     """Dense 1-based row number over the whole table in `order` (a total
     order), without a one-task window."""
     return keyed_scan(df, (), order, [Running(None, "count", out)], num_partitions)
+
+
+def _local_sessions(keys: list[str], ts: str, gap: int, out: str):
+    """Session start per row inside one partition sorted by (keys, ts, tie);
+    the partition's first row provisionally opens a session."""
+    import numpy as np
+    import pandas as pd
+    from pyspark import TaskContext
+
+    def run(batches):
+        pid = TaskContext.get().partitionId()
+        carry_key, carry_ts, carry_start = None, None, None
+        row0 = 0
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            pdf = pdf.reset_index(drop=True)
+            codes = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy() if keys \
+                else np.zeros(n, dtype=np.int64)
+            first_key = tuple(pdf.loc[0, keys]) if keys else ()
+            t = pdf[ts].astype("int64")
+            prev = t.groupby(codes, sort=False).shift(1)
+            cont = (codes == 0) & (carry_key is not None and first_key == carry_key)
+            if cont.any():
+                prev.iloc[0] = carry_ts
+            flag = prev.isna() | ((t - prev) > gap)
+            start = t.where(flag).groupby(codes, sort=False).ffill()
+            if cont.any():
+                start = start.where(~(pd.Series(cont) & start.isna()), carry_start)
+            pdf[out] = start.astype("int64").to_numpy()
+            carry_key = tuple(pdf.loc[n - 1, keys]) if keys else ()
+            carry_ts, carry_start = int(t.iloc[-1]), int(pdf[out].iloc[-1])
+            pdf[_PID] = pid
+            pdf[_ROW] = np.arange(row0, row0 + n, dtype=np.int64)
+            row0 += n
+            yield pdf
+
+    return run
+
+
+def session_scan(df: DataFrame, keys: Sequence[str], ts_us: str, tie: str, gap_us: int,
+                 out: str = "session_start_us", num_partitions: int | None = None) -> DataFrame:
+    """Start (epoch µs) of each row's session per key: a session breaks
+    when the previous row of the key is more than `gap_us` earlier. One
+    balanced pass: range partitions on (keys, ts, tie), local sessions per
+    partition, then partitions whose first session continues the previous
+    partition's last one take over its (effective) start."""
+    from pyspark.sql import Window
+
+    spark = df.sparkSession
+    keys = list(keys)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + [ts_us, tie]]) \
+               .sortWithinPartitions(*(keys + [ts_us, tie]))
+    fields = list(df.schema.fields) + [StructField(out, LongType(), True),
+                                       StructField(_PID, LongType(), False), StructField(_ROW, LongType(), False)]
+    local = ranged.mapInPandas(_local_sessions(keys, ts_us, gap_us, out), StructType(fields))
+    path = scratch_path(spark, "sessions")
+    local.write.parquet(path)
+    local = spark.read.parquet(path)
+
+    kcols = [F.col(c) for c in keys]
+    summ = local.groupBy(_PID).agg(
+        F.min_by(F.struct(*kcols, F.col(ts_us).alias("_ts")), F.col(_ROW)).alias("first"),
+        F.max_by(F.struct(*kcols, F.col(ts_us).alias("_ts"), F.col(out).alias("_st")), F.col(_ROW)).alias("last"))
+    w = Window.orderBy(_PID)  # one row per partition
+    same_prev = F.lag(F.col(_PID)).over(w).isNotNull()
+    for c in keys:
+        same_prev = same_prev & F.lag(F.col(f"last.{c}")).over(w).eqNullSafe(F.col(f"first.{c}"))
+    cont = same_prev & ((F.col("first._ts") - F.lag(F.col("last._ts")).over(w)) <= gap_us)
+    last_is_first_session = F.col("last._st") == F.col("first._ts")
+    for c in keys:
+        last_is_first_session = last_is_first_session & F.col(f"last.{c}").eqNullSafe(F.col(f"first.{c}"))
+    s2 = summ.select(_PID, "first", "last", cont.alias("_cont"),
+                     F.when(last_is_first_session & cont, F.lit(None)).otherwise(F.col("last._st")).alias("_d"))
+    s3 = s2.select(_PID, "first", "_cont",
+                   F.last("_d", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_eff"))
+    carry = s3.select(_PID, *[F.col(f"first.{c}").alias(f"_first_{c}") for c in keys],
+                      F.col("first._ts").alias("_first_ts"),
+                      F.when(F.col("_cont"), F.lag("_eff").over(w)).alias("_carry"))
+    car = F.broadcast(carry.where(F.col("_carry").isNotNull()))
+    res = local.join(car, _PID, "left")
+    match = F.col("_carry").isNotNull() & (F.col(out) == F.col("_first_ts"))
+    for c in keys:
+        match = match & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
+    return res.select(*df.columns, F.when(match, F.col("_carry")).otherwise(F.col(out)).alias(out))

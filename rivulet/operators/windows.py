@@ -65,15 +65,11 @@ def session_starts(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_se
     """Tag each row with the start time of its session: a new session
     starts when the previous row of the same key is more than `gap` earlier
     (rows exactly one gap apart belong to one session)."""
-    keys = list(keys)
+    from rivulet.operators.scan import session_scan
+
     d = df.withColumn("_ts_us", epoch_us(ts))
-    d = keyed_scan(d, keys, ["_ts_us", tie], [Running("_ts_us", "max", "_prev_us", inclusive=False)])
-    gap_us = gap_seconds * 1_000_000
-    d = d.withColumn("_start_us", F.when(F.col("_prev_us").isNull()
-                                         | (F.col("_ts_us") - F.col("_prev_us") > gap_us),
-                                         F.col("_ts_us")).cast("bigint"))
-    d = keyed_scan(d, keys, ["_ts_us", tie], [Running("_start_us", "last", "_sess_us")])
-    return d.withColumn(out, from_epoch_us("_sess_us")).drop("_ts_us", "_prev_us", "_start_us", "_sess_us")
+    d = session_scan(d, list(keys), "_ts_us", tie, gap_seconds * 1_000_000, "_sess_us")
+    return d.withColumn(out, from_epoch_us("_sess_us")).drop("_ts_us", "_sess_us")
 
 
 def sessions(df: DataFrame, keys: Sequence[str], ts: str, tie: str, gap_seconds: int) -> DataFrame:

@@ -70,3 +70,33 @@ def test_keyed_scan_property(spark):
         assert have == want
 
     check()
+
+
+def test_session_scan_property(spark):
+    """Sessions from the one-pass scan equal a sequential reference for
+    random gaps, hot keys and partition counts (sessions spanning many
+    partitions included)."""
+    import pandas as pd
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from rivulet.operators.scan import session_scan
+
+    row = st.tuples(st.sampled_from([0, 0, 0, 1, 2]), st.integers(0, 200))
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=80), st.integers(1, 12), st.integers(0, 30))
+    def check(data, parts, gap):
+        pdf = pd.DataFrame([(k, t, i) for i, (k, t) in enumerate(data)], columns=["k", "t", "i"])
+        got = session_scan(spark.createDataFrame(pdf), ["k"], "t", "i", gap, "s", num_partitions=parts)
+        want = {}
+        for k, g in pdf.sort_values(["k", "t", "i"]).groupby("k"):
+            prev, start = None, None
+            for r in g.itertuples():
+                if prev is None or r.t - prev > gap:
+                    start = r.t
+                want[r.i] = start
+                prev = r.t
+        assert {r["i"]: r["s"] for r in got.collect()} == want
+
+    check()
