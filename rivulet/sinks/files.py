@@ -33,9 +33,11 @@ def write_bucketed(df: DataFrame, path: str, ts: str, fmt: str = DAY_BUCKET, buc
                    mode: str = "append", fmt_out: str = "parquet",
                    max_records_per_file: int | None = None) -> None:
     """Bucketing sink: rows go to `path/<bucket>=<value>/` by a time format
-    of the record's own timestamp. Rows are clustered by bucket first so
-    each task writes few files per bucket."""
-    out = df.withColumn(bucket, bucket_column(ts, fmt, bucket)).repartition(bucket)
+    of the record's own timestamp. A `rebalance` hint clusters rows by
+    bucket so each task writes few files, and lets AQE split a bucket that
+    holds a large share of the rows over several tasks (and merge small
+    ones) instead of sending a whole hot day to one writer."""
+    out = df.withColumn(bucket, bucket_column(ts, fmt, bucket)).hint("rebalance", bucket)
     w = out.write.mode(mode).partitionBy(bucket).format(fmt_out)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)

@@ -59,9 +59,13 @@ def run_append(stream: DataFrame, name: str, checkpoint: str | None = None,
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
     w = stream.writeStream.format("parquet").outputMode("append") \
         .option("checkpointLocation", checkpoint).option("path", path)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "5 seconds")
-    q = w.start()
-    q.awaitTermination()
+    if available_now:
+        q = w.trigger(availableNow=True).start()
+        q.awaitTermination()
+    else:  # periodic trigger: run until the current input is processed, then stop
+        q = w.trigger(processingTime=processing_time or "5 seconds").start()
+        q.processAllAvailable()
+        q.stop()
     if q.exception():
         raise q.exception()
     return spark.read.schema(stream.schema).parquet(path)
