@@ -73,3 +73,24 @@ def ipv4_to_long(c) -> Column:
     for o in octets:
         ok = ok & o.between(0, 255)
     return F.when(ok, value)
+
+
+def parse_with_rejects(df, line_col: str, fields: list[tuple[str, str | DataType]],
+                       delimiter: str = ","):
+    """Lenient parse with a reject output: returns (parsed, rejects). A line
+    whose field count is wrong or whose numeric field does not parse goes to
+    `rejects` unchanged instead of failing the job. One pass; both outputs
+    are filters of the same tagged frame."""
+    from rivulet.functions.text import field_count
+
+    typed = parse_delimited(line_col, fields, delimiter, strict=False)
+    tagged = df.select("*", *typed, (field_count(line_col, delimiter) == len(fields)).alias("_ok_count"))
+    ok = F.col("_ok_count")
+    for (name, typ) in fields:
+        tname = typ if isinstance(typ, str) else typ.simpleString()
+        if tname != "string":
+            ok = ok & F.col(name).isNotNull()
+    tagged = tagged.withColumn("_ok", ok)
+    parsed = tagged.where(F.col("_ok")).select(*[name for name, _ in fields])
+    rejects = tagged.where(~F.col("_ok")).select(*df.columns)
+    return parsed, rejects

@@ -44,3 +44,13 @@ def test_document_words_per_line_trim(spark):
     df = spark.createDataFrame([("x\x01\n\x01y z",)], "text string")
     got = rows(TX.document_words(df))
     assert got == [("x",), ("y",), ("z",)]
+
+
+def test_parse_with_rejects(spark):
+    from rivulet.functions.parse import parse_with_rejects
+
+    df = spark.createDataFrame([("1577890860000,gate1,3",), ("x,gate2,1",), ("1,gate3",), ("2, gate4 ,4",)],
+                               "line string")
+    ok, bad = parse_with_rejects(df, "line", [("ts", "bigint"), ("name", "string"), ("n", "int")])
+    assert rows(ok) == sorted([(1577890860000, "gate1", 3), (2, "gate4", 4)])
+    assert rows(bad) == [("1,gate3",), ("x,gate2,1",)]
