@@ -42,6 +42,16 @@ class Running:
     inclusive: bool = True
 
 
+def _ranged(df: DataFrame, cols: list[str], num_partitions: int | None) -> DataFrame:
+    """Range partitions on `cols`, sorted inside. Without an explicit count
+    the exchange starts from `spark.sql.shuffle.partitions` and AQE merges
+    neighbouring ranges to its advisory partition size (order is kept), so
+    partitions follow the data volume."""
+    c = [F.col(x) for x in cols]
+    r = df.repartitionByRange(num_partitions, *c) if num_partitions else df.repartitionByRange(*c)
+    return r.sortWithinPartitions(*cols)
+
+
 def _local_scan(keys: list[str], specs: list[Running]):
     """Running aggregates inside one partition whose rows arrive sorted by
     (keys, order). Only the last key of a batch carries into the next."""
@@ -145,9 +155,7 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  .cast(DecimalType(38, dec[s.out].scale)).alias(s.out) if s.out in dec else F.col(s.out)
                  for s in specs]
         return res.select(*orig_cols, *fixed)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + order]) \
-               .sortWithinPartitions(*(keys + order))
+    ranged = _ranged(df, keys + order, num_partitions)
     types = {f.name: f.dataType for f in df.schema.fields}
     fields = list(df.schema.fields)
     for s in specs:
@@ -272,9 +280,7 @@ def session_scan(df: DataFrame, keys: Sequence[str], ts_us: str, tie: str, gap_u
 
     spark = df.sparkSession
     keys = list(keys)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in keys + [ts_us, tie]]) \
-               .sortWithinPartitions(*(keys + [ts_us, tie]))
+    ranged = _ranged(df, keys + [ts_us, tie], num_partitions)
     fields = list(df.schema.fields) + [StructField(out, LongType(), True),
                                        StructField(_PID, LongType(), False), StructField(_ROW, LongType(), False)]
     local = ranged.mapInPandas(_local_sessions(keys, ts_us, gap_us, out), StructType(fields))
