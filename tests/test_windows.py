@@ -54,3 +54,31 @@ def test_window_line_format(spark):
                                "s timestamp_ntz, e timestamp_ntz, k string, n long")
     line = df.select(W.window_line(F.col("s"), F.col("e"), F.col("k"), F.col("n"))).first()[0]
     assert line == "[2024-01-01 00:00:00~2024-01-01 00:00:05]-->gate1=7"
+
+
+def test_window_cogroup_user_logic(spark):
+    """C10 general form: coGroup per (key, window) with arbitrary code —
+    left rows joined to right rows of the same window, null when none."""
+    import pandas as pd
+
+    from rivulet.operators.window_joins import cogroup_apply, window_cogroup_left
+
+    main = spark.createDataFrame([(_ts(1), "o1", "main"), (_ts(2), "o2", "main"), (_ts(12), "o3", "main")],
+                                 "ts timestamp_ntz, order_id string, type string")
+    detail = spark.createDataFrame([(_ts(3), "o1", "detail", "d1"), (_ts(4), "o1", "detail", "d2"),
+                                    (_ts(13), "o2", "detail", "d3")],
+                                   "ts timestamp_ntz, order_id string, type string, detail_id string")
+    m = main.withColumn("win", W.time_window("ts", "5 seconds").start)
+    d = detail.withColumn("win", W.time_window("ts", "5 seconds").start)
+
+    def left_outer(l, r):
+        if len(l) == 0:
+            return pd.DataFrame({"order_id": pd.Series([], dtype=object), "detail_id": pd.Series([], dtype=object)})
+        ids = list(r["detail_id"]) or [None]
+        return pd.DataFrame([(o, x) for o in l["order_id"] for x in ids], columns=["order_id", "detail_id"])
+
+    got = rows(cogroup_apply(m, d, ["order_id", "win"], left_outer, "order_id string, detail_id string"))
+    assert got == [("o1", "d1"), ("o1", "d2"), ("o2", None), ("o3", None)]
+    via_join = rows(window_cogroup_left(main.drop("type"), detail.drop("type").withColumnRenamed("ts", "ts_r"),
+                                        "order_id", "ts", "ts_r", "5 seconds"), "order_id", "detail_id")
+    assert via_join == got
