@@ -81,6 +81,18 @@ def stream_keyed_counter(t):
     return S.run_append(keyed_counter(ev, "user_id", "event_id", "ts"), "stream-keyed-counter")
 
 
+@query("stream_running_max", sql="""
+SELECT event_id, user_id, max(value) OVER
+  (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS running_max FROM events""")
+def stream_running_max(t):
+    """D12 on a stream: ValueState running max per key, one value per record."""
+    from rivulet.streaming.stateful import keyed_running_max
+
+    S.prepare(t.spark)
+    ev = S.table_stream(t.spark, t.sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    return S.run_append(keyed_running_max(ev, "user_id", "event_id", "ts", "value"), "stream-running-max")
+
+
 @query("stream_order_timeout", sql="""
 WITH v AS (SELECT * FROM events WHERE event_type = 'view'),
 m AS (SELECT max(ts) AS wm FROM events WHERE event_type IN ('view', 'purchase')),

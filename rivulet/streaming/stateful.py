@@ -39,6 +39,38 @@ def keyed_counter(stream: DataFrame, key_col: str, id_col: str, ts_col: str) ->
         KeyedCounter(key_col, id_col, ts_col), schema, "Append", "None")
 
 
+class KeyedRunningMax(StatefulProcessor):
+    """ValueState<Double> running maximum per key (the keyed-state max demo):
+    emits (id, key, running max) per record in (ts, id) order."""
+
+    def __init__(self, key_col: str, id_col: str, ts_col: str, value_col: str):
+        self.key_col, self.id_col, self.ts_col, self.value_col = key_col, id_col, ts_col, value_col
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("max", "v DOUBLE")
+
+    def handleInputRows(self, key, rows, timerValues):
+        import numpy as np
+
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.ts_col, self.id_col])
+        run = pdf[self.value_col].astype("float64").cummax().to_numpy()
+        if self.best.exists():
+            run = np.fmax(run, self.best.get()[0])
+        self.best.update((float(run[-1]),))
+        yield pd.DataFrame({self.id_col: pdf[self.id_col].to_numpy(), self.key_col: key[0],
+                            "running_max": run})
+
+    def close(self) -> None:
+        pass
+
+
+def keyed_running_max(stream: DataFrame, key_col: str, id_col: str, ts_col: str, value_col: str) -> DataFrame:
+    types = dict(stream.dtypes)
+    schema = f"{id_col} {types[id_col]}, {key_col} {types[key_col]}, running_max double"
+    return stream.groupBy(key_col).transformWithStateInPandas(
+        KeyedRunningMax(key_col, id_col, ts_col, value_col), schema, "Append", "None")
+
+
 class OrderTimeout(StatefulProcessor):
     """Per user: open orders wait in ListState (order_id, ts_us). A payment
     pays every open order placed before it within the timeout; one
