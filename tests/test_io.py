@@ -81,3 +81,11 @@ def test_jdbc_append_read_upsert_exactly_once(spark):
                               batch_id=7, job="j")
     q = JD.query_rows(spark, url, "SELECT ID, NAME, AGE FROM t_student", DERBY_PROPS)
     assert rows(q) == [(1, "a", 20), (2, "B", 31), (3, "c", 22)]
+
+
+def test_print_rows_prefix(spark, capsys):
+    from rivulet.sinks.console import print_rows
+
+    lines = print_rows(spark.createDataFrame([(1,), (3,)], "v int"), "odd", n=5)
+    assert lines == ["odd> (1,)", "odd> (3,)"]
+    assert "odd> (1,)" in capsys.readouterr().out
