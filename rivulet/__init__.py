@@ -1,0 +1,9 @@
+"""rivulet: batch and stream operators as Spark DataFrame functions.
+
+Subpackages: `functions` (column expressions), `operators` (DataFrame →
+DataFrame operators), `sources` and `sinks` (I/O), `streaming` (Structured
+Streaming runners and stateful processors), `plans` (the registered queries
+and the order report). See README.md for the design and coverage.
+"""
+
+__version__ = "0.1.0"
