@@ -29,7 +29,7 @@ def stream_word_count(t):
 
 def _window_stream(t, delay: str, name: str):
     S.prepare(t.spark)
-    ev = S.event_time(S.table_stream(t.spark, t.sf_dir, "events"))
+    ev = S.event_time(S.table_stream(t.spark, t.sf_dir, "events", spread=False))
     g = (ev.withWatermark("ts", delay)
          .groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
          .agg(F.sum(money("value")).alias("total"), F.count(F.lit(1)).alias("n")))
@@ -62,7 +62,7 @@ def stream_watermark(t):
 def stream_union(t):
     """union of two streams of the same type."""
     S.prepare(t.spark)
-    ev = S.table_stream(t.spark, t.sf_dir, "events").select("event_id", "event_type")
+    ev = S.table_stream(t.spark, t.sf_dir, "events", spread=False).select("event_id", "event_type")
     views = ev.where(F.col("event_type") == "view")
     buys = ev.where(F.col("event_type") == "purchase")
     return S.run_append(views.unionByName(buys), "stream-union")
@@ -77,7 +77,7 @@ def stream_keyed_counter(t):
     from rivulet.streaming.stateful import keyed_counter
 
     S.prepare(t.spark)
-    ev = S.table_stream(t.spark, t.sf_dir, "events").select("event_id", "user_id", "ts")
+    ev = S.table_stream(t.spark, t.sf_dir, "events", spread=False).select("event_id", "user_id", "ts")
     return S.run_append(keyed_counter(ev, "user_id", "event_id", "ts"), "stream-keyed-counter")
 
 
@@ -89,7 +89,7 @@ def stream_running_max(t):
     from rivulet.streaming.stateful import keyed_running_max
 
     S.prepare(t.spark)
-    ev = S.table_stream(t.spark, t.sf_dir, "events").select("event_id", "user_id", "ts", "value")
+    ev = S.table_stream(t.spark, t.sf_dir, "events", spread=False).select("event_id", "user_id", "ts", "value")
     return S.run_append(keyed_running_max(ev, "user_id", "event_id", "ts", "value"), "stream-running-max")
 
 
@@ -108,7 +108,7 @@ def stream_order_timeout(t):
     from rivulet.streaming.stateful import order_timeout
 
     S.prepare(t.spark)
-    ev = S.event_time(S.table_stream(t.spark, t.sf_dir, "events"))
+    ev = S.event_time(S.table_stream(t.spark, t.sf_dir, "events", spread=False))
     ev = ev.where(F.col("event_type").isin("view", "purchase")) \
         .select("event_id", "user_id", "event_type", "ts",
                 F.unix_micros("ts").alias("ts_us")).withWatermark("ts", "0 seconds")

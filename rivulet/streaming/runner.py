@@ -34,7 +34,9 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: StructType
     restricted to the table's file; the schema is fixed up front). Each
     benchmark table is one file of one row group, which a file source reads
     in a single task; `spread` deals the rows to all cores before the
-    per-row work. (A Kafka source with many partitions needs no spread.)"""
+    per-row work; it pays off only where that work is heavy (text, JSON),
+    since the stateful operator that follows shuffles anyway. (A Kafka
+    source with many partitions needs no spread.)"""
     if schema is None:
         schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
     r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
