@@ -156,3 +156,17 @@ def stream_report_levels(t):
     lv = R.level_rows(_etl_stream(t), KEY_CITIES)
     g = lv.groupBy("level", "name").agg(F.sum("money").alias("amount"))
     return S.run_update(g, "stream-report-levels", ["level", "name"])
+
+
+@query("stream_dedup_replay", sql="SELECT DISTINCT event_id, event_type FROM events")
+def stream_dedup_replay(t):
+    """M2 on a stream: the events and a replayed slice of them arrive as two
+    streams; duplicates by message id are dropped within a 1-hour watermark,
+    so the dedup state stays bounded."""
+    from rivulet.sinks.kafka import dedup_replay
+
+    S.prepare(t.spark)
+    ev = S.event_time(S.table_stream(t.spark, t.sf_dir, "events", spread=False)).select("event_id", "event_type", "ts")
+    replay = ev.where(F.col("ts") < F.lit("2024-01-04 00:00:00").cast("timestamp"))
+    out = dedup_replay(ev.unionByName(replay), ["event_id"], "ts", "1 hour").select("event_id", "event_type")
+    return S.run_append(out, "stream-dedup-replay")
