@@ -34,3 +34,9 @@ def test_upsert_and_retract(spark):
     old = spark.createDataFrame([("x", 1), ("y", 2)], "k string, n long")
     new = spark.createDataFrame([("x", 1), ("y", 3), ("z", 1)], "k string, n long")
     assert rows(retract_changes(old, new, ["k"])) == [(False, "y", 2), (True, "y", 3), (True, "z", 1)]
+
+
+def test_incremental_aggregate_global(spark):
+    df = spark.range(0, 500, 1, 5).select((F.col("id") / 4).cast("double").alias("v"))
+    got = A.incremental_aggregate(df, [], A.DecimalSum("v"), ["v"], "s", "decimal(28,2)").collect()
+    assert len(got) == 1 and str(got[0]["s"]) == "31187.50"
