@@ -175,3 +175,13 @@ def test_allowed_lateness_stream(spark, tmp_dir):
     assert ("late_fire", 0, 4.0, 3) in got
     assert ("side", 0, None, 5) in got
     assert ("fire", 10000, 6.0, None) in got
+
+
+def test_processing_time_trigger_runner(spark, tmp_dir):
+    """Periodic trigger; the runner stops once the input is processed."""
+    src = f"{tmp_dir}/p"
+    _write_lines(src, "a.json", ['{"id": 1}', '{"id": 2}'])
+    st = spark.readStream.schema("id long").json(src)
+    got = S.run_append(st, "periodic", path=f"{tmp_dir}/o", checkpoint=f"{tmp_dir}/c",
+                       available_now=False, processing_time="200 milliseconds")
+    assert rows(got) == [(1,), (2,)]
