@@ -1,9 +1,9 @@
-"""rivulet: batch and stream operators as Spark DataFrame functions.
+"""rivulet: batch and stream data operators on Spark DataFrames."""
 
-Subpackages: `functions` (column expressions), `operators` (DataFrame →
-DataFrame operators), `sources` and `sinks` (I/O), `streaming` (Structured
-Streaming runners and stateful processors), `plans` (the registered queries
-and the order report). See README.md for the design and coverage.
-"""
+import sys
 
-__version__ = "0.1.0"
+from pyspark import cloudpickle
+
+# Functions and processors of this package travel to the Python workers by
+# value, so executors need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

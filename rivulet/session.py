@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every rivulet job assumes. On a cluster they come from the job's
 # submit configuration; `local_session` sets them for tests and the bench.
@@ -40,8 +41,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    `spark.checkpoint.dir` is read from the session. Only when it is unset
-    (local tests) a private folder is created and registered.
+    `spark.checkpoint.dir` is read from the session. Only in a local session
+    (tests) without the setting is a private folder created and registered;
+    elsewhere a missing setting is an error, since executors could not see
+    a folder of the driver's own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,17 +53,47 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="rivulet-ckpt-")
+        configured = local_folder(sc.master)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def local_folder(master: str) -> str:
+    """A private checkpoint folder, for a single-JVM session only."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master!r}")
+    return tempfile.mkdtemp(prefix="rivulet-ckpt-")
+
+
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder for written tables."""
-    import uuid
-
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/rivulet-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/rivulet-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` once to a scratch table and return the table: its rows are
+    frozen and lost executors cannot change them."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete every scratch table this session has made. To be called when
+    the results that read them are stored; returns how many were deleted."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def ensure_utc(spark: SparkSession) -> None:
