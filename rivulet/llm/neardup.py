@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import hyperminhash as H
 from rivulet.llm.common import components, id_filter, id_slot, lookup
-from rivulet.llm.words import shingle_sets
+from rivulet.llm.words import by_bytes, shingle_sets
 from rivulet.session import written
 
 CELL = 2000
@@ -91,7 +91,7 @@ def _sketcher(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for b in batches:
+        for b in (s for b in batches for s in by_bytes(b, "text")):
             sets = shingle_sets(b.column("text"), shingle)
             reg = H.registers(sets)
             digest = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
@@ -201,7 +201,7 @@ def _confirmed(cells: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
     def sets(batches):
         table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
-        for b in batches:
+        for b in (s for b in batches for s in by_bytes(b, "text")):
             b = b.filter(pa.array(table[b.column("slot").to_numpy()].astype(bool)))
             out = shingle_sets(b.column("text"), shingle)
             yield pa.RecordBatch.from_arrays(

@@ -22,6 +22,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def queries() -> dict:
     return dict(_QUERIES)
 
@@ -36,3 +42,70 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.neardup import near_duplicates
 
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2, threshold=0.8)
+
+
+@query("op6_line_bloom")
+def op6_line_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in at least 10 documents are removed from all of them."""
+    from rivulet.llm.linededup import drop_repeated_lines
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = drop_repeated_lines(docs, min_docs=10, keep="none", min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op7_decision_list")
+def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of all documents and the verdict of a decision list learned
+    from `labels`."""
+    from rivulet.llm import quality
+    from rivulet.session import written
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = written(quality.text_statistics(docs), "stats")
+    failed = quality.base_failed()
+    rules = quality.learn_rules(stats.where(~failed), read(spark, sf_dir, "labels"))
+    return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        failed.alias("base_failed"), (~failed & (rules.verdict() == 0)).alias("kept"),
+                        rules.verdict().alias("rule"))
+
+
+@query("op8_sampled_splitters")
+def op8_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes; equal texts adjoin."""
+    from rivulet.llm.sharding import shard
+
+    text = F.coalesce("text", F.lit(""))
+    rows = read(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.xxhash64(text).alias("text_hash"))
+    out = shard(rows, F.col("size"), F.col("text_hash"), 16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op1_hilbert_packing")
+def op1_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into 4096-token sequences in Hilbert order."""
+    from rivulet.llm.packing import pack
+
+    return pack(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op9_output_codes")
+def op9_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from the rows not held out."""
+    from rivulet.llm import langid
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs.where(~langid.held_out()))
+    out = langid.identify(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query("op3_kmeans_tree")
+def op3_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest rows of every hundredth embedding."""
+    from rivulet.llm.ann import nearest
+
+    return nearest(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))

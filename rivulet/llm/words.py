@@ -68,3 +68,13 @@ def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
             else:
                 out.append(np.zeros(0, np.uint64))
     return out
+
+
+def by_bytes(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+    """Cut a batch into runs of rows with about `limit` bytes of text in
+    `column` (one row at least), so that the arrays made from a run stay small."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(size) // limit
+    edge = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1], [True]])) if len(run) else []
+    for a, b in zip(edge[:-1], edge[1:]):
+        yield batch.slice(int(a), int(b - a))
