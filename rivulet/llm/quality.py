@@ -120,26 +120,29 @@ class RuleList:
         return "\n".join("reject if " + " and ".join(f"{n} {o} {t:.4g}" for n, o, t in r) for r in self.rules)
 
 
-def learn_rules(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
-                sample: int = 20_000, bins: int = 24, precision: float = 0.95, max_rules: int = 8) -> RuleList:
-    """Fit a decision list that rejects rows labelled 0.
-
-    `sample` bounds the labelled rows used (drawn by a hash of the id). Their
-    feature values are cut at `bins` quantiles, so the data reach the driver as
-    counts per cell of bins and label. A rule is kept while its precision on
-    the pruning third (on all labelled rows where that has none) is at
-    least `precision`; without rows of both labels the list is empty. Rows
-    with null ids or labels take no part; of several labels for one id the
-    smallest counts.
-    """
+def labelled(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", sample: int = 20_000) -> DataFrame:
+    """(id, __label): at most about `sample` labelled ids, drawn by a hash of the
+    id. Null ids and labels take no part; of several labels of an id the
+    smallest counts."""
     lab = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(
-        F.min(label_col).alias("__y"))
-    n = lab.count()
-    if not n:
-        return RuleList()
-    lab = lab.where(F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30)))
-    data = stats.join(lab, id_col).select(
-        *[FEATURES[f](F.col).alias(f) for f in FEATURES], (F.col("__y") == 0).alias("bad"),
+        F.min(label_col).alias("__label"))
+    bound = int(min(1.0, sample / max(lab.count(), 1)) * (1 << 30))
+    return lab.where(F.pmod(F.xxhash64(id_col, F.lit(7)), F.lit(1 << 30)) < bound)
+
+
+def learn_rules(stats: DataFrame, id_col: str = "doc_id", bins: int = 24, precision: float = 0.95,
+                max_rules: int = 8) -> RuleList:
+    """Fit a decision list that rejects rows labelled 0 in `stats`, the text
+    statistics of the rows of `labelled` with their __label.
+
+    Feature values are cut at `bins` quantiles, so the data reach the driver as
+    counts per cell of bins and label, at most as many as the labelled sample
+    has rows. A rule is kept while its precision on the pruning third (on all
+    rows where that has none) is at least `precision`; without rows of both
+    labels the list is empty.
+    """
+    data = stats.select(
+        *[FEATURES[f](F.col).alias(f) for f in FEATURES], (F.col("__label") == 0).alias("bad"),
         (F.pmod(F.xxhash64(id_col, F.lit(8)), F.lit(3)) == 0).alias("held"))
     cuts = data.agg(*[F.percentile_approx(f, [i / bins for i in range(1, bins)], 2000).alias(f) for f in FEATURES],
                     F.sum(F.col("bad").cast("int")).alias("n_bad"), F.count(F.lit(1)).alias("n")).first()

@@ -64,7 +64,7 @@ def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     stats = written(quality.text_statistics(docs), "stats")
     failed = quality.base_failed()
-    rules = quality.learn_rules(stats.where(~failed), read(spark, sf_dir, "labels"))
+    rules = quality.learn_rules(stats.where(~failed).join(quality.labelled(read(spark, sf_dir, "labels")), "doc_id"))
     return stats.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                         failed.alias("base_failed"), (~failed & (rules.verdict() == 0)).alias("kept"),
                         rules.verdict().alias("rule"))
@@ -109,3 +109,54 @@ def op3_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.ann import nearest
 
     return nearest(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op2_suffix_array_pieces")
+def op2_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of all documents and the texts decoded from them."""
+    from rivulet.llm import pieces
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("was"), "text")
+    coded = pieces.encode(docs, path).select("doc_id", "was", "ids")
+    back = pieces.decode(coded, path)
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"),
+        (F.sha2("text", 256) == F.col("was")).alias("round_trip"))
+
+
+@query("op4_indexed_warc")
+def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back through the index."""
+    from rivulet.llm import warc
+    from rivulet.session import scratch_path
+
+    folder = scratch_path(spark, "warc")
+    index = warc.write_archives(read(spark, sf_dir, "pages"), folder, min_bytes=0)
+    out = warc.read_records(index, folder)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op5_perspective_rotation", sql="""
+WITH t AS (SELECT conv_id, turn, nullif(trim(role), '') AS role, coalesce(text, '') AS text FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text) - 1 AS number FROM t),
+s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+r AS (SELECT n.conv_id, speaker, number // 64 AS segment, number, role = speaker AS own,
+  '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
+    ELSE 'user (' || coalesce(role, 'unknown') || ')' END || chr(10) AS head, text || '<|im_end|>' AS body
+  FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id),
+p AS (SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, segment ORDER BY number)
+  - length(body) - 1 AS start FROM r)
+SELECT conv_id, speaker, CAST(segment AS BIGINT) AS segment, count(*) AS n_turns,
+  string_agg(head || body || chr(10), '' ORDER BY number) AS rendered,
+  coalesce(string_agg(CASE WHEN own THEN CAST(start AS BIGINT) || ':' || CAST(start + length(body) AS BIGINT) END, ' '
+    ORDER BY number), '') AS mask
+FROM p GROUP BY conv_id, speaker, segment""")
+def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations rendered from every participant's perspective."""
+    from rivulet.llm.chat import perspectives
+
+    out = perspectives(read(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return out.withColumn("mask", F.array_join(spans, " "))
