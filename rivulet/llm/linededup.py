@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivulet.llm.common import lookup, null_safe
 from rivulet.session import written
@@ -60,8 +61,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     drops = hits.groupBy("own").agg(F.collect_set("line").alias("lines"), F.count(F.lit(1)).alias("n"))
     drops = drops.select("own", "lines", (F.col("n") / F.size("lines")).cast("long").alias("n_rows"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    out = lookup(docs.select(*names, own.alias("own")), drops, ["own"], ["lines"], n)
-    out = out.withColumn("__cut", _cut(F.col(text_col), F.col("lines")))
+    drops = drops.select(F.col("own").alias("__own"), F.col("lines").alias("__lines"), "n_rows")
+    out = lookup(docs.select(*names, own.alias("__own")), drops, ["__own"], ["__lines"], n)
+    out = out.withColumn("__cut", _cut(F.col(text_col), F.col("__lines")))
     return out.select(*[F.col("__cut.text").alias(c) if c == text_col else F.col(c) for c in names],
                       "__cut.n_lines", "__cut.n_dropped")
 
@@ -150,7 +152,8 @@ def _suspects(sent, min_chars: int, bits: int):
     return run
 
 
-@F.pandas_udf("text string, n_lines long, n_dropped long")
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()),
+                            T.StructField("n_dropped", T.LongType())]))
 def _cut(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
     out = []
     for t, d in zip(text, drop):
