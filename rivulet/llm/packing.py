@@ -22,7 +22,7 @@ from rivulet.llm.common import partitions
 from rivulet.llm.words import by_bytes, split_words, word_hashes
 
 DIMS, BITS, SALT_BITS, BUCKETS = 3, 14, 20, 256
-WORD_CACHE = 200_000
+WORD_CACHE = 400_000
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -72,37 +72,79 @@ def curve_keys(texts: pa.Array) -> np.ndarray:
 
 
 class WordTokenizer:
-    """Token ids of texts by a tokenizer that treats white-space separated
-    words apart: distinct words are encoded once and kept in a bounded cache."""
+    """Token ids of texts by a BPE tokenizer that lower-cases, treats
+    white-space separated words apart and letter runs apart from other
+    characters, and marks the end of every run ("</w>"). Distinct runs are
+    encoded once in a Python worker and kept in a bounded cache."""
+
+    MARKS = b".,;:!?"
 
     def __init__(self, source: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        self.source, self.tok, self.known, self.words = source, None, {}, {}
 
-        self.tok, self.known = Tokenizer.from_str(source), {}
+    def __getstate__(self) -> dict:
+        return {"source": self.source, "tok": None, "known": {}, "words": {}}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets of each text)."""
         words, idx, off = split_words(texts)
         if not len(idx):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
-        words = words.to_pylist()
-        if len(self.known) > WORD_CACHE:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        for a in range(0, len(new), 20_000):
-            part = new[a:a + 20_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[w] = e.ids
-        ids = [self.known[w] for w in words]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(size.sum()))
+        if self.tok is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.tok = Tokenizer.from_str(self.source)
+            vocab = self.tok.get_vocab()
+            self.ends = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        for cache in (self.known, self.words):
+            if len(cache) > WORD_CACHE:
+                cache.clear()
+        words = words.cast(pa.large_binary()).to_pylist()
+        new = [w for w in words if w not in self.words]
+        runs = [self._runs(w) for w in new]
+        self._learn(list(set(chain.from_iterable(runs)).difference(self.known)))
+        get = self.known.__getitem__
+        self.words.update(zip(new, [get(core) + get(tail) if tail else get(core) for core, tail in runs]))
+        ids = list(map(self.words.__getitem__, words))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), "<u4")
         start = np.cumsum(size) - size
         count = size[idx]
         end = np.cumsum(count)
         out = flat[np.repeat(start[idx] - (end - count), count) + np.arange(end[-1])]
         return out, np.concatenate([[0], end])[off]
 
+    def _runs(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word as letters and closing marks, or as it is."""
+        core = word.rstrip(self.MARKS)
+        if core.decode().isalpha():
+            return core.lower(), word[len(core):]
+        return word, b""
+
+    def _learn(self, runs: list[bytes]) -> None:
+        self.known[b""] = b""
+        letters, other = [], []
+        for r in runs:
+            (letters if r.decode().isalpha() else other).append(r)
+        for a in range(0, len(letters), 20_000):
+            # many runs in one text: each ends at the next end-of-word token
+            groups = [letters[b:b + 200] for b in range(a, min(a + 20_000, len(letters)), 200)]
+            for g, e in zip(groups, self.tok.encode_batch_fast([b" ".join(g).decode() for g in groups],
+                                                               add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                end = np.flatnonzero(self.ends[ids]) + 1
+                if len(end) != len(g):
+                    other += g
+                    continue
+                data, end = ids.tobytes(), (4 * end).tolist()
+                self.known.update(zip(g, [data[x:y] for x, y in zip([0, *end], end)]))
+        for a in range(0, len(other), 5_000):
+            part = other[a:a + 5_000]
+            for r, e in zip(part, self.tok.encode_batch_fast([r.decode() for r in part], add_special_tokens=False)):
+                self.known[r] = np.array(e.ids, "<u4").tobytes()
+
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
          length: int = 4096, sample: int = 4000, with_ids: bool = False) -> DataFrame:
@@ -153,23 +195,23 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     ranged = rows.mapInArrow(placed, "id long, text string, key long, part int")
     ranged = ranged.repartitionById(n, F.col("part")).sortWithinPartitions("part", "key", "id")
     with open(tokenizer_path, encoding="utf-8") as f:
-        source = spark.sparkContext.broadcast(f.read())
+        tokenizer = spark.sparkContext.broadcast(WordTokenizer(f.read()))
     schema = (f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
               "offset long" + (", ids array<int>" if with_ids else ""))
     return ranged.select("id", "text", "part").mapInArrow(
-        _packer(source, id_col, end_id, length, with_ids), schema)
+        _packer(tokenizer, id_col, end_id, length, with_ids), schema)
 
 
 def _keys(b: pa.RecordBatch) -> np.ndarray:
     return (curve_keys(b.column("text")) << SALT_BITS) | b.column("salt").to_numpy()
 
 
-def _packer(source, id_col: str, end_id: int, length: int, with_ids: bool):
+def _packer(tokenizer, id_col: str, end_id: int, length: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = WordTokenizer(source.value)
+        tok = tokenizer.value
         line = _Line(id_col, length, with_ids)
         for b in batches:
-            for s in by_bytes(b, "text"):
+            for s in by_bytes(b, "text", 8 << 20):
                 part = s.column("part").to_numpy()
                 edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
                 for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):

@@ -10,7 +10,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 
 def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -40,9 +39,19 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each distinct word."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words.cast(pa.large_binary()).to_pylist()),
-                       np.uint64, len(words))
+    """A 64-bit hash of each distinct word (none is empty): the sum of a random
+    value for every (place, byte) of the word, mixed once more."""
+    a = words.cast(pa.large_binary())
+    if not len(a):
+        return np.zeros(0, np.uint64)
+    _, off, data = a.buffers()
+    off = np.frombuffer(off, np.int64)[a.offset:a.offset + len(a) + 1]
+    size = np.diff(off)
+    byte = np.frombuffer(data, np.uint8)[off[0]:off[-1]].astype(np.uint64)
+    start = off[:-1] - off[0]
+    place = (np.arange(len(byte)) - np.repeat(start, size)).astype(np.uint64)
+    value = mix((place << np.uint64(8) | byte) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019))
+    return mix(np.add.reduceat(value, start) + size.astype(np.uint64))
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
