@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from rivulet.llm.common import partitions
 from rivulet.session import written
 
-BLOCK = 4096
+SLAB = 1 << 14
 
 
 @dataclass
@@ -117,8 +117,8 @@ def usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, in
 
 
 def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10,
-            query_mod: int = 100, sample: int = 20_000, fan: int = 16, leaf_rows: int = 60, depth: int = 4,
-            calibration: int = 200, recall: float = 0.98) -> DataFrame:
+            query_mod: int = 100, sample: int = 20_000, fan: int = 16, leaf_rows: int = 80, depth: int = 4,
+            calibration: int = 200, recall: float = 0.95) -> DataFrame:
     """The `k` nearest rows by Euclidean distance of every row whose id is
     divisible by `query_mod`: (query_id, rank, vec_id, score), rank from 1,
     ties to the smaller id, score the exact distance of the original vectors in
@@ -129,14 +129,16 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
 
     `sample` bounds the rows the tree is fitted on, `calibration` the queries
     compared with brute force over all rows to choose how far searches go.
+    Neighbouring leaves are stored together in slabs of at most about SLAB
+    rows, a larger leaf in several; a task holds one slab while the queries that
+    visit it stream by.
     """
     spark = vectors.sparkSession
     rows, dim = usable(vectors, id_col, vec_col)
     rows = written(rows, "vectors")
     n = rows.count()
-    schema = "query_id long, rank int, vec_id long, score double"
     if not n:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     drawn = rows.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30)))
     fit = sorted((r.id, r.vec) for r in drawn.collect())  # about `sample` vectors
     fit = np.array([v for _, v in fit]).reshape(len(fit), dim)
@@ -149,85 +151,122 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
 
     indexed = written(rows.mapInArrow(leaves, "id long, vec array<double>, leaf long"), "leaves")
     size = {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per leaf
+    first, count, n_slabs = _slabs(size, tree.value.leaves(), max(1, min(SLAB, -(-n // partitions(vectors)))))
     queries = indexed.where(F.pmod("id", F.lit(query_mod)) == 0).select("id", "vec").distinct()
     visits = _calibrated(indexed, queries, tree, dim, k, calibration, recall)
 
-    def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            leaf = b.column("leaf").to_numpy()
+            turn = (np.arange(len(leaf)) * 2654435761 >> 7) % np.maximum(count[leaf], 1)
+            yield _cells(first[leaf] + turn, 0, b.column("id"), b.column("vec"), leaf[:, None])
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            x, ids = _matrix(b.column("vec"), dim), b.column("id").to_pylist()
-            take, leaf, block = [], [], []
+            x, slab, row, seen = _matrix(b.column("vec"), dim), [], [], []
             for i in range(len(x)):
+                mine: dict[int, list[int]] = {}
                 for f in tree.value.best_bins(x[i], visits):
-                    for j in range(size.get(f, 0) // BLOCK + 1 if f in size else 0):
-                        take.append(i), leaf.append(f), block.append(j)
-            at = pa.array(take, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leaf, pa.int64()), pa.array(block, pa.int64()), pa.array([0] * len(take), pa.int32()),
-                 pa.array(ids, pa.int64()).take(at), b.column("vec").take(at)],
-                ["leaf", "block", "side", "id", "vec"])
-
-    # a leaf of more than BLOCK rows is cut into blocks that each search visits one by one
-    schema_in = "leaf long, block long, side int, id long, vec array<double>"
-    parts = F.element_at(F.create_map(*[F.lit(x) for f, c in size.items() if c >= BLOCK for x in (f, c // BLOCK + 1)]),
-                         F.col("leaf")) if any(c >= BLOCK for c in size.values()) else F.lit(1)
-    side1 = indexed.select("leaf", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce(parts, F.lit(1)))
-                           .cast("long").alias("block"), F.lit(1).alias("side"), "id", "vec")
-    cells = queries.mapInArrow(plan, schema_in).unionByName(side1)
-    cells = cells.repartition(partitions(vectors), "leaf", "block").sortWithinPartitions("leaf", "block", "side", "id")
-    near = cells.mapInArrow(_scan_cells(dim, k), "query_id long, vec_id long, score double")
+                    for s in range(first[f], first[f] + count[f]):
+                        mine.setdefault(s, []).append(f)
+                slab += mine
+                seen += mine.values()
+                row += [i] * len(mine)
+            at = pa.array(row, pa.int64())
+            yield _cells(np.array(slab, np.int64), 1, b.column("id").take(at), b.column("vec").take(at), seen)
+
+    schema = "slab long, side int, id long, vec array<double>, leaves array<long>"
+    cells = indexed.mapInArrow(store, schema).unionByName(queries.mapInArrow(visit, schema))
+    cells = cells.repartitionById(n_slabs, F.col("slab").cast("int")).sortWithinPartitions("slab", "side")
+    near = cells.mapInArrow(_scan_slabs(dim, k), "query_id long, vec_id long, score double")
     best = near.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("all"))
     out = best.select("query_id", F.posexplode(F.slice("all", 1, k)).alias("pos", "hit"))
     return out.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), "hit.vec_id", "hit.score")
 
 
+def _slabs(size: dict[int, int], leaves: int, rows: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(first slab, number of slabs) of every leaf and the number of slabs:
+    leaves in their order share a slab up to about `rows` rows; a larger leaf
+    has slabs of its own."""
+    first, count = (np.zeros(leaves, np.int64) for _ in range(2))
+    slab, held = 0, 0
+    for f, n in sorted(size.items()):
+        if held and held + n > rows:
+            slab, held = slab + 1, 0
+        first[f], count[f] = slab, max(1, -(-n // rows))
+        slab, held = slab + count[f] - 1, held + n if count[f] == 1 else rows
+    return first, count, int(slab) + 1
+
+
+def _cells(slab, side: int, ids: pa.Array, vec: pa.Array, leaves) -> pa.RecordBatch:
+    n = len(ids)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(slab, pa.int64()), pa.array([side] * n, pa.int32()), ids, vec,
+         pa.array([list(map(int, x)) for x in leaves], pa.list_(pa.int64()))], ["slab", "side", "id", "vec", "leaves"])
+
+
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
-def _top(q: np.ndarray, q_id: int, x: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Exact distances and row numbers of the k nearest rows of x by (distance, id)."""
-    d = np.sqrt(((x - q) ** 2).sum(axis=1))
-    rows = np.flatnonzero(ids != q_id)
-    if len(rows) > k:
-        edge = np.partition(d[rows], k - 1)[k - 1]
-        rows = rows[d[rows] <= edge]
-    rows = rows[np.lexsort((ids[rows], d[rows]))][:k]
-    return d[rows], rows
-
-
-def _scan_cells(dim: int, k: int):
-    """Cells arrive one after another, queries (side 0) before rows; each query
-    gets the cell's k nearest rows."""
-    def found(part: pa.Table) -> pa.RecordBatch:
-        side, ids = part["side"].to_numpy(), part["id"].to_numpy()
-        x = _matrix(part["vec"].combine_chunks(), dim)
-        rows = side == 1
-        qs, out = np.flatnonzero(~rows), ([], [], [])
-        for i in qs.tolist() if rows.any() else []:
-            d, at = _top(x[i], ids[i], x[rows], ids[rows], k)
-            for to, v in zip(out, ([ids[i]] * len(at), ids[rows][at], d)):
-                to.extend(v)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                                           pa.array(out[2], pa.float64())], ["query_id", "vec_id", "score"])
+def _nearest_rows(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, open_rows=None):
+    """(query, row, distance) arrays of the k nearest rows of x by (distance,
+    id) for every query, without rows of the query's id and, where given, only
+    among the rows marked in open_rows (queries x rows). A matrix product
+    selects candidates with a margin over its rounding error; their distances
+    are then computed from the differences."""
+    out = []
+    norm = (x * x).sum(1)
+    for a in range(0, len(q), 256):
+        qs = q[a:a + 256]
+        d = (qs * qs).sum(1)[:, None] - 2 * qs @ x.T + norm[None]
+        closed = q_ids[a:a + 256, None] == ids[None]
+        if open_rows is not None:
+            closed |= ~open_rows[a:a + 256]
+        d[closed] = np.inf
+        slack = 1e-9 * ((qs * qs).sum(1) + norm.max(initial=0.0))
+        edge = np.partition(d, k - 1, axis=1)[:, k - 1] if len(x) > k else d.max(axis=1, initial=0.0)
+        i, j = np.nonzero((d <= (edge + slack)[:, None]) & ~closed)
+        exact = np.sqrt(((x[j] - qs[i]) ** 2).sum(axis=1))
+        by = np.lexsort((ids[j], exact, i))
+        i, j, exact = i[by], j[by], exact[by]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        top = rank < k
+        out.append((i[top] + a, j[top], exact[top]))
+    return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+
+
+def _scan_slabs(dim: int, k: int):
+    """Slabs arrive one after another, their rows (side 0) before the queries
+    that visit them; each query gets the slab's k nearest rows."""
+    def found(rows: list, batch: pa.RecordBatch) -> pa.RecordBatch:
+        x, ids, leaf = (np.concatenate(c) for c in zip(*rows))
+        q, q_ids = _matrix(batch.column("vec"), dim), batch.column("id").to_numpy()
+        seen = batch.column("leaves").to_pylist()
+        names, place = np.unique(leaf, return_inverse=True)
+        visited = np.array([np.isin(names, s) for s in seen]).reshape(len(q), len(names))
+        i, j, d = _nearest_rows(q, q_ids, x, ids, k, visited[:, place])
+        return pa.RecordBatch.from_arrays([pa.array(q_ids[i]), pa.array(ids[j]), pa.array(d)], ["query_id", "vec_id", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        now, rows = None, []
         for b in batches:
             if not b.num_rows:
                 continue
-            leaf, block = b.column("leaf").to_numpy(), b.column("block").to_numpy()
-            edge = np.flatnonzero(np.concatenate(
-                [[True], (leaf[1:] != leaf[:-1]) | (block[1:] != block[:-1]), [True]]))
+            slab, side = b.column("slab").to_numpy(), b.column("side").to_numpy()
+            edge = np.flatnonzero(np.concatenate([[True], (slab[1:] != slab[:-1]) | (side[1:] != side[:-1]), [True]]))
             for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                if (leaf[lo], block[lo]) != key and held:
-                    yield found(pa.Table.from_batches(held))
-                    held = []
-                key = (leaf[lo], block[lo])
-                held.append(b.slice(lo, hi - lo))
-        if held:
-            yield found(pa.Table.from_batches(held))
+                if slab[lo] != now:
+                    now, rows = slab[lo], []
+                part = b.slice(lo, hi - lo)
+                if side[lo] == 0:
+                    rows.append((_matrix(part.column("vec"), dim), part.column("id").to_numpy(),
+                                 part.column("leaves").flatten().to_numpy()))
+                elif rows:
+                    for c in range(0, part.num_rows, 1024):
+                        yield found(rows, part.slice(c, 1024))
     return run
 
 
@@ -238,23 +277,21 @@ def _calibrated(indexed: DataFrame, queries: DataFrame, tree, dim: int, k: int,
     some = queries.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(calibration).collect()  # `calibration` rows
     if not some:
         return 1
-    qid = np.array([r.id for r in some])
+    q_ids = np.array([r.id for r in some])
     q = np.array([r.vec for r in some]).reshape(len(some), dim)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = [(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q)  # of this task
+        best = (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
         for b in batches:
             if not b.num_rows:
                 continue
-            x, ids, leaf = _matrix(b.column("vec"), dim), b.column("id").to_numpy(), b.column("leaf").to_numpy()
-            for i in range(len(q)):
-                d, at = _top(q[i], qid[i], x, ids, k)
-                d, at, f = (np.concatenate(p) for p in zip(best[i], (d, ids[at], leaf[at])))
-                keep = np.lexsort((at, d))[:k]
-                best[i] = d[keep], at[keep], f[keep]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(np.arange(len(q)), [len(x[0]) for x in best])),
-             *(pa.array(np.concatenate([x[j] for x in best])) for j in range(3))], ["query", "score", "id", "leaf"])
+            ids, leaf = b.column("id").to_numpy(), b.column("leaf").to_numpy()
+            i, j, d = _nearest_rows(q, q_ids, _matrix(b.column("vec"), dim), ids, k)
+            i, d, name, leaf = (np.concatenate(c) for c in zip(best, (i, d, ids[j], leaf[j])))
+            by = np.lexsort((name, d, i))
+            by = by[np.arange(len(by)) - np.searchsorted(i[by], i[by]) < k]
+            best = i[by], d[by], name[by], leaf[by]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in best], ["query", "score", "id", "leaf"])
 
     near = indexed.mapInArrow(exact, "query long, score double, id long, leaf long")
     true = near.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("score", "id", "leaf"))).alias("all")).select(
