@@ -23,7 +23,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import lookup
+from rivulet.llm.common import lookup, partitions
 from rivulet.session import scratch_path, written
 
 INDEX = ("file string, offset long, length long, url string, payload_digest string, payload_bytes long, "
@@ -138,6 +138,8 @@ def read_records(selected: DataFrame, folder: str, max_gap: int = 64 << 10, max_
     runs = runs.groupBy("file", "run", F.floor(F.col("offset") / max_run).alias("part")).agg(
         F.min("offset").alias("start"), F.max(F.col("offset") + F.col("length")).alias("end"),
         F.array_sort(F.collect_list(F.struct("offset", "length"))).alias("records"))
+    # a range is a small row that stands for megabytes, so its size must not decide how many tasks read
+    runs = runs.repartition(partitions(selected), "file", "run", "part")
     columns = [("page_id", "long"), ("url", "string"), ("record_type", "string"), ("payload_bytes", "long"),
                ("payload_digest", "string"), ("refers_to", "long")] + [("payload", "binary")] * with_payload
 
