@@ -4,15 +4,14 @@ window.
 
 A window `OVER (PARTITION BY k ORDER BY t)` sends every row of a key to one
 task, and an un-partitioned window sends the whole table to one task. Here
-the rows are range-partitioned on (keys, order) instead, so a hot key is
-split over many partitions. Each partition computes its local running
-values (vectorised, inside `mapInPandas`); the result is written once as a
-table in the shared checkpoint folder (range bounds are sampled, so the
-partition contents must be frozen before they are read twice). A carry per
-partition — the aggregate of the same key in all earlier partitions,
-computed from one summary row per partition — is then broadcast back and
-combined. The broadcast holds one row per partition, a bound fixed by
-configuration, not by the data.
+every row is tagged with the number of its range of (keys, order): the range
+bounds are quantiles of a sample drawn by a hash of the row's position, so
+they are the same whenever they are computed, and a binary search over them
+is one expression. A key that spans several ranges is split at them: the
+window runs over (range, keys), and a carry per range — the aggregate of the
+same key in all earlier ranges — is broadcast and combined. Only keys that a
+bound falls into can span ranges, so the carry holds at most two rows per
+range. Nothing is written and nothing leaves the JVM.
 """
 
 from __future__ import annotations
@@ -20,21 +19,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from rivulet.session import scratch_path
-
-_PID = "_scan_pid"
-_ROW = "_scan_row"
+SAMPLE_PER_RANGE = 100
+_BOUNDS, _PART = "_scan_bounds", "_scan_part"
 
 
 @dataclass(frozen=True)
 class Running:
-    """One running aggregate of a numeric column: `how` in sum | max |
-    count | last (last non-null value). `inclusive=False` gives the value
-    over the rows strictly before the current one."""
+    """One running aggregate: `how` in sum | max | count | last (last
+    non-null value). `inclusive=False` gives the value over the rows
+    strictly before the current one. Nulls are skipped as by SQL aggregates;
+    results have the type of the SQL aggregate of the column."""
 
     value: str | None
     how: str
@@ -42,274 +39,109 @@ class Running:
     inclusive: bool = True
 
 
-def _ranged(df: DataFrame, cols: list[str], num_partitions: int | None) -> DataFrame:
-    """Range partitions on `cols`, sorted inside. Without an explicit count
-    the exchange starts from `spark.sql.shuffle.partitions` and AQE merges
-    neighbouring ranges to its advisory partition size (order is kept), so
-    partitions follow the data volume."""
-    c = [F.col(x) for x in cols]
-    r = df.repartitionByRange(num_partitions, *c) if num_partitions else df.repartitionByRange(*c)
-    return r.sortWithinPartitions(*cols)
+def _range_bounds(df: DataFrame, cols: Sequence[str], ranges: int) -> Column:
+    """An array of `ranges - 1` quantiles of struct(cols) as a scalar
+    subquery over a sample of about `ranges * SAMPLE_PER_RANGE` rows."""
+    n = df.agg(F.count(F.lit(1))).scalar()
+    share = F.lit(float(ranges * SAMPLE_PER_RANGE * (1 << 30))) / F.greatest(n, F.lit(1))
+    keys = df.select(F.struct(*cols).alias("k"))
+    drawn = keys.where(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < share)
+    all_keys = drawn.agg(F.sort_array(F.collect_list("k")).alias("a"))
+    at = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)),
+                     lambda i: F.try_element_at("a", F.greatest(F.lit(1), F.ceil(i * F.size("a") / ranges).cast("int"))))
+    return all_keys.select(at.alias("b")).scalar()
+
+
+def _range_of(key: Column, ranges: int) -> Column:
+    """How many bounds are at most `key`: a binary search as a fold over
+    halving steps."""
+    steps = [1 << i for i in range((ranges - 1).bit_length() - 1, -1, -1)]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda lo, s: lo + F.when((lo + s <= ranges - 1) & (F.try_element_at(_BOUNDS, lo + s) <= key), s).otherwise(0))
 
 
-def _local_scan(keys: list[str], specs: list[Running]):
-    """Running aggregates inside one partition whose rows arrive sorted by
-    (keys, order). Only the last key of a batch carries into the next."""
-    import numpy as np
-    import pandas as pd
-    from pyspark import TaskContext
+def with_ranges(df: DataFrame, cols: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """`df` tagged with the number (`_scan_part`) of each row's range of
+    struct(cols), and the bounds the numbers refer to."""
+    ranges = max(2, ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    d = df.withColumn(_BOUNDS, _range_bounds(df, cols, ranges))
+    return d.withColumn(_PART, _range_of(F.struct(*cols), ranges))
 
-    def run(batches):
-        pid = TaskContext.get().partitionId()
-        carry_key = None
-        carry: dict[str, float] = {}
-        row0 = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            if keys:
-                codes = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-                first_key = tuple(pdf.loc[0, keys])
-                last_key = tuple(pdf.loc[n - 1, keys])
-            else:
-                codes = np.zeros(n, dtype=np.int64)
-                first_key = last_key = ()
-            cont = pd.Series((codes == 0) & (carry_key is not None and first_key == carry_key))
-            for s in specs:
-                if s.how == "count":
-                    v = pd.Series(np.ones(n, dtype=np.int64))
-                elif s.how == "sum":
-                    v = pdf[s.value].fillna(0)
-                else:
-                    v = pdf[s.value].astype("float64") if s.how == "max" else pdf[s.value]
-                g = v.groupby(codes, sort=False)
-                if s.how in ("sum", "count"):
-                    inc = g.cumsum()
-                    exc = inc - v
-                elif s.how == "max":
-                    inc = g.cummax()
-                    exc = inc.groupby(codes, sort=False).shift(1)
-                else:
-                    inc = g.ffill()
-                    exc = inc.groupby(codes, sort=False).shift(1)
-                c = carry.get(s.out)
-                if c is not None and cont.any():
-                    if s.how in ("sum", "count"):
-                        inc = inc.where(~cont, inc + c)
-                        exc = exc.where(~cont, exc + c)
-                    elif s.how == "max":
-                        inc = inc.where(~cont, np.fmax(inc, c))
-                        exc = exc.where(~cont, np.fmax(exc, c))
-                    else:
-                        inc = inc.where(~cont | inc.notna(), c)
-                        exc = exc.where(~cont | exc.notna(), c)
-                last_val = inc.iloc[-1]
-                carry[s.out] = None if pd.isna(last_val) else last_val
-                pdf[s.out] = (inc if s.inclusive else exc).to_numpy()
-                if not s.inclusive:
-                    pdf[f"_inc_{s.out}"] = inc.to_numpy()
-            carry_key = last_key
-            pdf[_PID] = pid
-            pdf[_ROW] = np.arange(row0, row0 + n, dtype=np.int64)
-            row0 += n
-            yield pdf
 
-    return run
+def _total(s: Running, order: Sequence[str]) -> Column:
+    """The aggregate of a group of rows."""
+    if s.how == "count":
+        return F.count(F.lit(1))
+    v = F.col(s.value)
+    if s.how == "sum":
+        return F.sum(v)
+    if s.how == "max":
+        return F.max(v)
+    return F.max_by(v, F.when(v.isNotNull(), F.struct(*order)))
 
 
-def _out_type(spec: Running, types: dict):
-    if spec.how == "count":
-        return LongType()
-    if spec.how == "max":
-        return DoubleType()
-    if spec.how == "sum":
-        return LongType() if isinstance(types[spec.value], LongType) else DoubleType()
-    return types[spec.value]
+def _over(s: Running, value: Column, w) -> Column:
+    """The aggregate of a column of values, or of totals, over a window."""
+    if s.how in ("sum", "count"):
+        return F.sum(value).over(w)
+    return F.max(value).over(w) if s.how == "max" else F.last(value, ignorenulls=True).over(w)
 
 
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-               specs: Sequence[Running], num_partitions: int | None = None) -> DataFrame:
+               specs: Sequence[Running], ranges: int | None = None) -> DataFrame:
     """Add running aggregates per `keys` in `order`. The order columns must
-    make rows unique within a key (end with an id). `keys=()` scans the
-    whole table in one order. Output types: count → bigint, max → double,
-    sum → bigint for bigint input else double, last → input type."""
-    from pyspark.sql.types import DecimalType
-
-    spark = df.sparkSession
+    make rows unique within a key (end with an id); nulls sort first and a
+    null key is a key of its own. `keys=()` scans the whole table in one
+    order."""
     keys, order, specs = list(keys), list(order), list(specs)
-    # decimal sums run exactly on unscaled longs and are scaled back after
-    dec = {s.out: df.schema[s.value].dataType for s in specs
-           if s.how == "sum" and isinstance(df.schema[s.value].dataType, DecimalType)}
-    if dec:
-        orig_cols = df.columns
-        for s in specs:
-            if s.out in dec:
-                df = df.withColumn(f"_unscaled_{s.out}",
-                                   (F.col(s.value) * (10 ** dec[s.out].scale)).cast("bigint"))
-        specs_in = [Running(f"_unscaled_{s.out}", s.how, s.out, s.inclusive) if s.out in dec else s
-                    for s in specs]
-        res = keyed_scan(df, keys, order, specs_in, num_partitions)
-        fixed = [(F.col(s.out).cast(DecimalType(38, dec[s.out].scale)) / (10 ** dec[s.out].scale))
-                 .cast(DecimalType(38, dec[s.out].scale)).alias(s.out) if s.out in dec else F.col(s.out)
-                 for s in specs]
-        return res.select(*orig_cols, *fixed)
-    ranged = _ranged(df, keys + order, num_partitions)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields = list(df.schema.fields)
+    d = with_ranges(df, keys + order, ranges)
+
+    # the keys that the lower or the upper bound of a range falls into
+    spans = F.lit(False) if keys else F.lit(True)
+    for bound in (F.try_element_at(_BOUNDS, F.nullif(F.col(_PART), F.lit(0))), F.try_element_at(_BOUNDS, F.col(_PART) + 1)):
+        same = bound.isNotNull() if keys else F.lit(True)
+        for k in keys:
+            same = same & bound.getField(k).eqNullSafe(F.col(k))
+        spans = spans | same
+    totals = d.where(spans).groupBy(_PART, *keys).agg(*[_total(s, order).alias(f"_total_{s.out}") for s in specs])
+    before = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(F.col(_PART).alias("_carry_part"), *[F.col(k).alias(f"_carry_key_{k}") for k in keys],
+                          *[_over(s, F.col(f"_total_{s.out}"), before).alias(f"_carry_{s.out}") for s in specs])
+    on = F.col(_PART) == F.col("_carry_part")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_carry_key_{k}"))
+    # at most two rows per range
+    j = d.drop(_BOUNDS).join(F.broadcast(carry), on, "left")
+
+    out = []
     for s in specs:
-        fields.append(StructField(s.out, _out_type(s, types), True))
-        if not s.inclusive:
-            fields.append(StructField(f"_inc_{s.out}", _out_type(s, types), True))
-    fields += [StructField(_PID, LongType(), False), StructField(_ROW, LongType(), False)]
-    local = ranged.mapInPandas(_local_scan(keys, specs), StructType(fields))
-    # freeze the partitioning: written once to the shared checkpoint folder
-    path = scratch_path(spark, "scan")
-    local.write.parquet(path)
-    local = spark.read.parquet(path)
-
-    # per partition: its first key, and its last key with the running values
-    # at its last row (= partial aggregate of that key in the partition)
-    kcols = [F.col(c) for c in keys]
-    inc = [F.col(s.out if s.inclusive else f"_inc_{s.out}").alias(s.out) for s in specs]
-    last = F.max_by(F.struct(*kcols, *inc), F.col(_ROW))
-    first = F.min_by(F.struct(*kcols, F.lit(0).alias("_k")), F.col(_ROW))
-    summ = local.groupBy(_PID).agg(first.alias("first"), last.alias("last"))
-    # carry into partition j = aggregate of the run of earlier partitions that
-    # end with j's first key. Windows over the summary (one row per
-    # partition): running aggregate per last key, then the previous row.
-    from pyspark.sql import Window
-
-    lk = [F.col(f"last.{c}") for c in keys] or [F.lit(0)]
-    w_key = Window.partitionBy(*lk).orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
-    cum = []
-    for s in specs:
-        v = F.col(f"last.{s.out}")
+        w = Window.partitionBy(_PART, *keys).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, 0 if s.inclusive else -1)
+        local = F.count(F.lit(1)).over(w) if s.how == "count" else _over(s, F.col(s.value), w)
+        c = F.col(f"_carry_{s.out}")
         if s.how in ("sum", "count"):
-            cum.append(F.sum(v).over(w_key).alias(f"_cum_{s.out}"))
-        elif s.how == "max":
-            cum.append(F.max(v).over(w_key).alias(f"_cum_{s.out}"))
+            both = F.coalesce(local + c, local, c)
         else:
-            cum.append(F.last(v, ignorenulls=True).over(w_key).alias(f"_cum_{s.out}"))
-    w_all = Window.orderBy(_PID)
-    summ2 = summ.select(_PID, "first", "last", *cum)
-    prev_match = F.lit(True)
-    for c in keys:
-        prev_match = prev_match & F.lag(F.col(f"last.{c}")).over(w_all).eqNullSafe(F.col(f"first.{c}"))
-    prev_match = prev_match & F.lag(F.col(_PID)).over(w_all).isNotNull()
-    carry = summ2.select(_PID, *[F.when(prev_match, F.lag(F.col(f"_cum_{s.out}")).over(w_all))
-                                 .alias(f"_carry_{s.out}") for s in specs])
-    firsts = summ.select(_PID, *[F.col(f"first.{c}").alias(f"_first_{c}") for c in keys])
-    # one row per partition: a bounded broadcast
-    car = F.broadcast(firsts.join(carry, _PID).where(F.col(f"_carry_{specs[0].out}").isNotNull()
-                                                    | F.lit(len(specs) > 1)))
-    out = local.join(car, _PID, "left")
-
-    match = F.lit(True)
-    for c in keys:
-        match = match & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
-    cols = []
-    for s in specs:
-        cv, lv = F.col(f"_carry_{s.out}"), F.col(s.out)
-        if s.how in ("sum", "count"):
-            val = F.when(match & cv.isNotNull(), F.coalesce(lv, F.lit(0)) + cv).otherwise(lv)
-        elif s.how == "max":
-            val = F.when(match & cv.isNotNull(),
-                         F.when(lv.isNull(), cv).otherwise(F.greatest(lv, cv))).otherwise(lv)
-        else:
-            val = F.when(match & lv.isNull(), cv).otherwise(lv)
-        cols.append(val.cast(_out_type(s, types)).alias(s.out))
-    return out.select(*df.columns, *cols)
+            both = F.greatest(local, c) if s.how == "max" else F.coalesce(local, c)
+        out.append(both.alias(s.out))
+    return j.select(*df.columns, *out)
 
 
-def global_seq(df: DataFrame, order: Sequence[str], out: str = "seq",
-               num_partitions: int | None = None) -> DataFrame:
+def global_seq(df: DataFrame, order: Sequence[str], out: str = "seq", ranges: int | None = None) -> DataFrame:
     """Dense 1-based row number over the whole table in `order` (a total
     order), without a one-task window."""
-    return keyed_scan(df, (), order, [Running(None, "count", out)], num_partitions)
-
-
-def _local_sessions(keys: list[str], ts: str, gap: int, out: str):
-    """Session start per row inside one partition sorted by (keys, ts, tie);
-    the partition's first row provisionally opens a session."""
-    import numpy as np
-    import pandas as pd
-    from pyspark import TaskContext
-
-    def run(batches):
-        pid = TaskContext.get().partitionId()
-        carry_key, carry_ts, carry_start = None, None, None
-        row0 = 0
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            codes = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy() if keys \
-                else np.zeros(n, dtype=np.int64)
-            first_key = tuple(pdf.loc[0, keys]) if keys else ()
-            t = pdf[ts].astype("int64")
-            prev = t.groupby(codes, sort=False).shift(1)
-            cont = (codes == 0) & (carry_key is not None and first_key == carry_key)
-            if cont.any():
-                prev.iloc[0] = carry_ts
-            flag = prev.isna() | ((t - prev) > gap)
-            start = t.where(flag).groupby(codes, sort=False).ffill()
-            if cont.any():
-                start = start.where(~(pd.Series(cont) & start.isna()), carry_start)
-            pdf[out] = start.astype("int64").to_numpy()
-            carry_key = tuple(pdf.loc[n - 1, keys]) if keys else ()
-            carry_ts, carry_start = int(t.iloc[-1]), int(pdf[out].iloc[-1])
-            pdf[_PID] = pid
-            pdf[_ROW] = np.arange(row0, row0 + n, dtype=np.int64)
-            row0 += n
-            yield pdf
-
-    return run
+    return keyed_scan(df, (), order, [Running(None, "count", out)], ranges)
 
 
 def session_scan(df: DataFrame, keys: Sequence[str], ts_us: str, tie: str, gap_us: int,
-                 out: str = "session_start_us", num_partitions: int | None = None) -> DataFrame:
+                 out: str = "session_start_us", ranges: int | None = None) -> DataFrame:
     """Start (epoch µs) of each row's session per key: a session breaks
-    when the previous row of the key is more than `gap_us` earlier. One
-    balanced pass: range partitions on (keys, ts, tie), local sessions per
-    partition, then partitions whose first session continues the previous
-    partition's last one take over its (effective) start."""
-    from pyspark.sql import Window
-
-    spark = df.sparkSession
-    keys = list(keys)
-    ranged = _ranged(df, keys + [ts_us, tie], num_partitions)
-    fields = list(df.schema.fields) + [StructField(out, LongType(), True),
-                                       StructField(_PID, LongType(), False), StructField(_ROW, LongType(), False)]
-    local = ranged.mapInPandas(_local_sessions(keys, ts_us, gap_us, out), StructType(fields))
-    path = scratch_path(spark, "sessions")
-    local.write.parquet(path)
-    local = spark.read.parquet(path)
-
-    kcols = [F.col(c) for c in keys]
-    summ = local.groupBy(_PID).agg(
-        F.min_by(F.struct(*kcols, F.col(ts_us).alias("_ts")), F.col(_ROW)).alias("first"),
-        F.max_by(F.struct(*kcols, F.col(ts_us).alias("_ts"), F.col(out).alias("_st")), F.col(_ROW)).alias("last"))
-    w = Window.orderBy(_PID)  # one row per partition
-    same_prev = F.lag(F.col(_PID)).over(w).isNotNull()
-    for c in keys:
-        same_prev = same_prev & F.lag(F.col(f"last.{c}")).over(w).eqNullSafe(F.col(f"first.{c}"))
-    cont = same_prev & ((F.col("first._ts") - F.lag(F.col("last._ts")).over(w)) <= gap_us)
-    last_is_first_session = F.col("last._st") == F.col("first._ts")
-    for c in keys:
-        last_is_first_session = last_is_first_session & F.col(f"last.{c}").eqNullSafe(F.col(f"first.{c}"))
-    s2 = summ.select(_PID, "first", "last", cont.alias("_cont"),
-                     F.when(last_is_first_session & cont, F.lit(None)).otherwise(F.col("last._st")).alias("_d"))
-    s3 = s2.select(_PID, "first", "_cont",
-                   F.last("_d", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_eff"))
-    carry = s3.select(_PID, *[F.col(f"first.{c}").alias(f"_first_{c}") for c in keys],
-                      F.col("first._ts").alias("_first_ts"),
-                      F.when(F.col("_cont"), F.lag("_eff").over(w)).alias("_carry"))
-    car = F.broadcast(carry.where(F.col("_carry").isNotNull()))
-    res = local.join(car, _PID, "left")
-    match = F.col("_carry").isNotNull() & (F.col(out) == F.col("_first_ts"))
-    for c in keys:
-        match = match & F.col(c).eqNullSafe(F.col(f"_first_{c}"))
-    return res.select(*df.columns, F.when(match, F.col("_carry")).otherwise(F.col(out)).alias(out))
+    when the previous row of the key is more than `gap_us` earlier. The
+    latest time before a row tells whether it opens a session; the latest
+    opening so far is its session's start."""
+    order = [ts_us, tie]
+    d = keyed_scan(df, keys, order, [Running(ts_us, "max", "_before", inclusive=False)], ranges)
+    opens = F.col("_before").isNull() | (F.col(ts_us) - F.col("_before") > gap_us)
+    d = d.withColumn("_opens", F.when(opens, F.col(ts_us)))
+    return keyed_scan(d, keys, order, [Running("_opens", "max", out)], ranges).drop("_before", "_opens")

@@ -15,24 +15,24 @@ from rivulet.operators.windows import epoch_us, from_epoch_us
 
 def asof_join(facts: DataFrame, dims: DataFrame, key: str, ts: str, tie: str,
               values: Sequence[str], prefix: str = "dim_") -> DataFrame:
-    """For each fact row, the last non-null value of each dimension column
-    among dimension rows of the same key with `dim.ts <= fact.ts` (broadcast
-    state: last write wins; a row before its key's first update sees null).
+    """For each fact row, the dimension columns of the last dimension row of
+    the same key with `dim.ts <= fact.ts` (broadcast state: the last write
+    replaces the whole entry, nulls included; a row before its key's first
+    update sees null).
     Facts and dimension updates are merged into one ordered scan per key, so
     neither side is broadcast and a hot key is split across tasks."""
     role = "_role"
-    f = facts.select(*facts.columns, *[F.lit(None).cast(dims.schema[v].dataType).alias(prefix + v)
-                                       for v in values], F.lit(1).alias(role))
+    entry = F.struct(*[F.col(v).alias(v) for v in values])
+    kind = dims.select(entry.alias("e")).schema["e"].dataType
+    f = facts.select(*facts.columns, F.lit(None).cast(kind).alias("_entry"), F.lit(1).alias(role))
     d = dims.select(*[F.lit(None).cast(facts.schema[c].dataType).alias(c)
                       for c in facts.columns if c not in (key, ts, tie)],
-                    F.col(key), F.col(ts), F.col(tie),
-                    *[F.col(v).alias(prefix + v) for v in values], F.lit(0).alias(role))
+                    F.col(key), F.col(ts), F.col(tie), entry.alias("_entry"), F.lit(0).alias(role))
     u = f.unionByName(d).withColumn("_ts_us", epoch_us(ts))
     # at equal time the dimension update comes first (dim.ts <= fact.ts)
-    r = keyed_scan(u, [key], ["_ts_us", role, tie],
-                   [Running(prefix + v, "last", f"_asof_{v}") for v in values])
-    r = r.where(F.col(role) == 1).drop(role, "_ts_us", *[prefix + v for v in values])
-    return r.select(*facts.columns, *[F.col(f"_asof_{v}").alias(prefix + v) for v in values])
+    r = keyed_scan(u, [key], ["_ts_us", role, tie], [Running("_entry", "last", "_asof")])
+    return r.where(F.col(role) == 1).select(
+        *facts.columns, *[F.col("_asof").getField(v).alias(prefix + v) for v in values])
 
 
 def next_within(facts: DataFrame, events: DataFrame, key: str, ts: str, tie: str,

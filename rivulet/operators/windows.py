@@ -54,8 +54,10 @@ def count_window_sliding(df: DataFrame, order: Sequence[str], size: int, slide:
     (up to) `size` rows. Each row is added to the at most ceil(size/slide)
     firings that contain it."""
     s = global_seq(df.select(*order, value), order, "_n")
-    n_rows = s.select(F.max("_n")).scalar()  # scalar subquery: rows in the stream
-    fires = F.filter(F.sequence(F.col("_n"), F.col("_n") + (size - 1)), lambda f: f % slide == 0)
+    n_rows = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery: rows in the stream
+    first = F.ceil(F.col("_n") / slide).cast("bigint") * slide
+    last = F.col("_n") + (size - 1)
+    fires = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("bigint")))
     e = s.select(value, F.explode(fires).alias("_f")).where(F.col("_f") <= n_rows)
     return e.groupBy((F.col("_f") / slide).cast("bigint").alias("fire")).agg(F.sum(value).alias(total))
 

@@ -31,10 +31,21 @@ def test_range_lookup_is_hash_join(spark, capsys):
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
-def test_running_aggregate_has_no_keyed_window(spark, capsys):
-    # the only Window operators run over the one-row-per-partition summary
+def test_running_aggregate_windows_are_split_by_range(spark, capsys):
+    # rows meet in a window over (range, key); only the carry, two rows a range, is by key
     p = _plan(spark, "running_max", capsys)
-    specs = [line for line in p.splitlines() if "windowspecdefinition" in line]
-    assert specs  # the carry windows exist ...
-    assert not any("user_id" in line for line in specs)  # ... but never partition the data by key
-    assert "RangePartitioning" not in p  # the ranged data was frozen into a table before this plan
+    specs = [line for line in p.splitlines() if "windowspecdefinition(_scan_part" in line]
+    assert specs and all("user_id" in line for line in specs)
+    assert "BroadcastHashJoin" in p and "MapInPandas" not in p and "Python" not in p
+
+
+def test_global_number_has_no_single_task_window(spark, capsys):
+    p = _plan(spark, "win_count_tumbling", capsys)
+    assert "windowspecdefinition(_scan_part" in p
+    assert "MapInPandas" not in p
+
+
+def test_report_filter_reaches_the_scan(spark, capsys):
+    p = _plan(spark, "report_global", capsys)
+    assert "EqualTo(o_orderstatus,O)" in p
+    assert "from_json" not in p

@@ -82,3 +82,28 @@ def test_window_cogroup_user_logic(spark):
     via_join = rows(window_cogroup_left(main.drop("type"), detail.drop("type").withColumnRenamed("ts", "ts_r"),
                                         "order_id", "ts", "ts_r", "5 seconds"), "order_id", "detail_id")
     assert via_join == got
+
+
+def test_asof_replaces_the_whole_entry(spark):
+    """The newest row (name null, age 30) replaces (bob, 20): not (bob, 30)."""
+    from rivulet.operators.temporal import asof_join
+
+    facts = spark.createDataFrame([(1, _ts(10), 100), (2, _ts(10), 101), (1, _ts(0), 102)], "k int, ts timestamp_ntz, id long")
+    dims = spark.createDataFrame([(1, _ts(1), 1, "bob", 20), (1, _ts(5), 2, None, 30)],
+                                 "k int, ts timestamp_ntz, id long, name string, age int")
+    got = asof_join(facts, dims, "k", "ts", "id", ["name", "age"])
+    assert {r["id"]: (r["dim_name"], r["dim_age"]) for r in got.collect()} == {100: (None, 30), 101: (None, None), 102: (None, None)}
+
+
+def test_sliding_count_windows_with_gaps(spark):
+    df = spark.createDataFrame([(_ts(i), i, i) for i in range(1, 13)], "ts timestamp_ntz, id long, v long")
+    got = W.count_window_sliding(df, ["ts", "id"], 2, 5, "v")  # some rows are in no window
+    assert rows(got) == [(1, 9), (2, 19)]
+
+
+def test_unknown_province_keeps_its_null_name(spark):
+    from rivulet.plans.order_report import all_levels
+
+    e = spark.createDataFrame([("P", "C", 1), (None, None, 2)], "province string, city string, money int")
+    got = {(r.level, r.name): r.amount for r in all_levels(e, ["C"]).collect()}
+    assert got == {("global", "全国"): 3, ("province", "P"): 1, ("province", None): 2, ("city", "C"): 1}
