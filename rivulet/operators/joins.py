@@ -12,19 +12,6 @@ from pyspark.sql import functions as F
 # Fixed value: the reference's placeholder for a missing join partner ("unknown").
 UNKNOWN = "未知"
 
-# Row bound under which a dimension is shipped to every task. Larger
-# dimensions fall back to a shuffle join (and AQE may still pick a broadcast
-# from runtime sizes).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the dimension has at most `max_rows` rows.
-    The check reads at most `max_rows + 1` rows (`limit` stops the scan)."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def fill_missing(df: DataFrame, cols: Sequence[str], default: str = UNKNOWN) -> DataFrame:
     """Replace nulls of string columns coming from a missing join side."""
     return df.select(*[F.coalesce(F.col(c), F.lit(default)).alias(c) if c in cols else F.col(c)
@@ -41,48 +28,72 @@ def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence[str], how:
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
-                how: str = "left", max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                how: str = "left") -> DataFrame:
     """Enrich `fact` from a dimension (broadcast-variable / distributed-cache
-    pattern). A miss gives null (or use `fill_missing`)."""
-    return fact.join(broadcast_if_small(dim, max_broadcast_rows), on=on, how=how)
+    pattern). A miss gives null (or use `fill_missing`). Whether the dimension
+    is broadcast is left to the optimizer: it does so while its size in bytes,
+    known from statistics or measured at run time by AQE, is below
+    `spark.sql.autoBroadcastJoinThreshold`."""
+    return fact.join(dim, on=on, how=how)
 
 
 def read_lookup_file(spark, path: str, schema: str, sep: str = ",", header: bool = False) -> DataFrame:
-    """A lookup file (the distributed-cache file) as a DataFrame."""
-    return spark.read.csv(path, schema=schema, sep=sep, header=header)
+    """A lookup file (the distributed-cache file) as a DataFrame; a malformed
+    line fails the read."""
+    return spark.read.csv(path, schema=schema, sep=sep, header=header, mode="FAILFAST")
 
 
 def point_lookup_enrich(df: DataFrame, key_col: str, lookup: Callable[[object], object | None],
-                        out_col: str, out_type: str = "string", timeout_s: float = 1.0,
+                        out_col: str, timeout_s: float, out_type: str = "string",
                         max_in_flight: int = 10, on_timeout: str = "unknown",
                         on_miss: str = UNKNOWN) -> DataFrame:
     """Enrichment against a service that only answers point lookups (the
-    async-IO pattern). Distinct keys are looked up once per partition with
-    up to `max_in_flight` concurrent requests; a request slower than
-    `timeout_s` yields `on_timeout`, a miss yields `on_miss`.
+    async-IO pattern). Distinct keys, a null key among them, are looked up once
+    with up to `max_in_flight` concurrent requests per task; a miss yields
+    `on_miss`. A request slower than `timeout_s` yields `on_timeout` and gives
+    its slot to the next one, so with a slow service the result depends on its
+    load and may differ when a task is repeated; choose the time accordingly.
     Prefer `lookup_join` whenever the dimension can be read as a table."""
-    import concurrent.futures as cf
+    import threading
+    from queue import Queue
 
     import pandas as pd
 
-    keys = df.select(key_col).distinct()
+    keys = df.select(F.col(key_col).alias("_key")).distinct()
 
     def run(batches):
-        pool = cf.ThreadPoolExecutor(max_workers=max_in_flight)
-        try:
-            for pdf in batches:
-                futs = {k: pool.submit(lookup, k) for k in pdf[key_col].tolist()}
-                vals = []
-                for k in pdf[key_col].tolist():
-                    try:
-                        v = futs[k].result(timeout=timeout_s)
-                        vals.append(on_miss if v is None else v)
-                    except cf.TimeoutError:
-                        vals.append(on_timeout)
-                yield pd.DataFrame({key_col: pdf[key_col], out_col: vals})
-        finally:
-            pool.shutdown(wait=False, cancel_futures=True)
-
-    key_type = dict(df.dtypes)[key_col]
-    answers = keys.mapInPandas(run, f"{key_col} {key_type}, {out_col} {out_type}")
-    return df.join(answers, on=key_col, how="left")
+        slots = threading.Semaphore(max_in_flight)
+
+        def ask(k):
+            answer, done = Queue(1), threading.Event()
+
+            def call():
+                try:
+                    answer.put(("ok", lookup(k)))
+                except Exception as e:  # raised again by the task
+                    answer.put(("failed", e))
+                done.set()
+
+            def guard():
+                threading.Thread(target=call, daemon=True).start()
+                done.wait(timeout_s)
+                slots.release()
+
+            slots.acquire()
+            g = threading.Thread(target=guard, daemon=True)
+            g.start()
+            return g, answer
+
+        for pdf in batches:
+            vals = []
+            asked = [ask(None if pd.isna(k) else k) for k in pdf["_key"].tolist()]
+            for g, answer in asked:
+                g.join()
+                kind, v = answer.get() if not answer.empty() else ("late", None)
+                if kind == "failed":
+                    raise v
+                vals.append(on_timeout if kind == "late" else on_miss if v is None else v)
+            yield pd.DataFrame({"_key": pdf["_key"], out_col: vals})
+
+    answers = keys.mapInPandas(run, f"_key {dict(df.dtypes)[key_col]}, {out_col} {out_type}")
+    return df.join(answers, F.col(key_col).eqNullSafe(F.col("_key")), "left").select(*df.columns, out_col)

@@ -7,13 +7,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
-
 
 def bucketed_range_join(points: DataFrame, segments: DataFrame, value_col: str,
                         start_col: str = "seg_start", end_col: str = "seg_end",
-                        bits: int = 16, how: str = "left",
-                        max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        bits: int = 16, how: str = "left") -> DataFrame:
     """Join `points.value_col` to the segment with start <= value <= end.
 
     A segment is listed once per bucket (`value >> bits`) it touches, so a
@@ -26,6 +23,5 @@ def bucketed_range_join(points: DataFrame, segments: DataFrame, value_col: str,
         b, F.explode(F.sequence(F.shiftright(F.col(start_col), bits),
                                 F.shiftright(F.col(end_col), bits))))
     pts = points.withColumn(b, F.shiftright(F.col(value_col), bits))
-    seg = broadcast_if_small(seg, max_broadcast_rows)
     cond = ((pts[b] == seg[b]) & (pts[value_col] >= seg[start_col]) & (pts[value_col] <= seg[end_col]))
     return pts.join(seg, cond, how).drop(b)

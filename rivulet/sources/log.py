@@ -1,8 +1,8 @@
 """Partitioned log tables (the shape of a Kafka topic: partition, offset,
 timestamp, value) and start positions on them. A start position is
 earliest, latest, explicit per-partition offsets, or a timestamp; as with a
-consumer, the last call wins. Applying it is a filter plus a broadcast of
-one row per log partition."""
+consumer, the last call wins. Applying it is a filter plus a join with one
+row per log partition."""
 
 from __future__ import annotations
 
@@ -35,8 +35,10 @@ class StartPosition:
     def from_group_offsets(self, committed: Mapping[int, int]) -> "StartPosition":
         return StartPosition("group", tuple(sorted(committed.items())))
 
-    def kafka_options(self) -> dict[str, str]:
-        """The equivalent `readStream.format("kafka")` options for `topic`."""
+    def kafka_options(self, topic: str) -> dict[str, str]:
+        """The equivalent `readStream.format("kafka")` options for `topic`. A
+        group position without committed offsets has no option: the consumer
+        group's own offsets hold."""
         import json
 
         if self.mode == "earliest":
@@ -48,7 +50,9 @@ class StartPosition:
 
             ms = int(datetime.fromisoformat(self.timestamp).replace(tzinfo=timezone.utc).timestamp() * 1000)
             return {"startingTimestamp": str(ms)}
-        return {"startingOffsets": json.dumps({"topic": {str(p): o for p, o in self.offsets}})}
+        if not self.offsets:
+            return {}
+        return {"startingOffsets": json.dumps({topic: {str(p): o for p, o in self.offsets}})}
 
 
 def start_from(log: DataFrame, pos: StartPosition, partition: str = "partition",
@@ -56,6 +60,7 @@ def start_from(log: DataFrame, pos: StartPosition, partition: str = "partition",
     """Rows of `log` a consumer starting at `pos` would read. Partitions
     without an explicit offset follow `default` (the reset policy)."""
     spark = log.sparkSession
+    # the explicit offsets are a literal list, so their join is broadcast
     if pos.mode == "earliest":
         return log
     if pos.mode == "latest":
@@ -64,7 +69,7 @@ def start_from(log: DataFrame, pos: StartPosition, partition: str = "partition",
         # per partition, the first offset whose timestamp is >= ts
         first = log.where(F.col(ts) >= F.lit(pos.timestamp).cast(log.schema[ts].dataType)) \
                    .groupBy(partition).agg(F.min(offset).alias("_start"))
-        return log.join(F.broadcast(first), partition).where(F.col(offset) >= F.col("_start")).drop("_start")
+        return log.join(first, partition).where(F.col(offset) >= F.col("_start")).drop("_start")
     starts = spark.createDataFrame(list(pos.offsets), f"{partition} {log.schema[partition].dataType.simpleString()}, _start bigint")
     if default == "earliest":
         j = log.join(F.broadcast(starts), partition, "left")

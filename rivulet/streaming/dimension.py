@@ -12,8 +12,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small
-
 
 def latest_per_key(dim: DataFrame, keys: Sequence[str], version: str | None) -> DataFrame:
     """Last write wins per key (`version` orders the writes)."""
@@ -25,16 +23,14 @@ def latest_per_key(dim: DataFrame, keys: Sequence[str], version: str | None) ->
 
 
 def enrich_each_batch(load_dimension: Callable[[], DataFrame], keys: Sequence[str],
-                      sink: Callable[[DataFrame, int], None], version: str | None = None,
-                      max_broadcast_rows: int = BROADCAST_MAX_ROWS):
+                      sink: Callable[[DataFrame, int], None], version: str | None = None):
     """A `foreachBatch` function: re-read the dimension (so updates made
     since the last trigger are seen), keep its latest version per key, left
     join it to the micro-batch and hand the result to `sink`."""
 
     def run(batch_df: DataFrame, batch_id: int) -> None:
         dim = latest_per_key(load_dimension(), keys, version)
-        enriched = batch_df.join(broadcast_if_small(dim, max_broadcast_rows), list(keys), "left")
-        sink(enriched, batch_id)
+        sink(batch_df.join(dim, list(keys), "left"), batch_id)
 
     return run
 
