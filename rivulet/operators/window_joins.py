@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.operators.windows import session_starts, time_window
+from rivulet.session import written
 
 
 def _with_window(df: DataFrame, ts: str, size: str, slide: str | None) -> DataFrame:
@@ -37,7 +38,8 @@ def window_cogroup_left(left: DataFrame, right: DataFrame, key: str, ts_left: st
 
 def cogroup_apply(left: DataFrame, right: DataFrame, keys: Sequence[str], fn, schema: str) -> DataFrame:
     """General coGroup with arbitrary Python logic over both groups (both
-    groups of a key go to one task; keys should include the window)."""
+    groups of a key go to one task, so the keys must include the window and
+    windows must be small)."""
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(fn, schema)
 
 
@@ -50,7 +52,8 @@ def session_window_join(left: DataFrame, right: DataFrame, key: str, ts: str, ti
     tag = "_side"
     lt = left.withColumn(tag, F.lit("l"))
     rt = right.select(*left.columns).withColumn(tag, F.lit("r"))
-    s = session_starts(lt.unionByName(rt), [key], ts, tie, gap_seconds)
+    # both sides of the join read the sessions, so they are written once
+    s = written(session_starts(lt.unionByName(rt), [key], ts, tie, gap_seconds), "sessions")
     ls = s.where(F.col(tag) == "l").drop(tag)
     rs = s.where(F.col(tag) == "r").drop(tag)
     rs = rs.select(*[F.col(c).alias(c if c in (key, "session_start") else f"{c}_r") for c in rs.columns])

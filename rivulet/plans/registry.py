@@ -13,6 +13,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, QueryFn] = {}
 _ORACLE: dict[str, str] = {}
+oracles = _ORACLE
 
 
 def query(key: str, sql: str | None = None):

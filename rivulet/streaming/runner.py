@@ -28,22 +28,24 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+#: Session setting: files a stream takes into one micro-batch (unset: all that have arrived).
+FILES_PER_TRIGGER = "rivulet.stream.maxFilesPerTrigger"
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None,
-                 max_files_per_trigger: int | None = None, spread: bool = True) -> DataFrame:
-    """A benchmark table as a streaming source (file source over the folder,
-    restricted to the table's file; the schema is fixed up front). Each
-    benchmark table is one file of one row group, which a file source reads
-    in a single task; `spread` deals the rows to all cores before the
-    per-row work; it pays off only where that work is heavy (text, JSON),
-    since the stateful operator that follows shuffles anyway. (A Kafka
-    source with many partitions needs no spread.)"""
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A table as a streaming source: a single Parquet file or a folder of
+    part files, with the schema fixed up front. Files are taken in the order
+    of their arrival, `max_files_per_trigger` at a time (by default the
+    session's FILES_PER_TRIGGER); rows of later files that lie behind the
+    watermark are late."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     if schema is None:
-        schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.parquet(sf_dir)
-    return df.repartition(spark.sparkContext.defaultParallelism) if spread else df
+        schema = spark.read.parquet(path).schema
+    path = path[:-1] + "[t]"  # a pattern matches a file as well as a folder of this name
+    r = spark.readStream.schema(schema)
+    limit = max_files_per_trigger or spark.conf.get(FILES_PER_TRIGGER, None)
+    return (r.option("maxFilesPerTrigger", limit) if limit else r).parquet(path)
 
 
 def event_time(df: DataFrame, col: str = "ts", out: str | None = None) -> DataFrame:

@@ -7,9 +7,21 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
+def _in_order(rows, columns: list[str], order: list[str]) -> dict:
+    """Arrays of the columns of a key's rows of a micro-batch, in `order`. Only
+    these columns are kept of the batches that arrive."""
+    import numpy as np
+
+    parts = [[pdf[c].to_numpy() for c in columns] for pdf in rows]
+    cols = {c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(columns)}
+    by = np.lexsort([cols[c] for c in reversed(order)])
+    return {c: v[by] for c, v in cols.items()}
+
+
 class KeyedCounter(StatefulProcessor):
     """ValueState<Long> counter: emits (id, key, running count) per record,
     records of a key taken in (ts, id) order within a micro-batch."""
@@ -21,12 +33,13 @@ class KeyedCounter(StatefulProcessor):
         self.count = handle.getValueState("count", "n LONG")
 
     def handleInputRows(self, key, rows, timerValues):
+        import numpy as np
+
         n = self.count.get()[0] if self.count.exists() else 0
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.ts_col, self.id_col])
-        counts = n + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
+        cols = _in_order(rows, [self.ts_col, self.id_col], [self.ts_col, self.id_col])
+        counts = n + np.arange(1, len(cols[self.id_col]) + 1)
         self.count.update((int(counts[-1]),))
-        yield pd.DataFrame({self.id_col: pdf[self.id_col].to_numpy(), self.key_col: key[0],
-                            "running": counts})
+        yield pd.DataFrame({self.id_col: cols[self.id_col], self.key_col: key[0], "running": counts})
 
     def close(self) -> None:
         pass
@@ -40,35 +53,45 @@ def keyed_counter(stream: DataFrame, key_col: str, id_col: str, ts_col: str) ->
 
 
 class KeyedRunningMax(StatefulProcessor):
-    """ValueState<Double> running maximum per key (the keyed-state max demo):
-    emits (id, key, running max) per record in (ts, id) order."""
+    """ValueState running maximum per key (the keyed-state max demo): emits
+    (id, key, running max) per record in (ts, id) order. Values arrive with a
+    flag instead of nulls, so integers stay integers; a null value changes
+    nothing and repeats the maximum so far (null before any)."""
 
-    def __init__(self, key_col: str, id_col: str, ts_col: str, value_col: str):
-        self.key_col, self.id_col, self.ts_col, self.value_col = key_col, id_col, ts_col, value_col
+    def __init__(self, key_col: str, id_col: str, ts_col: str, kind: str):
+        self.key_col, self.id_col, self.ts_col, self.kind = key_col, id_col, ts_col, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("max", "v DOUBLE")
+        self.best = handle.getValueState("max", f"v {self.kind}")
 
     def handleInputRows(self, key, rows, timerValues):
         import numpy as np
 
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values([self.ts_col, self.id_col])
-        run = pdf[self.value_col].astype("float64").cummax().to_numpy()
+        cols = _in_order(rows, [self.ts_col, self.id_col, "value_of", "given"], [self.ts_col, self.id_col])
+        v, given = cols["value_of"], cols["given"].astype(bool)
+        low = np.iinfo(v.dtype).min if v.dtype.kind == "i" else -np.inf
+        run = np.maximum.accumulate(np.where(given, v, low))
+        known = np.maximum.accumulate(given)
         if self.best.exists():
-            run = np.fmax(run, self.best.get()[0])
-        self.best.update((float(run[-1]),))
-        yield pd.DataFrame({self.id_col: pdf[self.id_col].to_numpy(), self.key_col: key[0],
-                            "running_max": run})
+            run, known = np.maximum(run, self.best.get()[0]), np.ones(len(run), bool)
+        if known[-1]:
+            self.best.update((run[-1].item(),))
+        out = pd.Series(run, dtype="Int64" if v.dtype.kind == "i" else "Float64").where(pd.Series(known))
+        yield pd.DataFrame({self.id_col: cols[self.id_col], self.key_col: key[0], "running_max": out})
 
     def close(self) -> None:
         pass
 
 
 def keyed_running_max(stream: DataFrame, key_col: str, id_col: str, ts_col: str, value_col: str) -> DataFrame:
+    """Running maximum of a bigint or double column; the result has its type."""
     types = dict(stream.dtypes)
-    schema = f"{id_col} {types[id_col]}, {key_col} {types[key_col]}, running_max double"
-    return stream.groupBy(key_col).transformWithStateInPandas(
-        KeyedRunningMax(key_col, id_col, ts_col, value_col), schema, "Append", "None")
+    kind = types[value_col]
+    rows = stream.select(key_col, id_col, ts_col, F.coalesce(F.col(value_col), F.lit(0).cast(kind)).alias("value_of"),
+                         F.col(value_col).isNotNull().alias("given"))
+    schema = f"{id_col} {types[id_col]}, {key_col} {types[key_col]}, running_max {kind}"
+    return rows.groupBy(key_col).transformWithStateInPandas(
+        KeyedRunningMax(key_col, id_col, ts_col, "LONG" if kind == "bigint" else "DOUBLE"), schema, "Append", "None")
 
 
 class OrderTimeout(StatefulProcessor):
@@ -161,7 +184,10 @@ class AllowedLateness(StatefulProcessor):
     side output. A window fires when the watermark passes its end (timer),
     then fires again with the updated total for every late row that arrives
     before end + lateness; rows later than that go to the side output. State
-    per key: MapState window_start → (total, fired)."""
+    per key: MapState window_start → (total, fired); totals are integers. The
+    state of a window is read and written once for a micro-batch."""
+
+    COLUMNS = ["kind", "win_start", "key", "total", "event_id"]
 
     def __init__(self, size_ms: int, lateness_ms: int, ts_col: str, value_col: str, id_col: str):
         self.size, self.lateness = size_ms, lateness_ms
@@ -169,7 +195,7 @@ class AllowedLateness(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.wins = handle.getMapState("wins", "win_start LONG", "total DOUBLE, fired BOOLEAN")
+        self.wins = handle.getMapState("wins", "win_start LONG", "total LONG, fired BOOLEAN")
 
     def _due(self, key, t):
         """Fire windows whose end the watermark `t` has passed; drop windows
@@ -177,45 +203,51 @@ class AllowedLateness(StatefulProcessor):
         out = []
         for (start,), (total, fired) in list(self.wins.iterator()):
             end = start + self.size
+            if end <= t and not fired:
+                out.append(("fire", start, key[0], total, None))
             if end + self.lateness <= t:
-                if not fired:
-                    out.append(("fire", start, key[0], total, None))
                 self.wins.removeKey((start,))
             elif end <= t and not fired:
-                out.append(("fire", start, key[0], total, None))
                 self.wins.updateValue((start,), (total, True))
         return out
 
+    def _frame(self, out):
+        df = pd.DataFrame(out, columns=self.COLUMNS)
+        return df.astype({"win_start": "int64", "total": "Int64", "event_id": "Int64"})
+
     def handleInputRows(self, key, rows, timerValues):
+        import numpy as np
+
         wm = timerValues.getCurrentWatermarkInMs()
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.id_col)
+        cols = _in_order(rows, [self.id_col, self.ts_col, self.value_col], [self.id_col])
+        ids, values = cols[self.id_col], cols[self.value_col]
+        start = cols[self.ts_col] - cols[self.ts_col] % self.size
         # the watermark passed before these rows: due windows fire first
         out = self._due(key, wm)
-        for r in pdf.itertuples(index=False):
-            ts = int(getattr(r, self.ts_col))
-            start = ts - ts % self.size
-            end = start + self.size
+        for w in np.unique(start).tolist():
+            mine, end = start == w, w + self.size
             if end + self.lateness <= wm:
-                out.append(("side", start, key[0], None, int(getattr(r, self.id_col))))
+                out += [("side", w, key[0], None, i) for i in ids[mine].tolist()]
                 continue
-            cur = self.wins.getValue((start,)) if self.wins.containsKey((start,)) else (0.0, False)
-            total, fired = cur[0] + float(getattr(r, self.value_col)), cur[1]
-            if end <= wm:  # window already due: a late update fires at once
+            known = self.wins.containsKey((w,))
+            total, fired = self.wins.getValue((w,)) if known else (0, False)
+            sums = total + np.cumsum(values[mine])
+            if end <= wm:  # window already due: every late row fires at once
                 fired = True
-                out.append(("late_fire", start, key[0], total, int(getattr(r, self.id_col))))
-            elif not self.wins.containsKey((start,)):
-                self.handle.registerTimer(end)
-            if not self.wins.containsKey((start,)):
+                out += [("late_fire", w, key[0], s, i) for s, i in zip(sums.tolist(), ids[mine].tolist())]
+            if not known:
+                if end > wm:
+                    self.handle.registerTimer(end)
                 self.handle.registerTimer(end + self.lateness)
-            self.wins.updateValue((start,), (total, fired))
+            self.wins.updateValue((w,), (int(sums[-1]), fired))
         if out:
-            yield pd.DataFrame(out, columns=["kind", "win_start", "key", "total", "event_id"])
+            yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         t = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         out = self._due(key, t)
         if out:
-            yield pd.DataFrame(out, columns=["kind", "win_start", "key", "total", "event_id"])
+            yield self._frame(out)
 
     def close(self) -> None:
         pass
@@ -224,10 +256,11 @@ class AllowedLateness(StatefulProcessor):
 def allowed_lateness(stream: DataFrame, key_col: str, ts_ms_col: str, value_col: str, id_col: str,
                      window_seconds: int, lateness_seconds: int) -> DataFrame:
     """Stream of window firings: (kind, win_start ms, key, total, event_id)
-    with kind in fire | late_fire | side. The stream needs a watermark; the
-    per-row time goes in `ts_ms_col` (epoch ms) so Spark's own late-row
-    filter does not drop the rows this operator classifies."""
+    with kind in fire | late_fire | side. `value_col` is a bigint (cents for
+    money). The stream needs a watermark; the per-row time goes in `ts_ms_col`
+    (epoch ms) so Spark's own late-row filter does not drop the rows this
+    operator classifies."""
     proc = AllowedLateness(window_seconds * 1000, lateness_seconds * 1000, ts_ms_col, value_col, id_col)
     ktype = dict(stream.dtypes)[key_col]
     return stream.groupBy(key_col).transformWithStateInPandas(
-        proc, f"kind string, win_start bigint, key {ktype}, total double, event_id bigint", "Append", "EventTime")
+        proc, f"kind string, win_start bigint, key {ktype}, total bigint, event_id bigint", "Append", "EventTime")
