@@ -5,7 +5,7 @@ pairwise reduce, group reduce, and observed counters."""
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -80,9 +80,10 @@ def incremental_aggregate(df: DataFrame, keys: Sequence[str], agg: Aggregator,
         lambda pdf: final(pdf), schema_f)
 
 
-class DecimalSum(Aggregator):
-    """Exact sum of money values (two decimals) as an incremental aggregate:
-    the accumulator is an integer number of cents."""
+class UnscaledSum(Aggregator):
+    """Exact sum of a bigint column of unscaled decimals (cents) as an
+    incremental aggregate; the result is a decimal with `scale` digits. Nulls
+    are skipped."""
 
     def __init__(self, column: str, scale: int = 2):
         self.column, self.scale = column, scale
@@ -91,10 +92,9 @@ class DecimalSum(Aggregator):
         return 0
 
     def add(self, acc, pdf):
-        import numpy as np
-
-        v = pdf[self.column].dropna().astype("float64").to_numpy()
-        return acc + int(np.rint(v * 10 ** self.scale).astype("int64").sum())
+        v = pdf[self.column].dropna().to_numpy("int64")
+        # summed in two halves, so that no batch overflows
+        return acc + (int((v >> 32).sum()) << 32) + int((v & 0xFFFFFFFF).sum())
 
     def merge(self, a, b):
         return a + b
@@ -105,43 +105,31 @@ class DecimalSum(Aggregator):
         return Decimal(acc).scaleb(-self.scale)
 
 
-class PairwiseReduce(Aggregator):
-    """`reduce(f)` with an associative, commutative binary function."""
+class UfuncReduce(Aggregator):
+    """`reduce(f)` with an associative, commutative numpy ufunc (a vectorised
+    binary function, e.g. `numpy.gcd`); nulls are skipped."""
 
-    def __init__(self, column: str, f: Callable):
+    def __init__(self, column: str, f):
         self.column, self.f = column, f
 
     def zero(self):
         return None
 
     def add(self, acc, pdf):
-        for v in pdf[self.column].tolist():
-            acc = v if acc is None else self.f(acc, v)
-        return acc
+        v = pdf[self.column].dropna().to_numpy("int64")
+        return acc if not len(v) else self.merge(acc, self.f.reduce(v).item())
 
     def merge(self, a, b):
-        if a is None:
-            return b
-        if b is None:
-            return a
-        return self.f(a, b)
+        return b if a is None else a if b is None else self.f(a, b).item()
 
     def result(self, acc):
         return acc
 
 
-def reduce_pairs(df: DataFrame, keys: Sequence[str], column: str, f: Callable,
-                 out: str, out_type: str) -> DataFrame:
-    """`groupBy(k).reduce(f)` for an arbitrary associative Python function
-    (prefer a built-in aggregate when one exists)."""
-    return incremental_aggregate(df, keys, PairwiseReduce(column, f), [column], out, out_type)
-
-
-def group_apply(df: DataFrame, keys: Sequence[str], fn, schema: str) -> DataFrame:
-    """`reduceGroup`: arbitrary code over a whole group. Every row of a group
-    is sent to one task, so use it only where groups are bounded; group
-    statistics should be built-in aggregates instead."""
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+def reduce_pairs(df: DataFrame, keys: Sequence[str], column: str, f, out: str, out_type: str) -> DataFrame:
+    """`groupBy(k).reduce(f)` of a bigint column for an arbitrary associative
+    and commutative numpy ufunc (use a built-in aggregate when one exists)."""
+    return incremental_aggregate(df, keys, UfuncReduce(column, f), [column], out, out_type)
 
 
 def observe_count(df: DataFrame, name: str = "counter", extra: dict[str, Column] | None = None):

@@ -34,17 +34,6 @@ def by_custom(df: DataFrame, n: int, partition_expr: Column) -> DataFrame:
     return df.repartitionById(n, partition_expr.cast("int"))
 
 
-def to_single(df: DataFrame) -> DataFrame:
-    """All rows to one task (`global`). Does not scale; only for results
-    already reduced to a bounded size."""
-    return df.repartition(1)
-
-
-def replicate(df: DataFrame, copies: int, copy_col: str = "copy") -> DataFrame:
-    """`broadcast` partitioner: every row once per downstream task."""
-    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(copy_col))
-
-
 def forward(df: DataFrame) -> DataFrame:
     """Keep the current placement (no shuffle)."""
     return df
@@ -61,6 +50,45 @@ def shuffle_random(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return df.repartition(n, F.rand(seed))
 
 
+def sort_partitions(df: DataFrame, *order: Column | str) -> DataFrame:
+    """Sort every partition on its own, without a shuffle."""
+    return df.sortWithinPartitions(*order)
+
+
+def sorted_invariant(df: DataFrame, col: str) -> DataFrame:
+    """One row: whether every partition is in descending order of `col` after
+    `sort_partitions`, and the row count. `monotonically_increasing_id`
+    numbers the rows of a partition in their order."""
+    from pyspark.sql import Window
+
+    p = sort_partitions(df.select(col), F.desc(col)).select(
+        col, F.spark_partition_id().alias(PID), F.monotonically_increasing_id().alias("place"))
+    # neighbours inside blocks of rows, so no partition is gathered whole
+    block = F.shiftright("place", 10)
+    w = Window.partitionBy(PID, block).orderBy("place")
+    ends = p.select(PID, "place", col, F.lag(col).over(w).alias("before"), block.alias("block"))
+    inside = ends.agg(F.coalesce(F.bool_and(F.col("before") >= F.col(col)), F.lit(True)).alias("ok"),
+                      F.count(F.lit(1)).alias("n_rows"))
+    return inside
+
+
+def rescale_invariant(df: DataFrame, n: int) -> DataFrame:
+    """One row: whether `rescale` keeps all rows in at most `n` partitions and
+    `forward` keeps every row where it is."""
+    r = tag_partition(rescale(df, n)).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(PID).alias("parts"))
+    same = forward(tag_partition(df)).select(F.col(PID) == F.spark_partition_id()).toDF("same").agg(
+        F.bool_and("same").alias("same"))
+    return r.join(same, F.lit(True)).select(((F.col("parts") <= n) & F.col("same")).alias("ok"), "n_rows")
+
+
+def shuffle_invariant(df: DataFrame, n: int) -> DataFrame:
+    """One row: whether a random redistribution gives every partition between
+    half and twice its share, and the row count."""
+    b = tag_partition(shuffle_random(df, n)).groupBy(PID).agg(F.count(F.lit(1)).alias("c"))
+    return b.agg(((F.max("c") <= 2 * F.sum("c") / n) & (F.min("c") >= F.sum("c") / n / 2)).alias("ok"),
+                 F.sum("c").alias("n_rows"))
+
+
 def hash_invariant(df: DataFrame, key: str, n: int) -> DataFrame:
     """One row: whether every key sits in exactly one partition after a hash
     repartition, and the number of keys."""
@@ -86,7 +114,8 @@ def balance_invariant(df: DataFrame, n: int) -> DataFrame:
     """One row: whether round-robin partitions are balanced. Each input
     partition deals its rows round robin from its own start position, so
     sizes differ by at most the number of input partitions."""
-    n_in = df.rdd.getNumPartitions()
+    n_in = tag_partition(df).agg(F.max(PID) + 1).scalar()
     p = tag_partition(rebalance(df, n))
     b = p.groupBy(PID).agg(F.count(F.lit(1)).alias("c"))
-    return b.agg(((F.max("c") - F.min("c")) <= n_in).alias("ok"), F.sum("c").alias("n_rows"))
+    g = b.agg((F.max("c") - F.min("c")).alias("gap"), F.sum("c").alias("n_rows"))
+    return g.select((F.col("gap") <= n_in).alias("ok"), "n_rows")

@@ -9,34 +9,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def words_udtf():
-    """A Python UDTF emitting the words of one line (`trim` + split on
-    whitespace runs); blank lines emit nothing."""
-    import re
-
-    from pyspark.sql.functions import udtf
-
-    trim = re.compile(r"\A[\x00-\x20]+|[\x00-\x20]+\Z")
-    ws = re.compile(r"[ \t\n\x0b\f\r]+")
-
-    @udtf(returnType="word: string", useArrow=True)
-    class Words:
-        def eval(self, line: str):
-            if line is None:
-                return
-            s = trim.sub("", line)
-            if not s:
-                return
-            for w in ws.split(s):
-                yield (w,)
-
-    return Words
-
-
 def words_arrow_udtf(key: str, line: str):
-    """Vectorised form of `words_udtf` (`arrow_udtf`): receives whole Arrow
-    record batches of (key, line) rows through a TABLE argument and emits
-    (key, word) rows with Arrow compute kernels — no per-row Python."""
+    """A table function emitting the words of each line (`trim` + split on
+    white-space runs; blank lines emit nothing): it receives whole Arrow record
+    batches of (key, line) rows through a TABLE argument and emits (key, word)
+    rows with Arrow compute kernels — no per-row Python."""
     import pyarrow as pa
     import pyarrow.compute as pc
     from pyspark.sql.functions import arrow_udtf
@@ -58,17 +35,24 @@ def words_arrow_udtf(key: str, line: str):
 
 
 def count_pattern(df: DataFrame, col: str, pattern: str, out: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Count regex matches per row with `mapInPandas`; the pattern is
-    compiled once per partition (set-up) and applied to whole batches."""
+    """Count regex matches per row (a built-in expression)."""
+    from pyspark.sql import functions as F
+
+    return df.select(*keep, F.coalesce(F.regexp_count(F.col(col), F.lit(pattern)), F.lit(0)).cast("bigint").alias(out))
+
+
+def with_setup(df: DataFrame, col: str, out: str, setup, keep: Sequence[str] = ()) -> DataFrame:
+    """A rich map function: `setup()` runs once per partition (its `open`)
+    and returns a function from an Arrow array to an Arrow bigint array, which
+    is then applied to whole batches of `col`."""
     def run(batches):
-        import re
+        import pyarrow as pa
 
-        rx = re.compile(pattern)  # per-partition set-up
-        for pdf in batches:
-            res = pdf[list(keep)].copy()
-            res[out] = pdf[col].fillna("").map(lambda s: len(rx.findall(s))).astype("int64")
-            yield res
+        fn = setup()
+        for b in batches:
+            cols = [b.column(k) for k in keep] + [fn(b.column(col)).cast(pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, [*keep, out])
 
     types = dict(df.dtypes)
     schema = ", ".join([f"`{k}` {types[k]}" for k in keep] + [f"`{out}` bigint"])
-    return df.select(*keep, col).mapInPandas(run, schema)
+    return df.select(*dict.fromkeys([*keep, col])).mapInArrow(run, schema)

@@ -8,7 +8,7 @@ import sys
 from pyspark.sql import DataFrame
 
 
-def print_rows(df: DataFrame, prefix: str | None = None, n: int = 20, to_err: bool = False) -> list[str]:
+def print_rows(df: DataFrame, n: int, prefix: str | None = None, to_err: bool = False) -> list[str]:
     """Print at most `n` rows as `prefix> row` lines (only `n` rows reach
     the driver). Returns the printed lines."""
     out = sys.stderr if to_err else sys.stdout
@@ -16,12 +16,3 @@ def print_rows(df: DataFrame, prefix: str | None = None, n: int = 20, to_err: bo
     for line in lines:
         print(line, file=out)
     return lines
-
-
-def console_each_batch(prefix: str | None = None, n: int = 20, to_err: bool = False):
-    """`foreachBatch` function printing up to `n` rows of each micro-batch."""
-
-    def write(batch_df: DataFrame, batch_id: int) -> None:
-        print_rows(batch_df, f"{prefix or 'batch'}-{batch_id}", n, to_err)
-
-    return write

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Bucket formats of the reference's row-file sinks.
 HOUR_BUCKET = "yyyy-MM-dd--HH"
 DAY_BUCKET = "yyyyMMdd"
 
 
-def write_text(df: DataFrame, path: str, col: str | Column | None = None, mode: str = "overwrite") -> None:
+def write_text(df: DataFrame, path: str, col: str | Column | None = None, mode: str = "overwrite",
+               compression: str | None = None) -> None:
     """`writeAsText`: one line per row (a directory of part files)."""
     c = F.col(col) if isinstance(col, str) else col
     if c is None:
         c = F.concat_ws(",", *[F.col(x).cast("string") for x in df.columns])
-    df.select(c.alias("value")).write.mode(mode).text(path)
+    df.select(c.alias("value")).write.mode(mode).text(path, compression=compression)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "$", line_sep: str = "\n",
@@ -45,6 +47,8 @@ def write_bucketed(df: DataFrame, path: str, ts: str, fmt: str = DAY_BUCKET, buc
 
 
 def read_bucketed(spark, path: str, bucket: str = "dt", fmt_in: str = "parquet") -> DataFrame:
-    """Read a bucketed directory back; the bucket stays a string."""
-    df = spark.read.format(fmt_in).option("basePath", path).load(path)
-    return df.withColumn(bucket, F.col(bucket).cast("string"))
+    """Read a bucketed directory back; the bucket is read as the text it is
+    (`03` stays `03`), not with an inferred type."""
+    reader = spark.read.format(fmt_in).option("basePath", path)
+    fields = [f if f.name != bucket else StructField(bucket, StringType()) for f in reader.load(path).schema]
+    return reader.schema(StructType(fields)).load(path)

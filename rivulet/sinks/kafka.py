@@ -1,6 +1,5 @@
-"""Kafka sink framing. The Kafka connector jar is not part of this
-environment, so the sink itself is a thin option builder; the payload
-framing (key/value columns) and the replay-safe dedup are DataFrame code."""
+"""Kafka framing: the payload columns a Kafka writer takes, and replay-safe
+dedup. (No Kafka jar is part of this environment.)"""
 
 from __future__ import annotations
 
@@ -18,28 +17,12 @@ def kafka_frame(df: DataFrame, key: str | Column, value_cols: Sequence[str | Col
     return df.select(*keep, k.cast("string").alias("key"), F.to_json(F.struct(*value_cols)).alias("value"))
 
 
-def kafka_writer_options(bootstrap: str, topic: str, checkpoint: str) -> dict[str, str]:
-    """Options for `writeStream.format("kafka")` (at-least-once; pair with
-    `dedup_replay` downstream for an exactly-once effect)."""
-    return {"kafka.bootstrap.servers": bootstrap, "topic": topic, "checkpointLocation": checkpoint}
-
-
-def kafka_reader_options(bootstrap: str, topic: str, group_id: str | None = None,
-                         starting_offsets: str = "latest") -> dict[str, str]:
-    """Options for `readStream.format("kafka")`; values arrive as binary and
-    are cast to string by the caller."""
-    opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
-            "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
-    if group_id:
-        opts["kafka.group.id"] = group_id
-    return opts
-
-
 def dedup_replay(df: DataFrame, id_cols: Sequence[str], watermark_col: str | None = None,
                  delay: str | None = None) -> DataFrame:
-    """Replay-safe output: drop repeated messages by id. On a stream with an
-    event-time column, state is bounded by the watermark
-    (`dropDuplicatesWithinWatermark`)."""
+    """Replay-safe output: drop repeated messages by id. On a stream the state
+    holds every id, unless an event-time column and a `delay` are given: then
+    it is bounded by the watermark (`dropDuplicatesWithinWatermark`), and rows
+    that come later than the delay are dropped, first ones too."""
     if watermark_col and delay and df.isStreaming:
         return df.withWatermark(watermark_col, delay).dropDuplicatesWithinWatermark(list(id_cols))
     return df.dropDuplicates(list(id_cols))

@@ -61,10 +61,3 @@ def read_jdbc(spark: SparkSession, url: str, query: str | None = None, table: st
         r = (r.option("partitionColumn", partition_column).option("lowerBound", lower)
               .option("upperBound", upper).option("numPartitions", num_partitions or 8))
     return r.load()
-
-
-def socket_lines(spark: SparkSession, host: str, port: int) -> DataFrame:
-    """Line stream from a TCP socket (`value` column), for demos; line
-    operators accept any DataFrame with a string column, so the same code
-    runs on file or Kafka sources in production."""
-    return spark.readStream.format("socket").option("host", host).option("port", port).load()

@@ -1,6 +1,7 @@
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -9,6 +10,8 @@ from rivulet.sinks import jdbc as JD
 from rivulet.sources import basic as SB
 from rivulet.sources.log import StartPosition, start_from
 
+# These start a database inside the test's JVM, so they run only when asked for.
+needs_database = pytest.mark.skipif(not os.environ.get("RIVULET_TEST_DERBY"), reason="RIVULET_TEST_DERBY is not set")
 DERBY = "jdbc:derby:memory:rivulet_{};create=true"
 DERBY_PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
 
@@ -50,6 +53,8 @@ def test_bucketed_sink(spark, tmp_dir):
     FS.write_bucketed(df, f"{tmp_dir}/b", "ts")
     assert sorted(os.listdir(f"{tmp_dir}/b"))[-2:] == ["dt=20240101", "dt=20240102"]
     assert rows(FS.read_bucketed(spark, f"{tmp_dir}/b").select("id", "dt")) == [(1, "20240101"), (2, "20240102")]
+    FS.write_bucketed(df.select("id", "ts"), f"{tmp_dir}/day", "ts", fmt="dd")
+    assert rows(FS.read_bucketed(spark, f"{tmp_dir}/day").select("id", "dt")) == [(1, "01"), (2, "02")]
 
 
 def test_log_start_positions(spark):
@@ -63,9 +68,12 @@ def test_log_start_positions(spark):
         [(0, 3), (0, 4)] + [(1, o) for o in range(5)]
     assert start_from(log, StartPosition().from_timestamp("2024-01-01 00:03:00")).count() == 4
     assert start_from(log, StartPosition().from_latest()).count() == 0
-    assert pos.kafka_options()["startingOffsets"] == '{"topic": {"0": 3}}'
+    assert pos.kafka_options("orders") == {"startingOffsets": '{"orders": {"0": 3}}'}
+    assert StartPosition().kafka_options("orders") == {}
+    assert StartPosition().from_group_offsets({1: 7}).kafka_options("t") == {"startingOffsets": '{"t": {"1": 7}}'}
 
 
+@needs_database
 def test_jdbc_append_read_upsert_exactly_once(spark):
     url = DERBY.format("t1")
     JD.execute(spark, url, ["CREATE TABLE t_student (id INT PRIMARY KEY, name VARCHAR(50), age INT)"], DERBY_PROPS)
@@ -86,6 +94,6 @@ def test_jdbc_append_read_upsert_exactly_once(spark):
 def test_print_rows_prefix(spark, capsys):
     from rivulet.sinks.console import print_rows
 
-    lines = print_rows(spark.createDataFrame([(1,), (3,)], "v int"), "odd", n=5)
+    lines = print_rows(spark.createDataFrame([(1,), (3,)], "v int"), 5, "odd")
     assert lines == ["odd> (1,)", "odd> (3,)"]
     assert "odd> (1,)" in capsys.readouterr().out

@@ -6,10 +6,6 @@ from rivulet.sinks import files as FS
 
 def test_placements(spark):
     df = spark.range(0, 21).select(F.col("id").alias("k"))
-    one = P.tag_partition(P.to_single(df))
-    assert one.select("pid").distinct().count() == 1
-    rep = P.replicate(df, 3)
-    assert rep.count() == 63
     assert P.rescale(df.repartition(6), 2).rdd.getNumPartitions() == 2
     assert P.forward(df) is df
     sh = P.tag_partition(P.shuffle_random(df, 4))

@@ -12,7 +12,9 @@ from conftest import SF_SMALL
 def test_all_queries_match_oracle(spark):
     import oracle_check
 
-    res = oracle_check.check(spark, SF_SMALL, verbose=False, strict_types=True)
+    from rivulet.plans import registry
+
+    res = oracle_check.check(spark, SF_SMALL, list(registry.queries()), verbose=False, strict_types=True)
     bad = {k: v for k, v in res.items() if v not in ("ok", "rows")}
     assert not bad, bad
     assert len(res) >= 90
