@@ -41,15 +41,32 @@ def order_records_from_orders(orders: DataFrame) -> DataFrame:
     return orders.select(F.to_json(rec).alias("value"))
 
 
-def etl(records: DataFrame, segments: DataFrame, value_col: str = "value") -> DataFrame:
-    """Parse, keep open orders, locate the IP, money as decimal(18,2).
-    `segments` has (seg_start, seg_end, province, city)."""
+def parse_records(records: DataFrame, value_col: str = "value") -> DataFrame:
+    """JSON order records as typed columns (orderId, userId, order_time,
+    ip_num, money, status)."""
     o = records.select(F.from_json(F.col(value_col), ORDER_SCHEMA).alias("o")).select("o.*")
-    o = o.where(F.col("orderStatus") == OPEN_STATUS)
-    o = o.withColumn("ip_num", ipv4_to_long("ip"))
+    return o.select("orderId", "userId", parse_ts_or_now("orderTime", ORDER_TIME_FORMAT).alias("order_time"),
+                    ipv4_to_long("ip").alias("ip_num"), F.col("orderMoney").cast(MONEY).alias("money"),
+                    F.col("orderStatus").alias("status"))
+
+
+def typed_orders(orders: DataFrame) -> DataFrame:
+    """The open orders of the `orders` table in the columns of
+    `parse_records`; the status filter reaches the scan."""
+    code = next(k for k, v in STATUS_CODES.items() if v == OPEN_STATUS)
+    o = orders.where(F.col("o_orderstatus") == code)
+    return o.select(F.col("o_orderkey").cast("string").alias("orderId"), F.col("o_custkey").cast("string").alias("userId"),
+                    F.date_trunc("second", "o_orderdate").cast("timestamp_ntz").alias("order_time"),
+                    ((F.col("o_orderkey") * 2654435761) % 4294967296).alias("ip_num"),
+                    F.col("o_totalprice").cast(MONEY).alias("money"), F.lit(OPEN_STATUS).alias("status"))
+
+
+def etl(orders: DataFrame, segments: DataFrame) -> DataFrame:
+    """Keep open orders and locate the IP of typed orders. `segments` has
+    (seg_start, seg_end, province, city)."""
+    o = orders.where(F.col("status") == OPEN_STATUS)
     j = bucketed_range_join(o, segments, "ip_num", bits=24)
-    return j.select("orderId", "userId", parse_ts_or_now("orderTime", ORDER_TIME_FORMAT).alias("order_time"),
-                    "province", "city", F.col("orderMoney").cast(MONEY).alias("money"))
+    return j.select("orderId", "userId", "order_time", "province", "city", "money")
 
 
 def national_total(etl_df: DataFrame) -> DataFrame:
@@ -69,12 +86,14 @@ def city_totals(etl_df: DataFrame, key_cities: Sequence[str]) -> DataFrame:
 
 def all_levels(etl_df: DataFrame, key_cities: Sequence[str]) -> DataFrame:
     """N1–N3 in one pass over one ETL result: GROUPING SETS ((), (province),
-    (city)) with the city level restricted to key cities."""
+    (city)) with the city level restricted to key cities. An order without a
+    region counts for the province with a null name."""
     spark = etl_df.sparkSession
     g = spark.sql(f"""
         SELECT CASE WHEN grouping(province) = 0 THEN 'province'
                     WHEN grouping(city) = 0 THEN 'city' ELSE 'global' END AS level,
-               coalesce(province, city, '{NATIONAL_KEY}') AS name, sum(money) AS amount
+               CASE WHEN grouping(province) = 0 THEN province
+                    WHEN grouping(city) = 0 THEN city ELSE '{NATIONAL_KEY}' END AS name, sum(money) AS amount
         FROM {{e}} GROUP BY GROUPING SETS ((), (province), (city))""", e=etl_df)
     return g.where((F.col("level") != "city") | F.col("name").isin(list(key_cities)))
 

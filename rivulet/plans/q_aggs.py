@@ -43,10 +43,20 @@ def agg_sum_max(t):
 
 @query("reduce_pairs", sql="SELECT event_type, count(*) AS total FROM events GROUP BY 1")
 def reduce_pairs(t):
-    """groupBy(type).reduce((a, b) -> a + b) with a Python function,
-    partial per partition then merged per key."""
+    """groupBy(type).reduce((a, b) -> a + b), the built-in sum."""
     ones = t.events.select("event_type", F.lit(1).cast("bigint").alias("one"))
-    return A.reduce_pairs(ones, ["event_type"], "one", lambda a, b: a + b, "total", "bigint")
+    return ones.groupBy("event_type").agg(F.sum("one").alias("total"))
+
+
+@query("reduce_gcd", sql="""
+SELECT o_orderpriority, list_reduce(list(o_custkey * 6), lambda a, b: gcd(a, b)) AS g FROM orders GROUP BY 1""")
+def reduce_gcd(t):
+    """Reduce with a function Spark has no aggregate for (the greatest
+    common divisor), partial per partition then merged per key."""
+    import numpy as np
+
+    o = t.orders.select("o_orderpriority", (F.col("o_custkey").cast("bigint") * 6).alias("v"))
+    return A.reduce_pairs(o, ["o_orderpriority"], "v", np.gcd, "g", "bigint")
 
 
 @query("reduce_group", sql="SELECT event_type, '(' || event_type || ', ' || count(*) || ')' AS line FROM events GROUP BY 1")
@@ -114,17 +124,21 @@ FROM lineitem GROUP BY 1, 2""")
 def udaf_decimal_sum(t):
     """A user-defined incremental aggregate (create/add/merge/result),
     evaluated partial-per-partition then merged."""
-    li = t.lineitem.select("l_returnflag", "l_linestatus", "l_extendedprice")
-    return A.incremental_aggregate(li, ["l_returnflag", "l_linestatus"], A.DecimalSum("l_extendedprice"),
-                                   ["l_extendedprice"], "sum_price", "decimal(28,2)")
+    cents = (money("l_extendedprice") * 100).cast("bigint").alias("cents")
+    li = t.lineitem.select("l_returnflag", "l_linestatus", cents)
+    return A.incremental_aggregate(li, ["l_returnflag", "l_linestatus"], A.UnscaledSum("cents"),
+                                   ["cents"], "sum_price", "decimal(28,2)")
 
 
-@query("observed_count", sql="SELECT event_id, event_type FROM events")
+@query("observed_count", sql="SELECT event_type, count(*) AS n, (SELECT count(*) FROM events) AS seen FROM events GROUP BY 1")
 def observed_count(t):
-    """Accumulator counting the rows that flow through; the counter
-    is read from the Observation after the action."""
-    df, _obs = A.observe_count(t.events.select("event_id", "event_type"), "events_seen")
-    return df
+    """Accumulator counting the rows that flow through a job; read
+    after its action and returned with the job's result."""
+    from rivulet.session import written
+
+    df, obs = A.observe_count(t.events.select("event_id", "event_type"), "events_seen")
+    out = written(df.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")), "observed")
+    return out.withColumn("seen", F.lit(obs.get["rows"]).cast("bigint"))
 
 
 def _word_counts(t):

@@ -253,12 +253,17 @@ def side_outputs(t):
               keep=("event_id",))
 
 
-@query("first_n")
+@query("first_n", sql="SELECT least(10, count(*)) AS n_rows, true AS all_members FROM orders")
 def first_n(t):
-    """first(10) of an unsorted set (any 10 rows; rows-only check)."""
+    """first(10) of an unsorted set: any ten rows, so the result tells
+    how many came and whether all of them are rows of the table."""
     from rivulet.operators.basic import first_n as fn
 
-    return fn(t.orders.select("o_orderkey", "o_orderstatus"), 10)
+    o = t.orders.select("o_orderkey", "o_orderstatus")
+    some = fn(o, 10)
+    known = o.distinct().withColumn("member", F.lit(True))
+    got = some.join(known, ["o_orderkey", "o_orderstatus"], "left")
+    return got.agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(F.coalesce("member", F.lit(False))).alias("all_members"))
 
 
 @query("map_project", sql="""

@@ -11,6 +11,10 @@ from rivulet.plans.q_basic import _SQL_LINES
 from rivulet.plans.registry import query
 
 
+def _parts(t) -> int:
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @query("partition_custom", sql="SELECT o_orderkey, CAST(o_orderkey % 2 AS INTEGER) AS pid FROM orders")
 def partition_custom(t):
     """Custom partitioner key % 2 — each row lands in partition key % 2."""
@@ -21,20 +25,38 @@ def partition_custom(t):
 @query("partition_hash_invariant", sql="SELECT true AS ok, count(DISTINCT o_custkey) AS n_keys FROM orders")
 def partition_hash_invariant(t):
     """Hash partitioning puts every key in exactly one partition."""
-    return P.hash_invariant(t.orders, "o_custkey", 8)
+    return P.hash_invariant(t.orders, "o_custkey", _parts(t))
 
 
 @query("partition_range_invariant", sql="SELECT true AS ok, count(*) AS n_rows FROM lineitem")
 def partition_range_invariant(t):
     """Range partitions hold ordered, disjoint value ranges."""
-    return P.range_invariant(t.lineitem, "l_extendedprice", 8)
+    return P.range_invariant(t.lineitem, "l_extendedprice", _parts(t))
 
 
 @query("rebalance_counts", sql="SELECT true AS ok, count(*) AS n_rows FROM part WHERE p_size > 5 AND p_size < 26")
 def rebalance_counts(t):
     """G1: round-robin rebalance after a filter gives balanced partitions."""
     p = t.part.where((F.col("p_size") > 5) & (F.col("p_size") < 26))
-    return P.balance_invariant(p, 3)
+    return P.balance_invariant(p, _parts(t))
+
+
+@query("sort_partitions", sql="SELECT true AS ok, count(*) AS n_rows FROM part")
+def sort_partitions(t):
+    """Every partition sorted on its own, descending."""
+    return P.sorted_invariant(t.part.repartition(_parts(t)), "p_retailprice")
+
+
+@query("rescale_forward", sql="SELECT true AS ok, count(*) AS n_rows FROM part")
+def rescale_forward(t):
+    """Rescale to half the partitions without a shuffle; forward keeps rows."""
+    return P.rescale_invariant(t.part.repartition(_parts(t)), max(1, _parts(t) // 2))
+
+
+@query("shuffle_random", sql="SELECT true AS ok, count(*) AS n_rows FROM orders")
+def shuffle_random(t):
+    """Random redistribution spreads the rows evenly."""
+    return P.shuffle_invariant(t.orders.select("o_orderkey"), _parts(t))
 
 
 def _log(t):
@@ -82,12 +104,15 @@ def log_start_position(t):
 
 
 @query("src_elements", sql="""
-SELECT label, count(*) AS n FROM events JOIN (VALUES ('view', 'browse'), ('purchase', 'buy')) v(event_type, label)
-  USING (event_type) GROUP BY label""")
+SELECT coalesce(label, 'other') AS label, count(*) AS n FROM events
+LEFT JOIN (VALUES ('view', 'browse'), ('purchase', 'buy')) v(event_type, label) USING (event_type) GROUP BY 1""")
 def src_elements(t):
-    """A1: a literal collection used as a (broadcast) lookup over events."""
-    lits = t.spark.createDataFrame([("view", "browse"), ("purchase", "buy")], "event_type string, label string")
-    return t.events.join(F.broadcast(lits), "event_type").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    """A1: a literal collection used as a lookup over all events."""
+    from rivulet.sources.basic import from_elements
+
+    lits = from_elements(t.spark, [("view", "browse"), ("purchase", "buy")], "event_type string, label string")
+    e = t.events.select("event_type").join(lits, "event_type", "left")
+    return e.groupBy(F.coalesce("label", F.lit("other")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("src_sequence", sql="""
@@ -194,11 +219,56 @@ def process_udtf(t):
     return words.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_words"))
 
 
+@query("count_pattern", sql="""
+SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS n_upper FROM documents""")
+def count_pattern(t):
+    """P: matches of a pattern per row, as a built-in expression."""
+    from rivulet.operators.process import count_pattern as cp
+
+    return cp(t.documents.select("doc_id", "text"), "text", "[A-Z]", "n_upper", keep=("doc_id",))
+
+
 @query("map_in_pandas_setup", sql="""
-SELECT doc_id, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper FROM documents""")
+SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS n_upper FROM documents""")
 def map_in_pandas_setup(t):
-    """P: mapInPandas with per-partition set-up (the rich function's
-    `open`): a compiled pattern reused for every batch of the partition."""
-    from rivulet.operators.process import count_pattern
+    """P: a map over Arrow batches with per-partition set-up (the rich
+    function's `open`)."""
+    from rivulet.operators.process import with_setup
+
+    def setup():
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        others = "[^A-Z]+"  # prepared once per partition
+        return lambda text: pc.fill_null(pc.utf8_length(pc.replace_substring_regex(text.cast(pa.string()), others, "")), 0)
+
+    return with_setup(t.documents.select("doc_id", "text"), "text", "n_upper", setup, keep=("doc_id",))
+
+
+@query("src_text_files", sql="""
+SELECT line, count(*) AS n FROM (SELECT event_id || ',' || event_type AS line FROM events) GROUP BY 1""")
+def src_text_files(t):
+    """A3/A4/K3: lines written as gzipped text into nested folders by the
+    text sink and read back recursively."""
+    from rivulet.session import scratch_path
+    from rivulet.sinks.files import write_text
+    from rivulet.sources.basic import read_text
+
+    base = scratch_path(t.spark, "text")
+    e = t.events.select("event_id", "event_type")
+    line = F.concat_ws(",", F.col("event_id").cast("string"), "event_type")
+    write_text(e.where(F.col("event_id") % 2 == 0), f"{base}/even", line, compression="gzip")
+    write_text(e.where(F.col("event_id") % 2 != 0), f"{base}/odd/deep", line)
+    return read_text(t.spark, base, recursive=True).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("src_delimited_files", sql="SELECT event_id, user_id, event_type, value FROM events")
+def src_delimited_files(t):
+    """A5/K4: a `$`-delimited file sink read back with typed columns."""
+    from rivulet.session import scratch_path
+    from rivulet.sinks.files import write_delimited
+    from rivulet.sources.basic import read_delimited
 
-    return count_pattern(t.documents.select("doc_id", "text"), "text", "[A-Z]", "n_upper", keep=("doc_id",))
+    path = scratch_path(t.spark, "delimited")
+    write_delimited(t.events.select("event_id", "user_id", "event_type", "value"), path, sep="$")
+    return read_delimited(t.spark, path, "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE", sep="$")

@@ -24,13 +24,13 @@ etl AS (
 
 
 def _etl(t):
-    return R.etl(R.order_records_from_orders(t.orders), ip_segments(t))
+    return R.etl(R.typed_orders(t.orders), ip_segments(t))
 
 
 @query("report_etl", sql=f"WITH {_SQL_ETL} SELECT * FROM etl")
 def report_etl(t):
     """JSON order records → open orders → IP region → decimal money."""
-    return _etl(t)
+    return R.etl(R.parse_records(R.order_records_from_orders(t.orders)), ip_segments(t))
 
 
 @query("report_global", sql=f"WITH {_SQL_ETL} SELECT '全国' AS global, CAST(sum(money) AS {_DEC}) AS amount FROM etl")

@@ -157,3 +157,13 @@ def win_allowed_lateness(t):
 def late_side_output(t):
     """H9: rows later than the allowed lateness, as a side output."""
     return _classified(t).where(F.col("cls") == "side_output").select("event_id", "ts", "event_type")
+
+
+@query("win_session_global", sql="""
+WITH a AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL '2 minutes' THEN 0 ELSE 1 END f FROM events
+           WINDOW w AS (ORDER BY ts, event_id)),
+b AS (SELECT *, sum(f) OVER (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) s FROM a)
+SELECT min(ts) AS session_start, max(ts) + INTERVAL '2 minutes' AS session_end, count(*) AS n FROM b GROUP BY s""")
+def win_session_global(t):
+    """H5 without a key: sessions of the whole stream, gap 2 minutes."""
+    return W.sessions(t.events.select("ts", "event_id"), [], "ts", "event_id", 120)
