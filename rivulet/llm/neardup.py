@@ -31,7 +31,7 @@ from rivulet.llm.common import components, id_filter, id_slot, lookup
 from rivulet.llm.words import by_bytes, shingle_sets
 from rivulet.session import written
 
-CELL = 2000
+CELL = 1000
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -106,9 +106,7 @@ def _sketcher(shingle: int):
 def _members(classes: DataFrame, total: int, bands: int, width: int) -> DataFrame:
     """(bucket, cid, hub): the members of every bucket with two or more."""
     def run(batches):
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (b.slice(a, 2000) for b in batches for a in range(0, b.num_rows, 2000)):
             reg = np.frombuffer(b"".join(b.column("reg").to_pylist()), np.uint16).reshape(-1, H.BUCKETS)
             keys = H.band_keys(reg, bands, width).view(np.int64)
             yield pa.RecordBatch.from_arrays(
