@@ -18,14 +18,16 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivulet.llm.words import by_bytes
+from rivulet.llm.words import Recent, by_bytes, by_size
 
 SPACE = "▁"
-WORD_CACHE = 500_000
+CACHE = 120_000
+INDEX_WORDS = 50_000
 PAIR_CACHE = 2_000_000
 
 
@@ -55,43 +57,59 @@ def load(path: str) -> Vocabulary:
 
 
 class Encoder:
-    """Token ids of texts; words are encoded once and kept in a bounded cache."""
+    """Token ids of texts, kept as little-endian 32-bit numbers."""
 
     def __init__(self, v: Vocabulary):
         self.v = v
         self.id = {p: i for i, p in enumerate(v.pieces) if v.kinds[i] == 0}
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(v.pieces) if v.kinds[i] == 1}
-        self.text = [bytes([int(p[3:5], 16)]) if k == 1 else b"" if k == 2 else p.replace(SPACE, " ").encode()
-                     for p, k in zip(v.pieces, v.kinds)]
-        self.ids = np.array(sorted(self.id.values()))
-        self.size = np.array([len(v.pieces[i]) for i in self.ids])
+        text = [bytes([int(p[3:5], 16)]) if k == 1 else b"" if k == 2 else p.replace(SPACE, " ").encode()
+                for p, k in zip(v.pieces, v.kinds)]
+        self.text_bytes = np.frombuffer(b"".join(text), np.uint8)
+        self.text_size = np.fromiter(map(len, text), np.int64, len(text))
+        self.text_start = np.cumsum(self.text_size) - self.text_size
+        self.ids = np.array(sorted(self.id.values()), np.int32)
+        self.size = np.array([len(v.pieces[i]) for i in self.ids], np.int32)
         self.codes = np.zeros((len(self.ids), int(self.size.max())), np.uint32)
         for row, i in enumerate(self.ids):
             self.codes[row, :self.size[row]] = [ord(c) for c in v.pieces[i]]
         # a character that is in no piece merges with nothing, so a line break ends a word as a space does
         line = "" if any("\n" in p for p in self.id) else "\n"
         self.word = re.compile(f"{SPACE}+[^{SPACE}{line}]*|[^{SPACE}{line}]+" + (f"|{line}" if line else ""))
-        self.words: dict[str, bytes] = {}  # ids as little-endian 32-bit numbers
-        self.pairs: dict[int, bool] = {}
+        self.bigrams = {p[i:i + 2] for p in self.id for i in range(len(p) - 1)}
+        self.runs = Recent(CACHE, self._encode_words)
+        self.pairs, self.left_apart = np.zeros(0, np.int64), np.zeros(0, bool)  # sorted pairs of pieces already judged
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_batch([text])[0].tolist()
 
     def encode_batch(self, texts: list[str | None]) -> list[np.ndarray]:
         parts = [self.word.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.words) > WORD_CACHE:
-            self.words = {}
-        new = list(set(chain.from_iterable(parts)).difference(self.words))
-        if new:
-            self.words.update(zip(new, self._encode_words(new)))
-        get = self.words.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), "<i4") for p in parts]
+        words = list(set(chain.from_iterable(parts)))
+        ends = [self._closing(w) for w in words]
+        get = self.runs.of(r for e in ends for r in e if r).__getitem__
+        ids = dict(zip(words, [get(a) + get(b) if b else get(a) for a, b in ends]))
+        return [np.frombuffer(b"".join(map(ids.__getitem__, p)), "<i4") for p in parts]
+
+    def _closing(self, word: str) -> tuple[str, str]:
+        """A word and its closing marks, where no piece holds the two
+        characters at the seam, so that merging cannot cross it."""
+        core = word.rstrip(".,;:!?")
+        if len(core) == len(word) or not core or core[-1] + word[len(core)] in self.bigrams:
+            return word, ""
+        return core, word[len(core):]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of token ids, without the dummy prefix; bytes that are no
-        UTF-8 become U+FFFD."""
-        out = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
-        return out[1:] if out.startswith(" ") else out
+        return self.decode_batch(np.asarray(ids, np.int64), np.array([0, len(ids)]))[0]
+
+    def decode_batch(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The texts of token ids laid one after another, without the dummy
+        prefix; bytes that are no UTF-8 become U+FFFD."""
+        size = self.text_size[ids]
+        end = np.cumsum(size)
+        at = np.repeat(self.text_start[ids] - (end - size), size) + np.arange(end[-1] if len(end) else 0)
+        data, cut = self.text_bytes[at].tobytes(), np.concatenate([[0], end])[offsets].tolist()
+        return [data[a + (data[a:a + 1] == b" "):b].decode("utf-8", "replace") for a, b in zip(cut[:-1], cut[1:])]
 
     def merged(self, word: str) -> list[str]:
         """Byte-pair merging by its definition: the neighbours whose union has
@@ -112,16 +130,21 @@ class Encoder:
         """Whether merging leaves the two pieces of each pair apart; a character
         outside the vocabulary (-1) never merges."""
         n = len(self.v.pieces)
-        key, back = np.unique(left * n + right, return_inverse=True)
+        key, back = np.unique(left.astype(np.int64) * n + right, return_inverse=True)
         if len(self.pairs) > PAIR_CACHE:
-            self.pairs = {}
-        out = np.ones(len(key), bool)
-        for j, k in enumerate(key.tolist()):
-            ok = self.pairs.get(k)
-            if ok is None:
-                a, b = divmod(k, n)
-                ok = self.pairs[k] = self.merged(self.v.pieces[a] + self.v.pieces[b]) == [self.v.pieces[a], self.v.pieces[b]]
-            out[j] = ok
+            self.pairs, self.left_apart = np.zeros(0, np.int64), np.zeros(0, bool)
+        at = np.searchsorted(self.pairs, key)
+        new = np.ones(len(key), bool)
+        if len(self.pairs):
+            new = self.pairs[np.minimum(at, len(self.pairs) - 1)] != key
+        if new.any():
+            fresh = key[new]
+            p = self.v.pieces
+            ok = [a < 0 or b < 0 or self.merged(p[a] + p[b]) == [p[a], p[b]]
+                  for a, b in zip((fresh // n).tolist(), (fresh % n).tolist())]
+            self.pairs, self.left_apart = (np.insert(x, at[new], y) for x, y in ((self.pairs, fresh), (self.left_apart, ok)))
+            at = np.searchsorted(self.pairs, key)
+        out = self.left_apart[at]
         return out[back] | (left < 0) | (right < 0)
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
@@ -131,8 +154,8 @@ class Encoder:
         for i, w in enumerate(words):
             if w.startswith(SPACE * 2) or len(w) == 1:
                 out[i] = self._ids(self.merged(w))
-        for a in range(0, len(plain), 100_000):
-            part = plain[a:a + 100_000]
+        for a in range(0, len(plain), INDEX_WORDS):
+            part = plain[a:a + INDEX_WORDS]
             for i, ids in zip(part, self._lattice([words[i] for i in part])):
                 out[i] = ids
         return out
@@ -143,14 +166,22 @@ class Encoder:
 
     def _suffixes(self, code: np.ndarray) -> np.ndarray:
         """Positions in the order of the text that begins at each, compared as
-        far as the longest piece (ranks of 1, 2, 4, ... characters)."""
-        rank = np.unique(code, return_inverse=True)[1].astype(np.int64) + 1
-        k = 1
+        far as the longest piece. Characters are numbered and packed, as many
+        as fit into 64 bits, so one sort ranks the beginnings of that length; a
+        pair of ranks is a beginning of twice the length."""
+        chars, rank = np.unique(code, return_inverse=True)
+        bits = max(1, int(len(chars)).bit_length())
+        k = min(63 // bits, self.codes.shape[1])
+        key, rank = np.zeros(len(code), np.int64), rank.astype(np.int64) + 1
+        for j in range(k):
+            key <<= bits
+            key[:len(code) - j] |= rank[j:]
         while k < self.codes.shape[1]:
-            after = np.concatenate([rank[k:], np.zeros(min(k, len(rank)), np.int64)])
-            rank = np.unique(rank * (len(rank) + 2) + after, return_inverse=True)[1].astype(np.int64) + 1
+            rank = np.unique(key, return_inverse=True)[1].astype(np.int64) + 1
+            key = rank << 32
+            key[:max(len(code) - k, 0)] |= rank[k:]
             k *= 2
-        return np.argsort(rank, kind="stable")
+        return np.argsort(key, kind="stable").astype(np.int32)
 
     def _occurrences(self, code: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For every piece the range of suffixes that begin with it, by binary
@@ -182,16 +213,17 @@ class Encoder:
         order = self._suffixes(code)
         lo, hi = self._occurrences(code, order)
         n = hi - lo
-        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        pos, piece, length = order[at], np.repeat(self.ids, n), np.repeat(self.size, n)
+        at = np.repeat((lo - (np.cumsum(n) - n)).astype(np.int32), n) + np.arange(n.sum(), dtype=np.int32)
+        pos, piece, length = order[at].astype(np.int32), np.repeat(self.ids, n), np.repeat(self.size, n)
         known = np.zeros(len(code), bool)
         known[pos[length == 1]] = True
         known[(first + size)[:-1]] = True  # separators
         rest = np.flatnonzero(~known)
         pos, piece, length = (np.concatenate(p) for p in (
-            (pos, rest), (piece, np.full(len(rest), -1)), (length, np.ones(len(rest), np.int64))))
-        word = np.repeat(np.arange(len(words)), size + 1)[pos]
-        depth = pos - first[word]
+            (pos, rest.astype(np.int32)), (piece, np.full(len(rest), -1, np.int32)),
+            (length, np.ones(len(rest), np.int32))))
+        word = np.repeat(np.arange(len(words), dtype=np.int32), size + 1)[pos]
+        depth = pos - first.astype(np.int32)[word]
         by = np.argsort(depth.astype(np.uint16) if size.max() < 1 << 16 else depth, kind="stable")
         pos, piece, length, word, depth = (x[by] for x in (pos, piece, length, word, depth))
         via = np.full(len(code) + 1, -1)  # the edge that ends the encoding of each prefix
@@ -230,20 +262,22 @@ class Encoder:
         return out
 
 
-def encode(docs: DataFrame, model_path: str, text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """`docs` with `ids`, the token ids of every whole text (an array; null and
-    empty texts have none). All columns stay, but one named ids is replaced."""
+    empty texts have none). All columns stay, but one named ids is replaced and
+    the text goes where it is not to be kept."""
     vocab = docs.sparkSession.sparkContext.broadcast(load(model_path))
     names = [c for c in docs.columns if c != "ids"]
-    schema = docs.select(*names).schema.add("ids", T.ArrayType(T.IntegerType()))
+    kept = [c for c in names if keep_text or c != text_col]
+    schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = vocab.value.encoder()
         for b in batches:
-            for s in by_bytes(b, text_col):
+            for s in by_bytes(b, text_col, 4 << 20):
                 ids = enc.encode_batch(s.column(text_col).to_pylist())
                 off = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                yield s.append_column("ids", pa.ListArray.from_arrays(off, np.concatenate(ids)))
+                yield s.select(kept).append_column("ids", pa.ListArray.from_arrays(off, np.concatenate(ids)))
 
     return docs.select(*names).mapInArrow(run, schema)
 
@@ -259,7 +293,13 @@ def decode(tokens: DataFrame, model_path: str, ids_col: str = "ids", to: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = vocab.value.encoder()
         for b in batches:
-            text = [enc.decode([i for i in x or () if i is not None]) for x in b.column(ids_col).to_pylist()]
-            yield b.append_column(to, pa.array(text, pa.string()))
+            for s in by_size(b, pc.fill_null(pc.list_value_length(b.column(ids_col)), 0), 1 << 19):
+                lists = s.column(ids_col)
+                flat = lists.flatten()  # without the values below null lists
+                size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                given = flat.is_valid().to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(given)])[np.concatenate([[0], np.cumsum(size)])]
+                ids = flat.drop_null().to_numpy().astype(np.int64)
+                yield s.append_column(to, pa.array(enc.decode_batch(ids, ends), pa.string()))
 
     return tokens.select(*names).mapInArrow(run, schema)
