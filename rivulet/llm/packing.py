@@ -15,14 +15,15 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import partitions
-from rivulet.llm.words import by_bytes, split_words, word_hashes
+from rivulet.llm.words import Recent, by_bytes, split_words, word_hashes
 
 DIMS, BITS, SALT_BITS, BUCKETS = 3, 14, 20, 256
-WORD_CACHE = 400_000
+CACHE = 250_000
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -77,13 +78,24 @@ class WordTokenizer:
     characters, and marks the end of every run ("</w>"). Distinct runs are
     encoded once in a Python worker and kept in a bounded cache."""
 
-    MARKS = b".,;:!?"
+    MARKS = ".,;:!?"
 
     def __init__(self, source: str):
-        self.source, self.tok, self.known, self.words = source, None, {}, {}
+        self.source, self.tok = source, None
 
     def __getstate__(self) -> dict:
-        return {"source": self.source, "tok": None, "known": {}, "words": {}}
+        return {"source": self.source, "tok": None}
+
+    def _open(self) -> None:
+        """Done once in a Python worker, whose tasks share the object."""
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_str(self.source)
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.runs = Recent(CACHE, self._encode_runs)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, offsets of each text)."""
@@ -91,45 +103,41 @@ class WordTokenizer:
         if not len(idx):
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
         if self.tok is None:
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            from tokenizers import Tokenizer
-
-            self.tok = Tokenizer.from_str(self.source)
-            vocab = self.tok.get_vocab()
-            self.ends = np.zeros(max(vocab.values()) + 1, bool)
-            self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        for cache in (self.known, self.words):
-            if len(cache) > WORD_CACHE:
-                cache.clear()
-        words = words.cast(pa.large_binary()).to_pylist()
-        new = [w for w in words if w not in self.words]
-        runs = [self._runs(w) for w in new]
-        self._learn(list(set(chain.from_iterable(runs)).difference(self.known)))
-        get = self.known.__getitem__
-        self.words.update(zip(new, [get(core) + get(tail) if tail else get(core) for core, tail in runs]))
-        ids = list(map(self.words.__getitem__, words))
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            self._open()
+        runs, first, second = self._runs(words)
+        ids = list(map(self.runs.of(runs).__getitem__, runs))
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
-        start = np.cumsum(size) - size
-        count = size[idx]
-        end = np.cumsum(count)
-        out = flat[np.repeat(start[idx] - (end - count), count) + np.arange(end[-1])]
-        return out, np.concatenate([[0], end])[off]
-
-    def _runs(self, word: bytes) -> tuple[bytes, bytes]:
-        """A word as letters and closing marks, or as it is."""
-        core = word.rstrip(self.MARKS)
-        if core.decode().isalpha():
-            return core.lower(), word[len(core):]
-        return word, b""
-
-    def _learn(self, runs: list[bytes]) -> None:
-        self.known[b""] = b""
-        letters, other = [], []
-        for r in runs:
-            (letters if r.decode().isalpha() else other).append(r)
+        start = np.cumsum(size, dtype=np.int32) - size
+        run = np.stack([first[idx], second[idx]], axis=1).ravel()
+        count = size[run]
+        end = np.cumsum(count, dtype=np.int64)
+        at = np.repeat((start[run] - (end - count)).astype(np.int32), count)
+        at += np.arange(end[-1], dtype=np.int32)
+        return flat[at], np.concatenate([[0], end])[2 * off]
+
+    def _runs(self, words: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Distinct runs and the two that make up each distinct word: letters in
+        lower case and closing marks, or the word as it is and nothing."""
+        core = pc.utf8_rtrim(words, characters=self.MARKS)
+        alone = pc.utf8_is_alpha(core)
+        head = pc.if_else(alone, pc.ascii_lower(core), words).dictionary_encode()
+        runs = head.dictionary.cast(pa.large_binary()).to_pylist()
+        first = head.indices.to_numpy()
+        second = np.full(len(words), len(runs), np.int32)  # the empty run
+        cut = pc.binary_length(core).to_numpy()
+        rows = np.flatnonzero(alone.to_numpy(zero_copy_only=False) & (cut < pc.binary_length(words).to_numpy()))
+        tails: dict[bytes, int] = {b"": len(runs)}
+        for row, word, n in zip(rows.tolist(), words.take(pa.array(rows)).cast(pa.large_binary()).to_pylist(), cut[rows].tolist()):
+            second[row] = tails.setdefault(word[n:], len(runs) + len(tails))
+        return runs + list(tails), first, second
+
+    def _encode_runs(self, runs: list[bytes]) -> list[bytes]:
+        """Ids as little-endian 32-bit numbers. Many letter runs are encoded as
+        one text: each ends at the next end-of-word token."""
+        out, other = {}, []
+        letters = [r for r in runs if r.decode().isalpha() or other.append(r)]  # the empty run is no letters
         for a in range(0, len(letters), 20_000):
-            # many runs in one text: each ends at the next end-of-word token
             groups = [letters[b:b + 200] for b in range(a, min(a + 20_000, len(letters)), 200)]
             for g, e in zip(groups, self.tok.encode_batch_fast([b" ".join(g).decode() for g in groups],
                                                                add_special_tokens=False)):
@@ -139,11 +147,12 @@ class WordTokenizer:
                     other += g
                     continue
                 data, end = ids.tobytes(), (4 * end).tolist()
-                self.known.update(zip(g, [data[x:y] for x, y in zip([0, *end], end)]))
+                out.update(zip(g, [data[x:y] for x, y in zip([0, *end], end)]))
         for a in range(0, len(other), 5_000):
             part = other[a:a + 5_000]
             for r, e in zip(part, self.tok.encode_batch_fast([r.decode() for r in part], add_special_tokens=False)):
-                self.known[r] = np.array(e.ids, "<u4").tobytes()
+                out[r] = np.array(e.ids, "<u4").tobytes()
+        return [out[r] for r in runs]
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2,
@@ -211,7 +220,7 @@ def _packer(tokenizer, id_col: str, end_id: int, length: int, with_ids: bool):
         tok = tokenizer.value
         line = _Line(id_col, length, with_ids)
         for b in batches:
-            for s in by_bytes(b, "text", 8 << 20):
+            for s in by_bytes(b, "text"):
                 part = s.column("part").to_numpy()
                 edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
                 for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist()):
