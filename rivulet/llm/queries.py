@@ -44,7 +44,15 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), shingle=2, threshold=0.8)
 
 
-@query("op6_line_bloom")
+@query("op6_line_bloom", sql="""
+WITH k AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+l AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM k),
+c AS (SELECT key AS common FROM (SELECT DISTINCT doc_id, key FROM l) WHERE key <> '' GROUP BY key HAVING count(*) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(common) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE common IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN c ON key = common GROUP BY doc_id""")
 def op6_line_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in at least 10 documents are removed from all of them."""
     from rivulet.llm.linededup import drop_repeated_lines
@@ -124,7 +132,20 @@ def op2_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("text", 256).alias("decoded_sha256"), (F.sha2("text", 256) == F.col("was")).alias("round_trip"))
 
 
-@query("op4_indexed_warc")
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+@query("op4_indexed_warc", sql=f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages),
+h AS (SELECT *, sha1(html) AS hex FROM p),
+g AS (SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substr(hex, i * 5 + 1, 5) AS BIGINT)) AS parts FROM h)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(parts, lambda v: substr('{_BASE32}', ((v >> 15) & 31) + 1, 1) ||
+    substr('{_BASE32}', ((v >> 10) & 31) + 1, 1) || substr('{_BASE32}', ((v >> 5) & 31) + 1, 1) ||
+    substr('{_BASE32}', (v & 31) + 1, 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to
+FROM g""")
 def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to WARC archives and read back through the index."""
     from rivulet.llm import warc
