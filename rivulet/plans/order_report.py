@@ -65,7 +65,7 @@ def etl(orders: DataFrame, segments: DataFrame) -> DataFrame:
     """Keep open orders and locate the IP of typed orders. `segments` has
     (seg_start, seg_end, province, city)."""
     o = orders.where(F.col("status") == OPEN_STATUS)
-    j = bucketed_range_join(o, segments, "ip_num", bits=24)
+    j = bucketed_range_join(o, segments, "ip_num", bits=18)
     return j.select("orderId", "userId", "order_time", "province", "city", "money")
 
 

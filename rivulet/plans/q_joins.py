@@ -122,7 +122,7 @@ def ip_region_lookup(t):
     from rivulet.operators.rangejoin import bucketed_range_join
 
     pts = t.orders.select("o_orderkey", ((F.col("o_orderkey") * 2654435761) % 4294967296).alias("ip"))
-    return bucketed_range_join(pts, ip_segments(t), "ip", bits=24).select("o_orderkey", "ip", "province", "city")
+    return bucketed_range_join(pts, ip_segments(t), "ip", bits=18).select("o_orderkey", "ip", "province", "city")
 
 
 _SQL_VIEW_PURCHASE = """

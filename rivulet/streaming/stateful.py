@@ -197,20 +197,6 @@ class AllowedLateness(StatefulProcessor):
         self.handle = handle
         self.wins = handle.getMapState("wins", "win_start LONG", "total LONG, fired BOOLEAN")
 
-    def _due(self, key, t):
-        """Fire windows whose end the watermark `t` has passed; drop windows
-        past their lateness."""
-        out = []
-        for (start,), (total, fired) in list(self.wins.iterator()):
-            end = start + self.size
-            if end <= t and not fired:
-                out.append(("fire", start, key[0], total, None))
-            if end + self.lateness <= t:
-                self.wins.removeKey((start,))
-            elif end <= t and not fired:
-                self.wins.updateValue((start,), (total, True))
-        return out
-
     def _frame(self, out):
         df = pd.DataFrame(out, columns=self.COLUMNS)
         return df.astype({"win_start": "int64", "total": "Int64", "event_id": "Int64"})
@@ -222,8 +208,7 @@ class AllowedLateness(StatefulProcessor):
         cols = _in_order(rows, [self.id_col, self.ts_col, self.value_col], [self.id_col])
         ids, values = cols[self.id_col], cols[self.value_col]
         start = cols[self.ts_col] - cols[self.ts_col] % self.size
-        # the watermark passed before these rows: due windows fire first
-        out = self._due(key, wm)
+        out = []
         for w in np.unique(start).tolist():
             mine, end = start == w, w + self.size
             if end + self.lateness <= wm:
@@ -232,7 +217,9 @@ class AllowedLateness(StatefulProcessor):
             known = self.wins.containsKey((w,))
             total, fired = self.wins.getValue((w,)) if known else (0, False)
             sums = total + np.cumsum(values[mine])
-            if end <= wm:  # window already due: every late row fires at once
+            if end <= wm:  # due before these rows came: it fires without them, then for each of them
+                if known and not fired:
+                    out.append(("fire", w, key[0], total, None))
                 fired = True
                 out += [("late_fire", w, key[0], s, i) for s, i in zip(sums.tolist(), ids[mine].tolist())]
             if not known:
@@ -244,8 +231,16 @@ class AllowedLateness(StatefulProcessor):
             yield self._frame(out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        t = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        out = self._due(key, t)
+        # a timer stands for the end of one window, or for the end of its lateness
+        t, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        for w, last in ((t - self.size, False), (t - self.size - self.lateness, True)):
+            if self.wins.containsKey((w,)):
+                total, fired = self.wins.getValue((w,))
+                if not fired:
+                    out.append(("fire", w, key[0], total, None))
+                    self.wins.updateValue((w,), (total, True))
+                if last:
+                    self.wins.removeKey((w,))
         if out:
             yield self._frame(out)
 
