@@ -24,10 +24,6 @@ def from_epoch_ms(c) -> Column:
     return F.timestamp_millis(as_col(c)).cast("timestamp_ntz")
 
 
-def format_ts(c, fmt: str) -> Column:
-    return F.date_format(as_col(c), fmt)
-
-
 def rollup_keys(c, formats=ROLLUP_FORMATS) -> Column:
     """One timestamp → array of its hour, day and month keys (flatMap B3)."""
     return F.array(*[F.date_format(as_col(c), f) for f in formats])

@@ -24,26 +24,11 @@ def java_trim(c) -> Column:
     return F.btrim(as_col(c), F.lit(TRIM_SET))
 
 
-def is_blank(c) -> Column:
-    """`s == null || s.trim().length() == 0`."""
-    col = as_col(c)
-    return col.isNull() | (F.length(java_trim(col)) == 0)
-
-
 def not_blank(c) -> Column:
     col = as_col(c)
     return col.isNotNull() & (F.length(java_trim(col)) > 0)
 
 
-def drop_trailing_empty(c, delimiter: str) -> Column:
-    """Remove trailing delimiters so that Spark's `split` (which keeps
-    trailing empty fields) gives the same fields as `String.split`, which
-    drops them. `delimiter` is a literal string."""
-    import re
-
-    return F.regexp_replace(as_col(c), f"(?:{re.escape(delimiter)})+\\z", "")
-
-
 def java_split(c, regex: str) -> Column:
     """`String.split(regex)`: like Spark `split` but trailing empty strings
     are removed (an all-empty result keeps one empty string only when the

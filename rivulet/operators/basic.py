@@ -17,15 +17,6 @@ def with_routes(df: DataFrame, rules: Mapping[str, Column], col: str = "routes")
     return df.withColumn(col, F.filter(F.array(*tags), lambda x: x.isNotNull()))
 
 
-def select_route(routed: DataFrame, *names: str, col: str = "routes") -> DataFrame:
-    """`select(name, …)`: rows routed to any of `names`."""
-    cond = None
-    for n in names:
-        c = F.array_contains(F.col(col), n)
-        cond = c if cond is None else cond | c
-    return routed.where(cond).drop(col)
-
-
 def explode_routes(routed: DataFrame, col: str = "routes", tag_col: str = "tag") -> DataFrame:
     """All outputs at once, one row per (row, output)."""
     return routed.select("*", F.explode(col).alias(tag_col)).drop(col)

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.operators.scan import Running, global_seq, keyed_scan
+from rivulet.operators.scan import global_seq
 
 
 def epoch_us(c) -> Column:

@@ -262,6 +262,17 @@ def src_text_files(t):
     return read_text(t.spark, base, recursive=True).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("src_json_lines", sql="SELECT event_id, event_type, value FROM events")
+def src_json_lines(t):
+    """A5: JSON lines read back with an explicit schema."""
+    from rivulet.session import scratch_path
+    from rivulet.sources.basic import read_json_lines
+
+    path = scratch_path(t.spark, "json-lines")
+    t.events.select("event_id", "event_type", "value").write.json(path)
+    return read_json_lines(t.spark, path, "event_id BIGINT, event_type STRING, value DOUBLE")
+
+
 @query("src_delimited_files", sql="SELECT event_id, user_id, event_type, value FROM events")
 def src_delimited_files(t):
     """A5/K4: a `$`-delimited file sink read back with typed columns."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from rivulet.plans import order_report as R
 from rivulet.plans.q_joins import _SQL_SEGMENTS, ip_segments
 from rivulet.plans.registry import query

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from conftest import rows
 from rivulet.functions import text as T
 from rivulet.operators import text as TX
