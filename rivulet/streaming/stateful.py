@@ -214,18 +214,16 @@ class AllowedLateness(StatefulProcessor):
             if end + self.lateness <= wm:
                 out += [("side", w, key[0], None, i) for i in ids[mine].tolist()]
                 continue
-            known = self.wins.containsKey((w,))
-            total, fired = self.wins.getValue((w,)) if known else (0, False)
+            state = self.wins.getValue((w,))
+            known, (total, fired) = state is not None, state or (0, False)
             sums = total + np.cumsum(values[mine])
             if end <= wm:  # due before these rows came: it fires without them, then for each of them
                 if known and not fired:
                     out.append(("fire", w, key[0], total, None))
                 fired = True
                 out += [("late_fire", w, key[0], s, i) for s, i in zip(sums.tolist(), ids[mine].tolist())]
-            if not known:
-                if end > wm:
-                    self.handle.registerTimer(end)
-                self.handle.registerTimer(end + self.lateness)
+            if not known:  # a window's end sets the timer of its lateness
+                self.handle.registerTimer(end if end > wm else end + self.lateness)
             self.wins.updateValue((w,), (int(sums[-1]), fired))
         if out:
             yield self._frame(out)
@@ -234,13 +232,18 @@ class AllowedLateness(StatefulProcessor):
         # a timer stands for the end of one window, or for the end of its lateness
         t, out = expiredTimerInfo.getExpiryTimeInMs(), []
         for w, last in ((t - self.size, False), (t - self.size - self.lateness, True)):
-            if self.wins.containsKey((w,)):
-                total, fired = self.wins.getValue((w,))
+            state = self.wins.getValue((w,))
+            if state is None:
+                continue
+            total, fired = state
+            if not fired:
+                out.append(("fire", w, key[0], total, None))
+            if last or t + self.lateness <= timerValues.getCurrentWatermarkInMs():
+                self.wins.removeKey((w,))
+            else:
+                self.handle.registerTimer(t + self.lateness)
                 if not fired:
-                    out.append(("fire", w, key[0], total, None))
                     self.wins.updateValue((w,), (total, True))
-                if last:
-                    self.wins.removeKey((w,))
         if out:
             yield self._frame(out)
 
