@@ -17,25 +17,22 @@ def partitions(df: DataFrame) -> int:
 def lookup(left: DataFrame, right: DataFrame, keys: list[str], values: list[str], rows: int,
            count: str = "n_rows") -> DataFrame:
     """`left` with `values` of the row of `right` that has the same `keys`
-    (null where there is none).
+    (null where there is none). `left` must be deterministic: it is read twice.
 
     `right` holds one row per key, with the number of rows it stands for in
     `count`; these numbers add up to at most `rows`. Keys of more than a
-    thousandth of `rows` are at most HOT_SHARE by that definition: their rows
-    are broadcast, and the left rows they match are spread by a salt, so no
-    task of the shuffle join for all other keys receives a hot group."""
+    thousandth of `rows` (and more than HOT_SHARE rows) are at most HOT_SHARE by
+    that definition: their rows are broadcast, and the left rows they match are
+    not shuffled at all. All others meet in a shuffle join, where no task
+    receives a hot group."""
     limit = max(rows // HOT_SHARE, HOT_SHARE)
-    hot = right.where(F.col(count) > limit).select(
-        *keys, *[F.col(v).alias(f"__hot_{v}") for v in values], F.lit(True).alias("__hot"))
-    cold = right.where(F.col(count) <= limit).select(
-        *[F.col(k).alias(f"__cold_{k}") for k in keys], F.lit(0).cast("long").alias("__cold_salt"),
-        *[F.col(v).alias(f"__cold_{v}") for v in values])
-    out = left.join(F.broadcast(hot), keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).otherwise(0)
-        .cast("long"))
-    on = [F.col(k) == F.col(f"__cold_{k}") for k in keys] + [F.col("__salt") == F.col("__cold_salt")]
-    out = out.join(cold, on, "left")
-    return out.select(*left.columns, *[F.coalesce(f"__hot_{v}", f"__cold_{v}").alias(v) for v in values])
+    hot = right.where(F.col(count) > limit).select(*keys, *values)
+    cold = right.where(F.col(count) <= limit).select(*[F.col(k).alias(f"__cold_{k}") for k in keys], *values)
+    names = [*left.columns, *values]
+    warm = left.join(F.broadcast(hot), keys).select(names)
+    rest = left.join(F.broadcast(hot.select(keys)), keys, "left_anti")
+    on = [F.col(k) == F.col(f"__cold_{k}") for k in keys]
+    return warm.union(rest.join(cold, on, "left").select(names))
 
 
 def null_safe(c: Column) -> Column:

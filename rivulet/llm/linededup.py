@@ -13,13 +13,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivulet.llm.common import lookup, null_safe
+from rivulet.llm.words import by_bytes
 from rivulet.session import written
 
 WHITE = b" \t\n\x0b\x0c\r"
@@ -63,9 +63,9 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     drops = drops.select(F.col("own").alias("__own"), F.col("lines").alias("__lines"), "n_rows")
     out = lookup(docs.select(*names, own.alias("__own")), drops, ["__own"], ["__lines"], n)
-    out = out.withColumn("__cut", _cut(F.col(text_col), F.col("__lines")))
-    return out.select(*[F.col("__cut.text").alias(c) if c == text_col else F.col(c) for c in names],
-                      "__cut.n_lines", "__cut.n_dropped")
+    schema = T.StructType(docs.select(*names).schema.fields + [
+        T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    return out.select(*names, "__lines").mapInArrow(_cutter(text_col, schema.names), schema)
 
 
 def line_keys(text: str | None) -> list[bytes]:
@@ -94,7 +94,7 @@ def _twice(texts: DataFrame, min_chars: int, bits: int) -> bytes:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, again = np.zeros(bits, bool), np.zeros(bits, bool)
-        for b in batches:
+        for b in (s for b in batches for s in by_bytes(b, "text")):
             keys = [k for t in b.column(0).to_pylist() for k in _own_keys(t, min_chars)]
             if keys:
                 slot, count = np.unique(_slots(keys, bits), return_counts=True)
@@ -136,7 +136,7 @@ def _twice(texts: DataFrame, min_chars: int, bits: int) -> bytes:
 def _suspects(sent, min_chars: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.unpackbits(np.frombuffer(sent.value, np.uint8)).astype(bool)
-        for b in batches:
+        for b in (s for b in batches for s in by_bytes(b, "text")):
             row, keys = [], []
             for i, t in enumerate(b.column("text").to_pylist()):
                 k = _own_keys(t, min_chars)
@@ -152,16 +152,20 @@ def _suspects(sent, min_chars: int, bits: int):
     return run
 
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()),
-                            T.StructField("n_dropped", T.LongType())]))
-def _cut(text: pd.Series, drop: pd.Series) -> pd.DataFrame:
-    out = []
-    for t, d in zip(text, drop):
-        if d is None or not len(d):
-            out.append((t, (t or "").count("\n") + 1, 0))
-            continue
-        gone = {bytes(x) for x in d}
-        lines = t.split("\n")
-        left = [x for x, k in zip(lines, line_keys(t)) if k not in gone]
-        out.append(("\n".join(left), len(lines), len(lines) - len(left)))
-    return pd.DataFrame(out, columns=["text", "n_lines", "n_dropped"])
+def _cutter(text_col: str, names: list[str]):
+    """Removes the lines with the keys in __lines from each text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (s for b in batches for s in by_bytes(b, text_col)):
+            at, out, n_lines, n_dropped = b.schema.get_field_index(text_col), [], [], []
+            for t, d in zip(b.column(at).to_pylist(), b.column("__lines").to_pylist()):
+                n, left = (t or "").count("\n") + 1, t
+                if d:
+                    gone = set(d)
+                    kept = [x for x, k in zip(t.split("\n"), line_keys(t)) if k not in gone]
+                    left, n_after = "\n".join(kept), len(kept)
+                out.append(left)
+                n_lines.append(n)
+                n_dropped.append(n - n_after if d else 0)
+            cols = [pa.array(out, b.column(at).type) if i == at else c for i, c in enumerate(b.columns[:-1])]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names)
+    return run
