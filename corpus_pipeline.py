@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm import langid, linededup, neardup, packing, quality
+from rivulet.llm.common import text_batches
 from rivulet.llm.queries import read, tokenizer_path
 from rivulet.session import written
 
@@ -17,6 +18,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter or with an ambiguous language go; a missing
     language is filled in. The model is learned from the documents not held out."""
+    text_batches(spark)
     model = langid.learn(docs.where(~langid.held_out()))
     out = langid.identify(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & ~F.col("ambiguous"))
     return out.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
@@ -24,6 +26,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or a learned rule go."""
+    text_batches(spark)
     labels = quality.labelled(read(spark, sf_dir, "labels"))
     failed = quality.base_failed()
     # the labelled sample is bounded by its parameter, so it is broadcast
@@ -36,6 +39,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in at least 10 documents stay in the first one only; a
     document left without any word by that goes."""
+    text_batches(spark)
     out = linededup.drop_repeated_lines(docs, min_docs=10, keep="first")
     left = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     out = out.where(left | (F.col("n_dropped") == 0))
@@ -45,11 +49,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    text_batches(spark)
     return neardup.deduplicated(docs, shingle=5, threshold=0.8).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All remaining documents in sequences of 4096 tokens."""
+    text_batches(spark)
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
 
 

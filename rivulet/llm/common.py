@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.session import written
@@ -10,6 +10,18 @@ from rivulet.session import written
 HOT_SHARE = 1000
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Let rows of whole texts travel to Python workers in batches of `rows`
+    instead of Spark's default 10 000, which for texts are buffers of tens of MB
+    in every task. Set on the session by the queries and the pipeline, unless
+    the session has a setting of its own."""
+    if spark.conf.get(ARROW_ROWS) == "10000":
+        spark.conf.set(ARROW_ROWS, str(rows))
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -26,6 +38,7 @@ def lookup(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]
     not shuffled at all. All others meet in a shuffle join, where no task
     receives a hot group."""
     limit = max(rows // HOT_SHARE, HOT_SHARE)
+    right = written(right.select(*keys, *values, count), "lookup")  # read three times
     hot = right.where(F.col(count) > limit).select(*keys, *values)
     cold = right.where(F.col(count) <= limit).select(*[F.col(k).alias(f"__cold_{k}") for k in keys], *values)
     names = [*left.columns, *values]
@@ -54,7 +67,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     e = written(e, name)
     state = _state(e)
     while state[0]:
-        big = _star(e.union(e.select("v", "u")), larger=True)
+        big = written(_star(e.union(e.select("v", "u")), larger=True), name)
         e = written(_star(big, larger=False), name)
         now = _state(e)
         if now == state:

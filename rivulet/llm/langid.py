@@ -14,6 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from rivulet.llm.words import by_bytes
 
 DIM = 2048
 UNKNOWN = "und"
@@ -103,16 +106,23 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     langs = sorted({r.lang for r in got})
     if not langs:
         return LanguageModel([], np.zeros((0, 0)), np.zeros((DIM + 1, 0)), np.zeros(0))
-    x = np.stack([np.frombuffer(r.x, np.float16) for r in got]).astype(np.float64)
-    x = np.hstack([x, np.ones((len(x), 1))])
     at = {g: i for i, g in enumerate(langs)}
     cls = np.array([at[r.lang] for r in got])
     code = codewords(len(langs))
     y = code[cls]
     w8 = (1.0 / np.bincount(cls, minlength=len(langs)))[cls] * len(cls) / len(langs)  # languages weigh alike
-    gram = (x * w8[:, None]).T @ x + ridge * len(x) * np.eye(x.shape[1])
-    weights = np.linalg.solve(gram, (x * w8[:, None]).T @ y)
-    margin = (np.sign(x @ weights) == y).mean(axis=0) if y.size else np.zeros(0)
+
+    def blocks():  # a few hundred rows at a time, so the driver holds no matrix of the whole sample
+        for a in range(0, len(got), 250):
+            x = np.stack([np.frombuffer(r.x, np.float16) for r in got[a:a + 250]]).astype(np.float64)
+            yield slice(a, a + 250), np.hstack([x, np.ones((len(x), 1))])
+
+    gram, right = ridge * len(got) * np.eye(DIM + 1), np.zeros((DIM + 1, code.shape[1]))
+    for s, x in blocks():
+        gram += (x * w8[s, None]).T @ x
+        right += (x * w8[s, None]).T @ y[s]
+    weights = np.linalg.solve(gram, right)
+    margin = sum((np.sign(x @ weights) == y[s]).sum(axis=0) for s, x in blocks()) / len(got)
     trust = np.maximum(margin - 0.5, 1e-3)
     return LanguageModel(langs, code, weights, trust / trust.sum() if len(trust) else trust)
 
@@ -124,22 +134,26 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     replaced, all others stay."""
     names = [c for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")]
 
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
-    def predict(text):
-        import pandas as pd
-
-        lang, score, flag = [UNKNOWN] * len(text), np.zeros(len(text)), np.ones(len(text), bool)
-        rows = [i for i, t in enumerate(text) if model.langs and has_letter(t)]
-        for a in range(0, len(rows), 500):
-            part = rows[a:a + 500]
-            k, s, f = model.predict(np.stack([features(text.iat[i]) for i in part]))
-            for i, c in zip(part, k):
-                lang[i] = model.langs[c]
-            score[part], flag[part] = s, f
-        return pd.DataFrame({"lang_pred": lang, "score": score, "ambiguous": flag})
-
-    out = docs.select(*names, predict(F.col(text_col)).alias("__p"))
-    return out.select(*names, "__p.lang_pred", "__p.score", "__p.ambiguous")
+    schema = T.StructType(docs.select(*names).schema.fields + [
+        T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+        T.StructField("ambiguous", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s in by_bytes(b, text_col):
+                texts = s.column(text_col).to_pylist()
+                n = len(texts)
+                lang, score, flag = [UNKNOWN] * n, np.zeros(n), np.ones(n, bool)
+                rows = [i for i, t in enumerate(texts) if model.langs and has_letter(t)]
+                for a in range(0, len(rows), 500):
+                    part = rows[a:a + 500]
+                    k, score[part], flag[part] = model.predict(np.stack([features(texts[i]) for i in part]))
+                    for i, c in zip(part, k.tolist()):
+                        lang[i] = model.langs[c]
+                yield pa.RecordBatch.from_arrays([*s.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(flag)],
+                                                 schema.names)
+
+    return docs.select(*names).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -56,7 +56,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.first("reg").alias("reg")), "classes")
 
     members = _members(classes, total, bands, width)
-    star = members.where(F.col("cid") != F.col("hub")).select("hub", "cid").distinct()
+    star = written(members.where(F.col("cid") != F.col("hub")).select("hub", "cid").distinct(), "star")
     star = _estimated(star, classes, percent)
     links = _repeated_ids(sketch.where("id IS NOT NULL"), classes, total)
     links = links.union(_confirmed(_star_cells(star), d, shingle, percent))

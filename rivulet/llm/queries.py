@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.llm.common import text_batches
+
 _QUERIES: dict = {}
 _ORACLE: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
     def wrap(fn):
-        _QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            text_batches(spark)
+            return fn(spark, sf_dir)
+
+        _QUERIES[name] = run
         if sql is not None:
             _ORACLE[name] = sql.strip()
         return fn

@@ -55,8 +55,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, id_col: str = "p
     p = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
                      F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
     p = p.withColumn("digest", F.unhex(F.sha1(F.col("payload").cast("binary"))))
-    sums = written(p.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
-        F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1"), "warc-equal")
+    sums = p.where(F.octet_length("payload") >= min_bytes).groupBy("digest").agg(
+        F.max("page_id").alias("top"), F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
     rows = lookup(p, sums, ["digest"], ["top"], pages.count())
     same = F.coalesce(F.octet_length("payload") >= min_bytes, F.lit(False)) & F.col("top").isNotNull()
     rows = rows.withColumn("refers_to", F.when(same & ~F.col("page_id").eqNullSafe(F.col("top")), F.col("top")))
