@@ -22,7 +22,7 @@ from rivulet.llm.common import partitions
 from rivulet.llm.words import Recent, by_bytes, split_words, word_hashes
 
 DIMS, BITS, SALT_BITS, BUCKETS = 3, 14, 20, 256
-CACHE = 250_000
+CACHE = 100_000
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
