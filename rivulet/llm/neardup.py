@@ -202,6 +202,8 @@ def _confirmed(cells: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
         for b in (s for b in batches for s in by_bytes(b, "text")):
             b = b.filter(pa.array(table[b.column("slot").to_numpy()].astype(bool)))
             out = shingle_sets(b.column("text"), shingle)
+            # another text of the id may have no word: it links with nothing
+            b, out = b.filter(pa.array([len(s) > 0 for s in out], pa.bool_())), [s for s in out if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([s.tobytes() for s in out], pa.large_binary()).cast(pa.binary())],
                 ["id", "shingles"])

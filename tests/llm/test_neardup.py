@@ -7,7 +7,7 @@ from tables import ascii_lower, documents, empty, words
 
 from rivulet.llm import hyperminhash as H
 from rivulet.llm.common import components
-from rivulet.llm.neardup import deduplicated, near_duplicates
+from rivulet.llm.neardup import _confirmed, deduplicated, near_duplicates
 
 
 def shingles(text, k):
@@ -73,6 +73,17 @@ def test_rows_sharing_an_id_are_one_document(spark):
     assert {(r.doc_id, r.component_id) for r in near_duplicates(df).collect()} == {(7, 3), (3, 3), (9, 3)}
 
 
+def test_second_texts_without_words_link_nothing(spark):
+    a = " ".join(f"a{i}" for i in range(30))
+    rows = [(i, a + f" z{i}") for i in range(3, 9)] + [(i, t) for i in range(3, 9) for t in (None, "", " \n")]
+    rows += [(20, "one two"), (20, None), (21, "one two three"), (21, " ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates(df).collect()} == brute(rows, 5)
+    cells = spark.createDataFrame([(1, 0, 0, 3, 3), (1, 0, 1, 7, 7)], "cell long, part long, side int, id long, label long")
+    docs = spark.createDataFrame([(3, "one"), (7, None)], "id long, text string")
+    assert _confirmed(cells, docs, 5, 80).collect() == []
+
+
 def test_empty_table_and_other_columns(spark):
     docs = documents(spark)
     assert near_duplicates(empty(spark, docs)).collect() == []
