@@ -48,9 +48,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, also where rows
+    repeat an id or have none."""
     text_batches(spark)
-    return neardup.deduplicated(docs, shingle=5, threshold=0.8).select(*COLUMNS)
+    return neardup.one_per_group(docs, shingle=5, threshold=0.8).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

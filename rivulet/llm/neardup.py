@@ -84,6 +84,26 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.join(gone, id_col, "left_anti").select(docs.columns)
 
 
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """`docs` with one row of each group of near-duplicate rows, whether their
+    ids are repeated or null: the one with the smallest id, a null id only
+    where the group has no other. Rows without words are linked with nothing
+    and stay. Every row gets a key of its own, written with the input, and
+    the links run on these keys."""
+    docs = written(docs.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
+    gone = near_duplicates(docs, _ROW, text_col, **options).where(~F.col("kept"))
+    gone = written(gone.select(_ROW, "component_id"), "gone")
+    # groups of one row never get here; a key links to the smallest key of its group
+    rows = gone.union(gone.select(F.col("component_id").alias(_ROW), "component_id").distinct())
+    rows = rows.join(docs.select(_ROW, F.col(id_col).alias("__id")), _ROW)
+    rows = written(rows.select(_ROW, "component_id", "__id"), "groups")
+    best = rows.groupBy("component_id").agg(
+        F.min(F.struct(F.col("__id").isNull(), "__id", _ROW))[_ROW].alias(_ROW))
+    gone = rows.select(_ROW).join(best, _ROW, "left_anti")
+    return docs.join(gone, _ROW, "left_anti").drop(_ROW)
+
+
+_ROW = "__row"
 _SKETCH = "id long, n_shingles long, h1 long, h2 long, reg binary"
 
 

@@ -67,3 +67,15 @@ def test_awkward_rows_pass_all_stages(spark):
         for _, stage in pipeline.STAGES:
             out = stage(spark, rows, SF)
             rows = spark.createDataFrame(out.collect(), out.schema)
+
+
+def test_near_dedup_leaves_one_row_of_repeated_and_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, a + " omega"), (2, b), (3, b), (None, b), (None, c), (None, c), (4, "one"), (None, "")]
+    df = spark.createDataFrame(rows + rows, "doc_id long, text string").repartition(4)
+    docs = df.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "CAST(length(text) AS LONG) AS n_chars")
+    out = pipeline.near_dedup(spark, docs, SF)
+    assert out.columns == list(pipeline.COLUMNS)
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    # rows without words are linked with nothing
+    assert got == sorted([(1, a), (2, b), (None, c), (4, "one"), (None, ""), (None, "")], key=str)
