@@ -79,8 +79,8 @@ def stream_keyed_counter(t):
     from rivulet.streaming.stateful import keyed_counter
 
     S.prepare(t.spark)
-    ev = S.table_stream(t.spark, t.sf_dir, "events").select("event_id", "user_id", "ts")
-    return S.run_append(keyed_counter(ev, "user_id", "event_id", "ts"), "stream-keyed-counter")
+    return S.run_in_time_order(t.events.select("event_id", "user_id", "ts"), "ts",
+                               lambda ev: keyed_counter(ev, "user_id", "event_id", "ts"), "stream-keyed-counter")
 
 
 @query("stream_running_max", sql="""
@@ -91,8 +91,9 @@ def stream_running_max(t):
     from rivulet.streaming.stateful import keyed_running_max
 
     S.prepare(t.spark)
-    ev = S.table_stream(t.spark, t.sf_dir, "events").select("event_id", "user_id", "ts", "value")
-    return S.run_append(keyed_running_max(ev, "user_id", "event_id", "ts", "value"), "stream-running-max")
+    return S.run_in_time_order(t.events.select("event_id", "user_id", "ts", "value"), "ts",
+                               lambda ev: keyed_running_max(ev, "user_id", "event_id", "ts", "value"),
+                               "stream-running-max")
 
 
 @query("stream_order_timeout", sql="""
@@ -110,12 +111,14 @@ def stream_order_timeout(t):
     from rivulet.streaming.stateful import order_timeout
 
     S.prepare(t.spark)
-    ev = S.event_time(S.table_stream(t.spark, t.sf_dir, "events"))
-    ev = ev.where(F.col("event_type").isin("view", "purchase")) \
-        .select("event_id", "user_id", "event_type", "ts",
-                F.unix_micros("ts").alias("ts_us")).withWatermark("ts", "0 seconds")
-    res = order_timeout(ev, "user_id", "event_id", "ts_us", "event_type", 6 * 3600, "view", "purchase")
-    return S.run_append(res, "stream-order-timeout")
+
+    def build(st):
+        ev = S.event_time(st).select("event_id", "user_id", "event_type", "ts", F.unix_micros("ts").alias("ts_us")) \
+            .withWatermark("ts", "0 seconds")
+        return order_timeout(ev, "user_id", "event_id", "ts_us", "event_type", 6 * 3600, "view", "purchase")
+
+    ev = t.events.where(F.col("event_type").isin("view", "purchase")).select("event_id", "user_id", "event_type", "ts")
+    return S.run_in_time_order(ev, "ts", build, "stream-order-timeout")
 
 
 def _etl_stream(t):

@@ -8,7 +8,7 @@ outputs live below the shared checkpoint folder."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +48,47 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: StructType
     return (r.option("maxFilesPerTrigger", limit) if limit else r).parquet(path)
 
 
+#: Session setting: about as many rows make one micro-batch of `run_in_time_order`.
+ROWS_PER_BATCH = "rivulet.stream.rowsPerBatch"
+
+
+def run_in_time_order(rows: DataFrame, ts_col: str, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Run the append-mode query `build` over a table whose rows arrive in
+    event-time order, about ROWS_PER_BATCH (by default a million) in a
+    micro-batch, so that this bounds what one key has in a batch. Rows of the
+    same millisecond stay in one batch: none is behind the watermark."""
+    spark = rows.sparkSession
+    size = int(spark.conf.get(ROWS_PER_BATCH, "1000000"))
+    n, tasks = -(-rows.count() // size), spark.sparkContext.defaultParallelism
+    time = F.date_trunc("millisecond", F.col(ts_col).cast("timestamp"))
+    ranges = rows.repartitionByRange(max(n, 1) * tasks, time.asc_nulls_last())
+    return run_slices(ranges.withColumn(SLICE, F.floor(F.spark_partition_id() / tasks).cast("int")), max(n, 1), build, name)
+
+
+SLICE = "__slice"
+
+
+def run_slices(rows: DataFrame, n: int, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Run the append-mode query `build` over rows that arrive in `n` slices
+    (column SLICE, from 0). The rows are written once; the files of a slice
+    are moved to the source folder, and the query runs to the end of what has
+    arrived and stops before the next slice, which goes on from its checkpoint."""
+    spark = rows.sparkSession
+    staged, source, ck, out = (scratch_path(spark, f"{name}-{x}") for x in ("staged", "in", "ckpt", "out"))
+    rows.write.partitionBy(SLICE).parquet(staged)
+    like = rows.drop(SLICE)
+    like.limit(0).coalesce(1).write.parquet(source)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    for i in range(n):
+        arrived = path(f"{staged}/{SLICE}={i}")
+        if fs.exists(arrived) and not fs.rename(arrived, path(f"{source}/slice-{i}")):
+            raise RuntimeError(f"slice {i} of {staged} could not be moved to {source}")
+        st = spark.readStream.schema(like.schema).option("recursiveFileLookup", "true").parquet(source)
+        result = run_append(build(st), name, checkpoint=ck, path=out)
+    return result
+
+
 def event_time(df: DataFrame, col: str = "ts", out: str | None = None) -> DataFrame:
     """Watermarks need TIMESTAMP; the tables hold TIMESTAMP_NTZ (UTC)."""
     return df.withColumn(out or col, F.col(col).cast("timestamp"))

@@ -184,8 +184,9 @@ class AllowedLateness(StatefulProcessor):
     side output. A window fires when the watermark passes its end (timer),
     then fires again with the updated total for every late row that arrives
     before end + lateness; rows later than that go to the side output. State
-    per key: MapState window_start → (total, fired); totals are integers. The
-    state of a window is read and written once for a micro-batch."""
+    per (key, window): (total, fired); totals are integers. Rows in time are
+    added and late ones put out as they come; only those that fire again, each
+    with its own total, are gathered, for one window of a key at a time."""
 
     COLUMNS = ["kind", "win_start", "key", "total", "event_id"]
 
@@ -195,7 +196,7 @@ class AllowedLateness(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.wins = handle.getMapState("wins", "win_start LONG", "total LONG, fired BOOLEAN")
+        self.win = handle.getValueState("win", "total LONG, fired BOOLEAN")
 
     def _frame(self, out):
         df = pd.DataFrame(out, columns=self.COLUMNS)
@@ -204,48 +205,43 @@ class AllowedLateness(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         import numpy as np
 
-        wm = timerValues.getCurrentWatermarkInMs()
-        cols = _in_order(rows, [self.id_col, self.ts_col, self.value_col], [self.id_col])
-        ids, values = cols[self.id_col], cols[self.value_col]
-        start = cols[self.ts_col] - cols[self.ts_col] % self.size
-        out = []
-        for w in np.unique(start).tolist():
-            mine, end = start == w, w + self.size
-            if end + self.lateness <= wm:
-                out += [("side", w, key[0], None, i) for i in ids[mine].tolist()]
-                continue
-            state = self.wins.getValue((w,))
-            known, (total, fired) = state is not None, state or (0, False)
-            sums = total + np.cumsum(values[mine])
-            if end <= wm:  # due before these rows came: it fires without them, then for each of them
-                if known and not fired:
-                    out.append(("fire", w, key[0], total, None))
-                fired = True
-                out += [("late_fire", w, key[0], s, i) for s, i in zip(sums.tolist(), ids[mine].tolist())]
-            if not known:  # a window's end sets the timer of its lateness
-                self.handle.registerTimer(end if end > wm else end + self.lateness)
-            self.wins.updateValue((w,), (int(sums[-1]), fired))
-        if out:
+        wm, w = timerValues.getCurrentWatermarkInMs(), int(key[1])
+        end = w + self.size
+        if end + self.lateness <= wm:
+            for pdf in rows:
+                yield self._frame([("side", w, key[0], None, i) for i in pdf[self.id_col].tolist()])
+            return
+        known = self.win.exists()
+        total, fired = self.win.get() if known else (0, False)
+        if end > wm:
+            for pdf in rows:
+                total += int(pdf[self.value_col].to_numpy().sum())
+        else:  # due before these rows came: it fires without them, then for each of them
+            out = [("fire", w, key[0], total, None)] if known and not fired else []
+            cols = _in_order(rows, [self.id_col, self.value_col], [self.id_col])
+            sums = total + np.cumsum(cols[self.value_col])
+            out += [("late_fire", w, key[0], s, i) for s, i in zip(sums.tolist(), cols[self.id_col].tolist())]
+            total, fired = int(sums[-1]), True
             yield self._frame(out)
+        if not known:  # a window's end sets the timer of its lateness
+            self.handle.registerTimer(end if end > wm else end + self.lateness)
+        self.win.update((total, fired))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        # a timer stands for the end of one window, or for the end of its lateness
-        t, out = expiredTimerInfo.getExpiryTimeInMs(), []
-        for w, last in ((t - self.size, False), (t - self.size - self.lateness, True)):
-            state = self.wins.getValue((w,))
-            if state is None:
-                continue
-            total, fired = state
+        # a timer stands for the end of the window, or for the end of its lateness
+        if not self.win.exists():
+            return
+        total, fired = self.win.get()
+        w = int(key[1])
+        last = w + self.size + self.lateness
+        if max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()) >= last:
+            self.win.clear()
+        else:
+            self.handle.registerTimer(last)
             if not fired:
-                out.append(("fire", w, key[0], total, None))
-            if last or t + self.lateness <= timerValues.getCurrentWatermarkInMs():
-                self.wins.removeKey((w,))
-            else:
-                self.handle.registerTimer(t + self.lateness)
-                if not fired:
-                    self.wins.updateValue((w,), (total, True))
-        if out:
-            yield self._frame(out)
+                self.win.update((total, True))
+        if not fired:
+            yield self._frame([("fire", w, key[0], total, None)])
 
     def close(self) -> None:
         pass
@@ -260,5 +256,7 @@ def allowed_lateness(stream: DataFrame, key_col: str, ts_ms_col: str, value_col:
     operator classifies."""
     proc = AllowedLateness(window_seconds * 1000, lateness_seconds * 1000, ts_ms_col, value_col, id_col)
     ktype = dict(stream.dtypes)[key_col]
-    return stream.groupBy(key_col).transformWithStateInPandas(
+    size = F.lit(window_seconds * 1000)
+    stream = stream.withColumn("__win", F.col(ts_ms_col) - F.pmod(F.col(ts_ms_col), size))
+    return stream.groupBy(key_col, "__win").transformWithStateInPandas(
         proc, f"kind string, win_start bigint, key {ktype}, total bigint, event_id bigint", "Append", "EventTime")

@@ -175,3 +175,48 @@ def test_processing_time_trigger_runner(spark, tmp_dir):
     got = S.run_append(st, "periodic", path=f"{tmp_dir}/o", checkpoint=f"{tmp_dir}/c",
                        available_now=False, processing_time="200 milliseconds")
     assert rows(got) == [(1,), (2,)]
+
+
+def test_micro_batches_of_a_hot_key_are_bounded(spark, monkeypatch):
+    import datetime as dt
+    from types import SimpleNamespace
+
+    from conftest import SF_SMALL
+    from rivulet.plans import q_stream as Q
+    from tools.oracle_check import check
+
+    start = dt.datetime(2024, 1, 1)
+    data = [(i, 7, start + dt.timedelta(seconds=(i * 37) % 800, microseconds=i), "view", float((i * 31) % 101)) for i in range(800)]
+    ev = spark.createDataFrame(data, "event_id long, user_id long, ts timestamp_ntz, event_type string, value double")
+    t = SimpleNamespace(spark=spark, events=ev.repartition(3), sf_dir="none")
+    batches = []
+    run = S.run_append
+
+    def seen(*args, **options):
+        out = run(*args, **options)
+        batches.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "run_append", seen)
+    spark.conf.set(S.ROWS_PER_BATCH, "200")
+    try:
+        order = sorted(data, key=lambda r: (r[2], r[0]))
+        assert rows(Q.stream_keyed_counter(t)) == sorted((r[0], 7, i + 1) for i, r in enumerate(order))
+        sizes = [b - a for a, b in zip([0, *batches], batches)]
+        assert len(sizes) == 4 and max(sizes) < 400
+        best = [max(r[4] for r in order[:i + 1]) for i in range(len(order))]
+        assert rows(Q.stream_running_max(t)) == sorted((r[0], 7, m) for r, m in zip(order, best))
+        batches.clear()
+        keys = ["stream_keyed_counter", "stream_running_max", "stream_order_timeout"]
+        assert set(check(spark, SF_SMALL, keys, verbose=False).values()) == {"ok"} and len(batches) > 6
+    finally:
+        spark.conf.unset(S.ROWS_PER_BATCH)
+
+
+def test_allowed_lateness_state_is_keyed_by_window(spark, tmp_dir):
+    from rivulet.streaming.stateful import allowed_lateness
+
+    st = spark.readStream.schema("id long, t long, v long").json(tmp_dir)
+    st = st.select(F.lit("k").alias("k"), "id", "v", (F.col("t") * 1000).alias("ms"), F.timestamp_seconds("t").alias("ts"))
+    out = allowed_lateness(st.withWatermark("ts", "0 seconds"), "k", "ms", "v", "id", 10, 5)
+    assert "__win" in out._jdf.queryExecution().analyzed().toString().split("TransformWithState")[1]
