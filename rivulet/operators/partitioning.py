@@ -63,13 +63,21 @@ def sorted_invariant(df: DataFrame, col: str) -> DataFrame:
 
     p = sort_partitions(df.select(col), F.desc(col)).select(
         col, F.spark_partition_id().alias(PID), F.monotonically_increasing_id().alias("place"))
+    def follows(before: Column, value: Column) -> Column:  # nulls come last
+        return before.isNull() | value.isNull() | F.coalesce(before[col] >= value, F.lit(False))
+
     # neighbours inside blocks of rows, so no partition is gathered whole
-    block = F.shiftright("place", 10)
-    w = Window.partitionBy(PID, block).orderBy("place")
-    ends = p.select(PID, "place", col, F.lag(col).over(w).alias("before"), block.alias("block"))
-    inside = ends.agg(F.coalesce(F.bool_and(F.col("before") >= F.col(col)), F.lit(True)).alias("ok"),
-                      F.count(F.lit(1)).alias("n_rows"))
-    return inside
+    p = p.withColumn("block", F.shiftright("place", 10))
+    w = Window.partitionBy(PID, "block").orderBy("place")
+    row = F.struct(col)
+    inside = p.select(PID, "place", "block", row.alias("row"), follows(F.lag(row).over(w), F.col(col)).alias("ok"))
+    blocks = inside.groupBy(PID, "block").agg(
+        F.bool_and("ok").alias("ok"), F.count(F.lit(1)).alias("n_rows"),
+        F.min_by("row", "place").alias("first"), F.max_by("row", "place").alias("last"))
+    # and across the edges of the blocks: a row for each 1024 of a partition
+    edge = follows(F.lag("last").over(Window.partitionBy(PID).orderBy("block")), F.col("first")[col])
+    return blocks.select((F.col("ok") & edge).alias("ok"), "n_rows").agg(
+        F.coalesce(F.bool_and("ok"), F.lit(True)).alias("ok"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
 
 
 def rescale_invariant(df: DataFrame, n: int) -> DataFrame:

@@ -29,3 +29,16 @@ def test_write_text(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, s string")
     FS.write_text(df, f"{tmp_dir}/t")
     assert sorted(r[0] for r in spark.read.text(f"{tmp_dir}/t").collect()) == ["1,a", "2,b"]
+
+
+def test_sorted_invariant_compares_across_blocks(spark, monkeypatch):
+    def verdict(values):
+        df = spark.createDataFrame([(v,) for v in values], "v long").coalesce(1)
+        return tuple(P.sorted_invariant(df, "v").first())
+
+    assert verdict([5, None, 7, 1, None]) == (True, 5) and verdict([]) == (True, 0)
+    monkeypatch.setattr(P, "sort_partitions", lambda df, *order: df)
+    assert verdict(range(5000, 0, -1)) == (True, 5000)
+    # every block of 1024 rows is in order, the partition is not
+    assert verdict([v for b in range(4) for v in range(b * 1024 + 1023, b * 1024 - 1, -1)]) == (False, 4096)
+    assert verdict([3, None, 2]) == (False, 3)
