@@ -336,7 +336,7 @@ def stream_bucketed(t):
 
 
 # Arrival order as in the batch form (event time plus up to two hours); the
-# rows arrive in four files, so the watermark moves between them.
+# rows arrive in four slices, so the watermark moves between them.
 _SQL_ARRIVED = """
 arr AS (SELECT event_id, event_type, epoch_ms(ts) AS ms, CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT) AS cents,
                epoch_ms(ts) + (event_id * 7919) % 7200 * 1000 AS arrived FROM events),
@@ -353,7 +353,6 @@ HAVING win + 3600000 <= (SELECT max(ms) FROM r) - 1800000""")
 def stream_allowed_lateness(t):
     """H8/H9 on a stream over several micro-batches: the last total of every
     window that has fired, and the side output of rows later than that."""
-    from rivulet.session import scratch_path
     from rivulet.streaming.stateful import allowed_lateness
 
     S.prepare(t.spark)
@@ -361,13 +360,13 @@ def stream_allowed_lateness(t):
     e = t.events.select("event_id", "event_type", "ts", ms.alias("ms"), (money("value") * 100).cast("bigint").alias("cents"),
                         (ms + F.col("event_id") * 7919 % 7200 * 1000).alias("at"))
     lo, hi = e.agg(F.min("at")).scalar(), e.agg(F.max("at")).scalar()
-    e = e.withColumn("file", F.least(F.lit(3).cast("bigint"), F.floor((F.col("at") - lo) * 4 / F.greatest(hi - lo, F.lit(1)))))
-    source = scratch_path(t.spark, "late-in")
-    for i in range(4):
-        e.where(F.col("file") == i).drop("file", "at").coalesce(1).write.mode("append").parquet(source)
-    st = (t.spark.readStream.schema(e.drop("file", "at").schema).option("maxFilesPerTrigger", 1).parquet(source))
-    st = S.event_time(st).withWatermark("ts", "30 minutes").select("event_type", "ms", "cents", "event_id")
-    out = S.run_append(allowed_lateness(st, "event_type", "ms", "cents", "event_id", 3600, 1800), "stream-late")
+    quarter = F.least(F.lit(3).cast("bigint"), F.floor((F.col("at") - lo) * 4 / F.greatest(hi - lo, F.lit(1))))
+
+    def build(st):
+        st = S.event_time(st).withWatermark("ts", "30 minutes").select("event_type", "ms", "cents", "event_id")
+        return allowed_lateness(st, "event_type", "ms", "cents", "event_id", 3600, 1800)
+
+    out = S.run_slices(e.withColumn(S.SLICE, quarter).drop("at"), 4, build, "stream-late")
     side = out.where(F.col("kind") == "side")
     # a window's rows only add money or take it in the order of the firings: the last has the most rows
     fired = out.where(F.col("kind") != "side").groupBy("win_start", "key").agg(

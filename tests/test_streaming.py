@@ -220,3 +220,19 @@ def test_allowed_lateness_state_is_keyed_by_window(spark, tmp_dir):
     st = st.select(F.lit("k").alias("k"), "id", "v", (F.col("t") * 1000).alias("ms"), F.timestamp_seconds("t").alias("ts"))
     out = allowed_lateness(st.withWatermark("ts", "0 seconds"), "k", "ms", "v", "id", 10, 5)
     assert "__win" in out._jdf.queryExecution().analyzed().toString().split("TransformWithState")[1]
+
+
+def test_lateness_quarters_arrive_as_many_files(spark):
+    import glob
+    from types import SimpleNamespace
+
+    from conftest import SF_SMALL
+    from rivulet import session
+    from rivulet.plans import q_stream as Q
+
+    before = set(session._SCRATCH)
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(4)
+    assert Q.stream_allowed_lateness(SimpleNamespace(spark=spark, events=events, sf_dir=SF_SMALL)).count() > 0
+    source, = [x for x in set(session._SCRATCH) - before if "late-in" in x]
+    source = source.removeprefix("file:")
+    assert len(glob.glob(f"{source}/**/*.parquet", recursive=True)) >= 16
