@@ -188,3 +188,11 @@ def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = perspectives(read(spark, sf_dir, "conversations"))
     spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
     return out.withColumn("mask", F.array_join(spans, " "))
+
+
+@query("op13_block_whitening")
+def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings whitened on the first four components of the fit list."""
+    from rivulet.llm.whitening import whiten
+
+    return whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
