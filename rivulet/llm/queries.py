@@ -196,3 +196,11 @@ def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.whitening import whiten
 
     return whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op11_composed_acceptors")
+def op11_composed_acceptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near words, forms and roots of all words of the documents."""
+    from rivulet.llm.spelling import spelling_variants
+
+    return spelling_variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
