@@ -48,8 +48,11 @@ def spelling_variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Null and empty texts have no words; every row counts, also one that
     repeats an id or another row; other columns are ignored; an empty table
-    gives no rows. `part_words` bounds a partition of the composition.
+    gives no rows. `part_words` bounds a partition of the composition. `ratio`
+    is 2 at least, so that forms grow in n and never lead back.
     """
+    if ratio < 2:
+        raise ValueError("ratio must be at least 2")
     words = written(_counts(docs, id_col, text_col, min_chars, drop_mod).groupBy("word").agg(
         F.sum("n").alias("n")).where(F.col("n") >= min_count), "words")
     places = written(_initial_states(words, part_words or PART_WORDS), "places")

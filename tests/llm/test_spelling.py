@@ -87,7 +87,7 @@ def test_variants_with_awkward_texts(spark):
     rows = [(rng.choice((None, i, i, 7)), " ".join(rng.choices(vocabulary, weights, k=90)) + rng.choice(("", "\n", "日本x", ".É"))) for i in range(60)]
     rows += [(500 + i, "hotword hotwords hotwird xhotword " * 20) for i in range(30)] + [(1, None), (2, ""), (3, " 12 日 ")]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'c' AS word", "1 AS n", "2 AS part", "'r' AS root")
-    for options in ({}, {"part_words": 3}, {"part_words": 3, "drop_mod": 2, "ratio": 1, "min_count": 2}):
+    for options in ({}, {"part_words": 3}, {"part_words": 3, "drop_mod": 2, "ratio": 2, "min_count": 2}):
         n = brute_words(rows, min_count=options.get("min_count", 5), mod=options.get("drop_mod", 199))
         assert result(spelling_variants(df, **options)) == brute(n, options.get("ratio", 5)), options
     assert spelling_variants(empty(spark, df)).collect() == []
