@@ -204,3 +204,11 @@ def op11_composed_acceptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rivulet.llm.spelling import spelling_variants
 
     return spelling_variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op12_bootstrapped_pii")
+def op12_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents, found by form and by context."""
+    from rivulet.llm.pii import find_personal_data
+
+    return find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
