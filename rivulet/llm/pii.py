@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,8 @@ _EDGE = "\"'`<>()[]{},;"
 
 #: bits of the filter of pattern hashes at least and at most (32 MB), and bits spent on a pattern
 MIN_BITS, MAX_BITS, BITS_EACH = 16, 28, 16
+#: one in so many texts is looked at to leave out patterns of common words, and patterns a task counts before it passes them on
+SHARE, HELD = 32, 200_000
 
 
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = 5,
@@ -223,9 +226,12 @@ _SLOT_TYPE = pa.list_(pa.struct(_SPAN_FIELDS + [("strict", pa.bool_()), ("value"
 
 def _good_patterns(edges: DataFrame, rows: DataFrame, support: int, precision: float, rounds: int) -> DataFrame:
     """(kind, pattern, good, n_rows) of the good patterns."""
-    values = edges.groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("n_values"), F.max("strict").alias("seeded"))
+    values = edges.groupBy("kind", "pattern").agg(F.count(F.lit(1)).alias("n_values"), F.sum("n").alias("n_rows"))
     # only patterns with enough values can ever be good
-    able = written(values.where(F.col("n_values") >= support).select("kind", "pattern"), "able")
+    able = written(values.where(F.col("n_values") >= support).select("kind", "pattern", "n_rows"), "able")
+    # a share of the texts shows which words are far too common: what it counts, all texts hold at least
+    seen = _uses(able.select("pattern").distinct(), rows.where(F.pmod(F.xxhash64("text"), F.lit(SHARE)) == 0))
+    able = written(able.join(seen, "pattern").where(F.col("n_rows") >= precision * F.col("n_uses")).select("kind", "pattern"), "able")
     graph = written(edges.join(able, ["kind", "pattern"], "left_semi"), "graph")
     uses = written(_uses(able.select("pattern").distinct(), rows), "uses")
     known = written(edges.where("strict").select("kind", "value").distinct(), "known")
@@ -265,6 +271,7 @@ def _uses(patterns: DataFrame, rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.unpackbits(np.frombuffer(sent.value, np.uint8), bitorder="little").view(bool)
         low = np.uint64((1 << bits) - 1)
+        held: Counter = Counter()
         for b in (s for b in batches for s in by_bytes(b, "text")):
             names, at, off = split_words(b.column("text"))
             if not len(at):
@@ -286,7 +293,14 @@ def _uses(patterns: DataFrame, rows: DataFrame) -> DataFrame:
             every = every[(every != 0) & seen[(every & low).astype(np.int64)]]
             if len(every):
                 p, n = np.unique(every, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(p.view(np.int64)), pa.array(n, pa.int64())], ["pattern", "n"])
+                held.update(dict(zip(p.view(np.int64).tolist(), n.tolist())))
+            if len(held) > HELD:
+                yield counted(held)
+                held.clear()
+        yield counted(held)
+
+    def counted(held: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())], ["pattern", "n"])
 
     places = rows.select("text").mapInArrow(run, "pattern long, n long").groupBy("pattern").agg(F.sum("n").alias("n_uses"))
     return patterns.join(places, "pattern", "left").select("pattern", F.coalesce("n_uses", F.lit(0)).alias("n_uses"))
