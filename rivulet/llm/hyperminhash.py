@@ -61,6 +61,26 @@ def band_keys(reg: np.ndarray, bands: int, width: int) -> np.ndarray:
     return key
 
 
+def independent_band_keys(sets: list[np.ndarray], bands: int, width: int) -> np.ndarray:
+    """(sets, bands) 64-bit keys, each over the smallest values that `width`
+    hash functions of its own take on a non-empty set: exact for sets so small
+    that the registers of one hash function depend on each other."""
+    if not sets:
+        return np.zeros((0, bands), np.int64)
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    h, start = np.concatenate(sets).astype(np.uint64), np.cumsum(size) - size
+    rng = np.random.default_rng(77)
+    key = np.zeros((len(sets), bands), np.uint64)
+    with np.errstate(over="ignore"):
+        for b in range(bands):
+            now = np.full(len(sets), bands + 1 + b, np.uint64)
+            for salt in rng.integers(1, 1 << 63, width, dtype=np.uint64):
+                low = np.minimum.reduceat(mix(h ^ salt), start)
+                now = mix(now * np.uint64(0x9E3779B97F4A7C15) + low)
+            key[:, b] = now
+    return key.view(np.int64)
+
+
 def chance_equal(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     """Probability that a register of two disjoint sets of these sizes agrees
     by collision: the sum over leading-zero counts z and mantissas of the

@@ -8,13 +8,18 @@
 3. The collision-corrected Jaccard estimate of the registers discards pairs
    far below the threshold; the rest are confirmed on the full sets.
 4. Buckets whose members are still in several components are finished by
-   comparing, on the full sets, all members outside the bucket's main
-   component with all members; rows are dealt to cells of bounded size.
+   comparing, on the full sets, the members outside the bucket's main
+   component with all others but the smallest one, which has met them all;
+   of buckets with the same members one is compared. Rows are dealt to cells
+   of bounded size.
 5. Connected components of the confirmed links give the groups.
 
 Two sets at the threshold meet in a bucket with probability
 1 - (1 - threshold^width)^bands; the defaults miss 3 in 10^6 at 0.8 and fewer
-above. Everything found is confirmed exactly.
+above, if the registers of a band are independent. Those of sets below SMALL
+shingles are not, since most are copies of others; these sets, and those
+that may be linked with one, have bands of independent hash functions
+instead. Everything found is confirmed exactly.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +37,9 @@ from rivulet.llm.common import components, id_filter, id_slot, lookup
 from rivulet.llm.words import by_bytes, shingle_sets
 from rivulet.session import written
 
-CELL = 1000
+#: about the most sets and shingles of one side of a cell
+CELL, CELL_SHINGLES = 1000, 1 << 21
+SMALL = 64
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
@@ -48,12 +56,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     percent = round(threshold * 100)
     d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketch = written(d.mapInArrow(_sketcher(shingle), _SKETCH), "sketch")
+    sketch = written(d.mapInArrow(_sketcher(shingle, percent, bands, width), _SKETCH), "sketch")
     total = sketch.count()
     named = sketch.where(F.col("id").isNotNull() & (F.col("n_shingles") > 0))
     classes = written(named.groupBy("h1", "h2").agg(
         F.min("id").alias("cid"), F.count(F.lit(1)).alias("n_rows"), F.first("n_shingles").alias("n"),
-        F.first("reg").alias("reg")), "classes")
+        F.first("reg").alias("reg"), F.first("small").alias("small")), "classes")
 
     members = _members(classes, total, bands, width)
     star = written(members.where(F.col("cid") != F.col("hub")).select("hub", "cid").distinct(), "star")
@@ -70,8 +78,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found.withColumnRenamed("id", "cid"), "cid", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "cid"))
     light = sketch.select("id", "n_shingles", "h1", "h2")
-    out = lookup(light, labelled, ["h1", "h2"], ["component"], total)
-    comp = F.when(F.col("n_shingles") > 0, F.when(F.col("id").isNotNull(), F.col("component"))).otherwise(F.col("id"))
+    out = written(lookup(light, labelled, ["h1", "h2"], ["component"], total), "placed")
+    # a row without words goes with the other rows of its id, where there are some with words
+    bare = out.where((F.col("n_shingles") == 0) & F.col("id").isNotNull()).select("id").distinct()
+    own = out.where(F.col("n_shingles") > 0).join(bare, "id", "left_semi").groupBy("id").agg(
+        F.min("component").alias("own"), F.count(F.lit(1)).alias("n_rows"))
+    out = lookup(out, own, ["id"], ["own"], total)
+    comp = F.when(F.col("n_shingles") > 0, F.when(F.col("id").isNotNull(), F.col("component"))).otherwise(F.coalesce("own", "id"))
     out = out.withColumn("component_id", comp)
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id",
                       F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
@@ -104,10 +117,10 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 _ROW = "__row"
-_SKETCH = "id long, n_shingles long, h1 long, h2 long, reg binary"
+_SKETCH = "id long, n_shingles long, h1 long, h2 long, reg binary, small binary"
 
 
-def _sketcher(shingle: int):
+def _sketcher(shingle: int, percent: int, bands: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -116,26 +129,34 @@ def _sketcher(shingle: int):
             reg = H.registers(sets)
             digest = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             both = np.frombuffer(b"".join(digest), np.int64).reshape(-1, 2)
+            few = [i for i, s in enumerate(sets) if 0 < len(s) * percent < SMALL * 100]
+            small = dict(zip(few, H.independent_band_keys([sets[i] for i in few], bands, width)))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(both[:, 0].copy()),
-                 pa.array(both[:, 1].copy()), pa.array([r.tobytes() for r in reg], pa.binary())],
-                ["id", "n_shingles", "h1", "h2", "reg"])
+                 pa.array(both[:, 1].copy()), pa.array([r.tobytes() for r in reg], pa.binary()),
+                 pa.array([small[i].tobytes() if i in small else None for i in range(len(sets))], pa.binary())],
+                ["id", "n_shingles", "h1", "h2", "reg", "small"])
     return run
 
 
 def _members(classes: DataFrame, total: int, bands: int, width: int) -> DataFrame:
-    """(bucket, cid, hub): the members of every bucket with two or more."""
+    """(bucket, cid, n, hub): the members of every bucket with two or more."""
     def run(batches):
         for b in (b.slice(a, 2000) for b in batches for a in range(0, b.num_rows, 2000)):
-            reg = np.frombuffer(b"".join(b.column("reg").to_pylist()), np.uint16).reshape(-1, H.BUCKETS)
-            keys = H.band_keys(reg, bands, width).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), pa.array(np.repeat(b.column("cid").to_numpy(), bands))], ["bucket", "cid"])
-
-    rows = classes.select("cid", "reg").mapInArrow(run, "bucket long, cid long")
+            few = b.column("small").is_valid()
+            for part, keys in ((b.filter(pc.greater_equal(b.column("n"), SMALL)), None), (b.filter(few), "small")):
+                if keys:
+                    k = np.frombuffer(b"".join(part.column(keys).to_pylist()), np.int64)
+                else:
+                    reg = np.frombuffer(b"".join(part.column("reg").to_pylist()), np.uint16).reshape(-1, H.BUCKETS)
+                    k = H.band_keys(reg, bands, width).view(np.int64).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(k), *(pa.array(np.repeat(part.column(c).to_numpy(), bands))
+                                                                 for c in ("cid", "n"))], ["bucket", "cid", "n"])
+
+    rows = classes.select("cid", "n", "reg", "small").mapInArrow(run, "bucket long, cid long, n long")
     hubs = rows.groupBy("bucket").agg(F.min("cid").alias("hub"), F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
-    # a bucket's rows are at most total * bands
-    out = lookup(rows, hubs, ["bucket"], ["hub"], total * bands)
+    # a bucket's rows are at most total * bands, twice for sets with both kinds of bands
+    out = lookup(rows, hubs, ["bucket"], ["hub"], 2 * total * bands)
     return written(out.where(F.col("hub").isNotNull()), "members")
 
 
@@ -164,17 +185,17 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             est, used = H.jaccard_estimate(a, c, b.column("n").to_numpy(), b.column("hub_n").to_numpy())
             t = percent / 100
             keep = est >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(used, 1))
-            yield pa.RecordBatch.from_arrays([b.column("hub").filter(pa.array(keep)),
-                                              b.column("cid").filter(pa.array(keep))], ["hub", "cid"])
+            yield b.select(["hub", "cid", "n"]).filter(pa.array(keep))
 
-    return written(j.select("hub", "cid", "n", "hub_n", "reg", "hub_reg").mapInArrow(run, "hub long, cid long"), "pairs")
+    return written(j.select("hub", "cid", "n", "hub_n", "reg", "hub_reg").mapInArrow(
+        run, "hub long, cid long, n long"), "pairs")
 
 
 def _star_cells(pairs: DataFrame) -> DataFrame:
     """Rows (cell, part, side, id, label): each hub on side 0 of its cells,
-    the classes paired with it on side 1, at most about CELL in each part."""
-    n = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n_pairs")).withColumn(
-        "parts", (F.col("n_pairs") / CELL).cast("long") + 1)
+    the classes paired with it on side 1, at most about CELL, or CELL_SHINGLES
+    in their sets, in each part."""
+    n = pairs.groupBy("hub").agg(F.count(F.lit(1)).alias("n_pairs"), F.sum("n").alias("n")).withColumn("parts", _parts("n_pairs", "n"))
     side1 = lookup(pairs, n, ["hub"], ["parts"], pairs.count(), count="n_pairs").select(
         F.col("hub").alias("cell"), F.pmod(F.xxhash64("cid"), F.col("parts")).alias("part"), F.lit(1).alias("side"),
         F.col("cid").alias("id"), F.col("cid").alias("label"))
@@ -183,22 +204,31 @@ def _star_cells(pairs: DataFrame) -> DataFrame:
     return side0.union(side1)
 
 
+def _parts(rows: str, shingles: str):
+    return F.greatest(F.col(rows) / CELL, F.col(shingles) / CELL_SHINGLES).cast("long") + 1
+
+
 def _open_cells(members: DataFrame, labels: DataFrame, total: int) -> DataFrame:
-    """The cells of the buckets whose members are in several components. Side
-    0 holds the members outside the hub's component, side 1 all members; both
-    are cut into blocks of about CELL, and each pair of blocks is a cell."""
+    """The cells of the buckets whose members besides the hub, which has met
+    them all, are in several components. Side 0 holds those outside the hub's
+    component, side 1 all; both are cut into blocks of about CELL, and each
+    pair of blocks is a cell. Of buckets with the same members one is taken:
+    similar texts share several."""
     lab = labels.select(F.col("id").alias("cid"), F.col("component").alias("label"))
     m = members.join(lab, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     m = written(m, "open")
+    other = F.col("cid") != F.col("hub")
     size = m.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.min("label").alias("lo"), F.max("label").alias("hi"),
-        F.max(F.when(F.col("cid") == F.col("hub"), F.col("label"))).alias("main"),
-        F.count_if(F.lit(True)).alias("n")).where("lo < hi")
-    out = lookup(m, size, ["bucket"], ["main", "n"], members.count()).where(F.col("main").isNotNull())
-    parts = (F.col("n") / CELL).cast("long") + 1
-    block = F.pmod(F.xxhash64("cid"), parts)
-    every = F.sequence(F.lit(0).cast("long"), parts - 1)
-    base = out.select("bucket", "cid", "label", "main", parts.alias("parts"), block.alias("block"), every.alias("every"))
+        F.count(F.lit(1)).alias("n_rows"), F.sum("n").alias("shingles"), F.min(F.when(other, F.col("label"))).alias("lo"),
+        F.max(F.when(other, F.col("label"))).alias("hi"), F.max(F.when(~other, F.col("label"))).alias("main"),
+        F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("xor"))
+    same = size.where("lo < hi").groupBy("n_rows", "main", "sum", "xor").agg(
+        F.min("bucket").alias("bucket"), F.first("shingles").alias("shingles"))
+    same = same.select("bucket", "n_rows", "main", _parts("n_rows", "shingles").alias("parts"))
+    out = lookup(m.where(other), same, ["bucket"], ["main", "parts"], members.count()).where(F.col("main").isNotNull())
+    block = F.pmod(F.xxhash64("cid"), F.col("parts"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+    base = out.select("bucket", "cid", "label", "main", "parts", block.alias("block"), every.alias("every"))
     side1 = base.select("bucket", F.explode("every").alias("other"), "block", "parts", F.lit(1).alias("side"), "cid", "label")
     side0 = base.where(F.col("label") != F.col("main")).select(
         "bucket", F.col("block").alias("other"), F.explode("every").alias("block"), "parts", F.lit(0).alias("side"),
@@ -219,16 +249,25 @@ def _confirmed(cells: DataFrame, docs: DataFrame, shingle: int, percent: int) ->
 
     def sets(batches):
         table = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little")
+        seen = set()
         for b in (s for b in batches for s in by_bytes(b, "text")):
             b = b.filter(pa.array(table[b.column("slot").to_numpy()].astype(bool)))
             out = shingle_sets(b.column("text"), shingle)
             # another text of the id may have no word: it links with nothing
-            b, out = b.filter(pa.array([len(s) > 0 for s in out], pa.bool_())), [s for s in out if len(s)]
+            new = []
+            for i, s in zip(b.column("id").to_pylist(), out):
+                mark = (i, len(s), hash(s.tobytes()))
+                new.append(len(s) > 0 and mark not in seen)
+                seen.add(mark)
+            if len(seen) > 100_000:  # an id with very many rows is soon met again
+                seen.clear()
+            b, out = b.filter(pa.array(new, pa.bool_())), [s for s, x in zip(out, new) if x]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([s.tobytes() for s in out], pa.large_binary()).cast(pa.binary())],
                 ["id", "shingles"])
 
-    full = wanted.mapInArrow(sets, "id long, shingles binary").dropDuplicates(["id", "shingles"])
+    # a task sends an id's set once; dealt by id, the sets meet their cells without another shuffle
+    full = wanted.mapInArrow(sets, "id long, shingles binary").repartition("id").dropDuplicates(["id", "shingles"])
     rows = cells.join(full, "id").repartition("cell", "part").sortWithinPartitions("cell", "part", "side")
     return rows.select("cell", "part", "side", "id", "label", "shingles").mapInArrow(
         _cell_links(percent), "a long, b long")

@@ -112,6 +112,30 @@ def test_estimates_are_unbiased():
         assert abs(est.mean() - j) < 0.02
 
 
+def test_small_sets_at_the_threshold_meet():
+    """Pairs at exactly 0.8 of up to 60 shingles: the bands miss no more than
+    their formula says (3 in 10^6)."""
+    rng = np.random.default_rng(9)
+    a, b = [], []
+    for _ in range(20_000):
+        n = int(rng.integers(1, 13)) * 5  # union; 4/5 of it in common
+        x = np.unique(rng.integers(1, 1 << 62, n, dtype=np.uint64))
+        k, cut = len(x) // 5, rng.permutation(len(x))
+        a.append(np.sort(x[cut[:len(x) - k // 2]]))
+        b.append(np.sort(x[cut[k - k // 2:]]))
+    keys = [H.independent_band_keys(s, 42, 6) for s in (a, b)]
+    assert ((keys[0] == keys[1]).any(axis=1)).sum() >= 19_998
+
+
+def test_sets_around_the_small_bound(spark):
+    rng, rows = random.Random(8), []
+    for g in range(40):  # pairs of 58 to 80 shingles, on both sides of the bound
+        base = [f"g{g}w{i}" for i in range(rng.randint(58, 80))]
+        rows += [(10 * g, " ".join(base)), (10 * g + 1, " ".join(base[:-rng.randint(1, 12)] + ["end"]))]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute(rows, 2)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 150)] + [(5, 5), (200, 150), (150, 200)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
