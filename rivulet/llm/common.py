@@ -22,6 +22,22 @@ def text_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(ARROW_ROWS, str(rows))
 
 
+def shared(spark: SparkSession, data, make):
+    """A function that gives tasks the object make(data). Only `data`, plain
+    values, is broadcast, since classes of a package that executors have not
+    installed cannot be read from a broadcast; `make` travels with the task's
+    function. The tasks of a Python worker share one object."""
+    sent = spark.sparkContext.broadcast({"data": data})
+
+    def get():
+        held = sent.value
+        if "made" not in held:
+            held["made"] = make(held["data"])
+        return held["made"]
+
+    return get
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

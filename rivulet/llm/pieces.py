@@ -11,6 +11,7 @@ merge result of every prefix.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,12 +23,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from rivulet.llm.common import shared
 from rivulet.llm.words import Recent, by_bytes, by_size
 
 SPACE = "▁"
 CACHE = 120_000
 INDEX_WORDS = 50_000
 PAIR_CACHE = 2_000_000
+LONGEST = 2_000
 
 
 @dataclass
@@ -35,16 +38,9 @@ class Vocabulary:
     pieces: list[str]
     scores: list[float]
     kinds: list[int]  # 0 normal, 1 byte, 2 never in a text (control, unknown)
-    made: "Encoder | None" = None
 
-    def encoder(self) -> "Encoder":
-        """One encoder for all tasks of a Python worker: its caches stay warm."""
-        if self.made is None:
-            self.made = Encoder(self)
-        return self.made
 
-
-def load(path: str) -> Vocabulary:
+def load(path: str) -> tuple[list[str], list[float], list[int]]:
     """Pieces, scores and kinds of a SentencePiece BPE model with byte fallback,
     identity normalization and a dummy prefix."""
     import sentencepiece
@@ -52,7 +48,11 @@ def load(path: str) -> Vocabulary:
     m = sentencepiece.SentencePieceProcessor(model_file=path)
     n = m.vocab_size()
     kind = [1 if m.is_byte(i) else 2 if m.is_control(i) or m.is_unknown(i) or m.is_unused(i) else 0 for i in range(n)]
-    return Vocabulary([m.id_to_piece(i) for i in range(n)], [m.get_score(i) for i in range(n)], kind)
+    return [m.id_to_piece(i) for i in range(n)], [m.get_score(i) for i in range(n)], kind
+
+
+def _encoder(model: tuple) -> "Encoder":
+    return Encoder(Vocabulary(*model))
 
 
 class Encoder:
@@ -113,17 +113,30 @@ class Encoder:
     def merged(self, word: str) -> list[str]:
         """Byte-pair merging by its definition: the neighbours whose union has
         the highest score are joined, the leftmost first, until none are."""
-        s = list(word)
-        while True:
-            best = None
-            for i in range(len(s) - 1):
-                k = self.id.get(s[i] + s[i + 1])
-                if k is not None and (best is None or self.v.scores[k] > best[0]):
-                    best = (self.v.scores[k], i)
-            if best is None:
-                return s
-            i = best[1]
-            s[i:i + 2] = [s[i] + s[i + 1]]
+        s, n = list(word), len(word)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        open_pairs = []
+
+        def offer(i):
+            j = right[i]
+            k = self.id.get(s[i] + s[j]) if j < n else None
+            if k is not None:
+                heapq.heappush(open_pairs, (-self.v.scores[k], i, len(s[i]), len(s[j])))
+
+        for i in range(n - 1):
+            offer(i)
+        while open_pairs:
+            _, i, a, b = heapq.heappop(open_pairs)
+            j = right[i] if s[i] else n
+            if j >= n or len(s[i]) != a or len(s[j]) != b:
+                continue  # one of the two has been joined since
+            s[i], s[j], right[i] = s[i] + s[j], "", right[j]
+            if right[i] < n:
+                left[right[i]] = i
+                offer(i)
+            if left[i] >= 0:
+                offer(left[i])
+        return [x for x in s if x]
 
     def _apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether merging leaves the two pieces of each pair apart; a character
@@ -148,11 +161,14 @@ class Encoder:
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         out: list = [None] * len(words)
-        # runs of spaces have pieces with equal scores and are merged by definition
-        plain = [i for i, w in enumerate(words) if not w.startswith(SPACE * 2) and len(w) > 1]
+        # runs of spaces have pieces with equal scores and are merged by definition, as are very long words,
+        # which would be relaxed one position after another
+        plain = []
         for i, w in enumerate(words):
-            if w.startswith(SPACE * 2) or len(w) == 1:
+            if w.startswith(SPACE * 2) or not 1 < len(w) <= LONGEST:
                 out[i] = self._ids(self.merged(w))
+            else:
+                plain.append(i)
         for a in range(0, len(plain), INDEX_WORDS):
             part = plain[a:a + INDEX_WORDS]
             for i, ids in zip(part, self._lattice([words[i] for i in part])):
@@ -174,7 +190,7 @@ class Encoder:
         key, rank = np.zeros(len(code), np.int64), rank.astype(np.int64) + 1
         for j in range(k):
             key <<= bits
-            key[:len(code) - j] |= rank[j:]
+            key[:max(len(code) - j, 0)] |= rank[j:]
         while k < self.codes.shape[1]:
             rank = np.unique(key, return_inverse=True)[1].astype(np.int64) + 1
             key = rank << 32
@@ -265,13 +281,13 @@ def encode(docs: DataFrame, model_path: str, text_col: str = "text", keep_text:
     """`docs` with `ids`, the token ids of every whole text (an array; null and
     empty texts have none). All columns stay, but one named ids is replaced and
     the text goes where it is not to be kept."""
-    vocab = docs.sparkSession.sparkContext.broadcast(load(model_path))
+    encoder = shared(docs.sparkSession, load(model_path), _encoder)
     names = [c for c in docs.columns if c != "ids"]
     kept = [c for c in names if keep_text or c != text_col]
     schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = vocab.value.encoder()
+        enc = encoder()
         for b in batches:
             for s in by_bytes(b, text_col, 4 << 20):
                 ids = enc.encode_batch(s.column(text_col).to_pylist())
@@ -285,12 +301,12 @@ def decode(tokens: DataFrame, model_path: str, ids_col: str = "ids", to: str = "
     """`tokens` with the column `to`, the text of the token ids (null ids
     inside an array are skipped, a null array gives an empty text). All columns
     stay, but one named `to` is replaced."""
-    vocab = tokens.sparkSession.sparkContext.broadcast(load(model_path))
+    encoder = shared(tokens.sparkSession, load(model_path), _encoder)
     names = [c for c in tokens.columns if c != to]
     schema = tokens.select(*names).schema.add(to, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = vocab.value.encoder()
+        enc = encoder()
         for b in batches:
             for s in by_size(b, pc.fill_null(pc.list_value_length(b.column(ids_col)), 0), 1 << 19):
                 lists = s.column(ids_col)

@@ -110,7 +110,7 @@ def test_pieces_equal_the_library(library):
     odd = ["", None, " ", "   a b", "Hello  world\n\tx\n\n", "é́ ﬁ", "日本語🎉", "▁x", "a▁▁b", " " * 40 + "x" + " " * 33,
            "a<s>b<0x0A>", "\x00a\x00", "a" * 60 + " bbbbbbb", "http://www.example.com/index.html?x=1&y=2", "\n"]
     rnd = ["".join(rng.choice(list("abcdeinrst hT.\n1,é"), 200)) for _ in range(300)]
-    enc = pieces.Encoder(pieces.load(PIECES))
+    enc = pieces._encoder(pieces.load(PIECES))
     for texts in (odd, rnd):
         got = [x.tolist() for x in enc.encode_batch(texts)]
         assert got == library.encode([t or "" for t in texts])
@@ -118,6 +118,23 @@ def test_pieces_equal_the_library(library):
     assert enc.decode(library.piece_to_id(["▁a", "<0xFF>", "b"])) == "a�b"
 
 
+def test_pieces_of_short_and_long_texts(library):
+    for first in ("hello", "cat dog", "a", "x y z", "日本"):
+        assert pieces._encoder(pieces.load(PIECES)).encode(first) == library.encode(first)
+    warm = pieces._encoder(pieces.load(PIECES))
+    warm.encode_batch(["some words to begin with, and many more of them"])
+    for t in ("some new words", "tiny", "with b", "q"):
+        assert warm.encode(t) == library.encode(t)
+    for t in (" " * 100_000 + "x", "ab" * 500_000, "y" * 3000 + "日" * 3000, ("-" * 2500 + " ") * 3):
+        assert warm.encode(t) == library.encode(t)
+
+
+def test_pieces_of_one_short_row(spark, library):
+    df = spark.createDataFrame([(1, "hello")], "doc_id long, text string")
+    got = pieces.decode(pieces.encode(df, PIECES).drop("text"), PIECES).first()
+    assert (got.ids, got.text) == (library.encode("hello"), "hello")
+
+
 def test_pieces_of_tables(spark, library):
     for docs in (documents(spark).selectExpr("*", "1 AS ids"),
                  spark.read.parquet("/root/testdata/sf0.001/documents.parquet")):
