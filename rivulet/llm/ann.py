@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import partitions
+from rivulet.llm.common import partitions, shared
 from rivulet.session import written
 
 SLAB = 1 << 14
@@ -103,6 +103,10 @@ def grow_tree(x: np.ndarray, fan: int, leaf_rows: int, depth: int, rounds: int =
     return Tree(np.array(centers), children, leaf)
 
 
+def _tree(parts: tuple) -> Tree:
+    return Tree(*parts)
+
+
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
     """(id, vec) of the rows that take part, and their dimension: vectors that
     are not null, not all zero, hold finite numbers only and have the most
@@ -142,16 +146,17 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     drawn = rows.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30)))
     fit = sorted((r.id, r.vec) for r in drawn.collect())  # about `sample` vectors
     fit = np.array([v for _, v in fit]).reshape(len(fit), dim)
-    tree = spark.sparkContext.broadcast(grow_tree(fit, fan, leaf_rows, depth))
+    grown = grow_tree(fit, fan, leaf_rows, depth)
+    tree = shared(spark, (grown.centers, grown.children, grown.leaf), _tree)
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield b.append_column("leaf", pa.array(tree.value.assign(_matrix(b.column("vec"), dim)), pa.int64()))
+                yield b.append_column("leaf", pa.array(tree().assign(_matrix(b.column("vec"), dim)), pa.int64()))
 
     indexed = written(rows.mapInArrow(leaves, "id long, vec array<double>, leaf long"), "leaves")
     size = {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per leaf
-    first, count, n_slabs = _slabs(size, tree.value.leaves(), max(1, min(SLAB, -(-n // partitions(vectors)))))
+    first, count, n_slabs = _slabs(size, tree().leaves(), max(1, min(SLAB, -(-n // partitions(vectors)))))
     queries = indexed.where(F.pmod("id", F.lit(query_mod)) == 0).select("id", "vec").distinct()
     visits = _calibrated(indexed, queries, tree, dim, k, calibration, recall)
 
@@ -168,7 +173,7 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
             x, slab, row, seen = _matrix(b.column("vec"), dim), [], [], []
             for i in range(len(x)):
                 mine: dict[int, list[int]] = {}
-                for f in tree.value.best_bins(x[i], visits):
+                for f in tree().best_bins(x[i], visits):
                     for s in range(first[f], first[f] + count[f]):
                         mine.setdefault(s, []).append(f)
                 slab += mine
@@ -296,10 +301,10 @@ def _calibrated(indexed: DataFrame, queries: DataFrame, tree, dim: int, k: int,
     near = indexed.mapInArrow(exact, "query long, score double, id long, leaf long")
     true = near.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("score", "id", "leaf"))).alias("all")).select(
         "query", F.transform(F.slice("all", 1, k), lambda h: h["leaf"]).alias("leaves")).collect()
-    leaves = tree.value.leaves()
+    leaves = tree().leaves()
     needed = []
     for r in true:
-        rank = {f: i + 1 for i, f in enumerate(tree.value.best_bins(q[r.query], leaves))}
+        rank = {f: i + 1 for i, f in enumerate(tree().best_bins(q[r.query], leaves))}
         needed += [rank[f] for f in r.leaves]
     if not needed:
         return 1

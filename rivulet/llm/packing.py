@@ -18,9 +18,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import partitions
+from rivulet.llm.common import partitions, shared
 from rivulet.llm.words import Recent, by_bytes, split_words, word_hashes
 
+RANGE_BYTES = 256 << 20  # of text in a range, about, at most
 DIMS, BITS, SALT_BITS, BUCKETS = 3, 14, 20, 256
 CACHE = 100_000
 
@@ -82,9 +83,6 @@ class WordTokenizer:
     def __init__(self, source: str):
         self.source, self.tok = source, None
 
-    def __getstate__(self) -> dict:
-        return {"source": self.source, "tok": None}
-
     def _open(self) -> None:
         """Done once in a Python worker, whose tasks share the object."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -167,8 +165,9 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     sequence_id is the number of the range times 2^32 plus the number inside it;
     offsets are gapless from 0. Rows with null or repeated ids, equal rows and
     ties on the curve are documents of their own; columns besides the two named
-    are ignored; an empty table gives no rows. `sample` bounds the keys that
-    are drawn for the splitters.
+    are ignored; an empty table gives no rows. There are as many ranges as
+    shuffle partitions, or one for RANGE_BYTES where that is more; `sample`, or
+    eight for each range, bounds the keys that are drawn for the splitters.
     """
     spark, n = docs.sparkSession, partitions(docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -176,7 +175,8 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         F.col(id_col).cast("long").alias("id"), text.alias("text"),
         F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << SALT_BITS) - 1)).alias("salt"))
     sizes = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text") + 1)).first()
-    share = min(1.0, sample / max(sizes[0], 1))
+    n = max(n, (sizes[1] or 0) // RANGE_BYTES)  # so that no task grows with the table
+    share = min(1.0, max(sample, 8 * n) / max(sizes[0], 1))
     drawn = rows.where(F.pmod(F.xxhash64("id", "salt"), F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,7 +203,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     ranged = rows.mapInArrow(placed, "id long, text string, key long, part int")
     ranged = ranged.repartitionById(n, F.col("part")).sortWithinPartitions("part", "key", "id")
     with open(tokenizer_path, encoding="utf-8") as f:
-        tokenizer = spark.sparkContext.broadcast(WordTokenizer(f.read()))
+        tokenizer = shared(spark, f.read(), WordTokenizer)
     schema = (f"{id_col} long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
               "offset long" + (", ids array<int>" if with_ids else ""))
     return ranged.select("id", "text", "part").mapInArrow(
@@ -216,7 +216,7 @@ def _keys(b: pa.RecordBatch) -> np.ndarray:
 
 def _packer(tokenizer, id_col: str, end_id: int, length: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = tokenizer.value
+        tok = tokenizer()
         line = _Line(id_col, length, with_ids)
         for b in batches:
             for s in by_bytes(b, "text"):
