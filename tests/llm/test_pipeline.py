@@ -6,20 +6,22 @@ from test_neardup import brute
 from test_text_ops import brute_lines, statistics
 from test_tokens import check_packing
 
+from rivulet.session import written
+
 SF = "/root/testdata/sf0.001"
 
 
 def test_stages_against_brute_force(spark):
-    docs = spark.read.parquet(f"{SF}/documents.parquet").cache()
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = {r.doc_id: r for r in docs.collect()}
 
-    one = pipeline.language_id(spark, docs, SF).cache()
+    one = written(pipeline.language_id(spark, docs, SF), "stage")
     kept = {r.doc_id: r for r in one.collect()}
     assert one.columns == list(pipeline.COLUMNS) and set(kept) <= set(before)
     assert all(any(c.isalpha() for c in r.text) for r in kept.values())
     assert len(kept) >= 0.98 * sum(any(c.isalpha() for c in r.text or "") for r in before.values())
 
-    two = pipeline.quality_rules(spark, one, SF).cache()
+    two = written(pipeline.quality_rules(spark, one, SF), "stage")
     good = {r.doc_id for r in two.collect()}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     for i, r in kept.items():
@@ -29,12 +31,12 @@ def test_stages_against_brute_force(spark):
         elif labels.get(i) == 1:
             assert i in good
 
-    three = pipeline.line_dedup(spark, two, SF).cache()
+    three = written(pipeline.line_dedup(spark, two, SF), "stage")
     rows = [(r.doc_id, r.text) for r in two.collect()]
     want = {i: t for i, t, _, d in brute_lines(rows, 10, "first") if words(t) or not d}
     assert {r.doc_id: r.text for r in three.collect()} == want
 
-    four = pipeline.near_dedup(spark, three, SF).cache()
+    four = written(pipeline.near_dedup(spark, three, SF), "stage")
     comp = brute([(r.doc_id, r.text) for r in three.collect()], 5)
     assert {r.doc_id for r in four.collect()} == {i for i, c in comp.items() if i == c}
 
@@ -58,7 +60,7 @@ def test_run_and_registration(spark):
     assert [len(x) for x in pipeline.STAGES] == [2] * 5
     out = pipeline.run(spark, SF)
     assert out.count() > 0 and "sequence_id" in out.columns
-    assert {f"op{i}" for i in range(1, 11)} == {m[1] for q in entry.queries() if (m := re.match(r"(op\d+)_", q))}
+    assert {f"op{i}" for i in range(1, 14)} == {m[1] for q in entry.queries() if (m := re.match(r"(op\d+)_", q))}
 
 
 def test_awkward_rows_pass_all_stages(spark):
