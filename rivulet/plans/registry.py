@@ -39,7 +39,7 @@ def query(key: str, sql: str | None = None):
 def _load_all() -> None:
     # importing the query modules fills the registry
     from rivulet.plans import (  # noqa: F401
-        q_basic, q_joins, q_aggs, q_windows, q_report, q_misc, q_stream)
+        q_basic, q_joins, q_aggs, q_windows, q_report, q_misc, q_stream, q_tables)
 
 
 def queries() -> dict[str, QueryFn]:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rivulet.session import ensure_utc, scratch_path
+from rivulet.sinks.keyed_table import KeyedTable, upsert_each_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -52,14 +53,17 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, schema: StructType
 ROWS_PER_BATCH = "rivulet.stream.rowsPerBatch"
 
 
-def run_in_time_order(rows: DataFrame, ts_col: str, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+def run_in_time_order(rows: DataFrame, ts_col: str, build: Callable[[DataFrame], DataFrame], name: str,
+                      min_batches: int = 1) -> DataFrame:
     """Run the append-mode query `build` over a table whose rows arrive in
-    event-time order, about ROWS_PER_BATCH (by default a million) in a
-    micro-batch, so that this bounds what one key has in a batch. Rows of the
-    same millisecond stay in one batch: none is behind the watermark."""
+    event-time order, about ROWS_PER_BATCH (by default 125 000 for each core) in
+    a micro-batch, so that this bounds what one key has in a batch, and
+    `min_batches` at least. Rows of the same millisecond stay in one batch: none
+    is behind the watermark."""
     spark = rows.sparkSession
-    size = int(spark.conf.get(ROWS_PER_BATCH, "1000000"))
-    n, tasks = -(-rows.count() // size), spark.sparkContext.defaultParallelism
+    tasks = spark.sparkContext.defaultParallelism
+    size = int(spark.conf.get(ROWS_PER_BATCH, str(125_000 * tasks)))
+    n = max(min_batches, -(-rows.count() // size))
     time = F.date_trunc("millisecond", F.col(ts_col).cast("timestamp"))
     ranges = rows.repartitionByRange(max(n, 1) * tasks, time.asc_nulls_last())
     return run_slices(ranges.withColumn(SLICE, F.floor(F.spark_partition_id() / tasks).cast("int")), max(n, 1), build, name)
@@ -119,25 +123,15 @@ def run_append(stream: DataFrame, name: str, checkpoint: str | None = None,
 def run_update(stream: DataFrame, name: str, keys: Sequence[str], checkpoint: str | None = None,
                path: str | None = None) -> DataFrame:
     """Run an update-mode aggregation: every micro-batch's changed rows are
-    written to `path/batch=<id>` (overwrite → idempotent on replay); the
-    current result is the latest version per key."""
+    upserted by `keys` into the keyed table at `path`, once for each batch
+    id; returns the table's rows."""
     spark = stream.sparkSession
     path = path or scratch_path(spark, f"{name}-out")
     checkpoint = checkpoint or scratch_path(spark, f"{name}-ckpt")
-
-    def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    q = (stream.writeStream.outputMode("update").foreachBatch(write_batch)
+    table = KeyedTable(spark, path, keys)
+    q = (stream.writeStream.outputMode("update").foreachBatch(upsert_each_batch(table, name))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return latest_version(spark.read.parquet(path), keys, "batch", stream.columns)
-
-
-def latest_version(changes: DataFrame, keys: Sequence[str], version: str,
-                   columns: Sequence[str]) -> DataFrame:
-    vals = [c for c in columns if c not in keys]
-    g = changes.groupBy(*keys).agg(F.max_by(F.struct(*vals), F.col(version)).alias("_r"))
-    return g.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in vals])
+    return table.read() if table.manifest() else spark.createDataFrame([], stream.schema)
