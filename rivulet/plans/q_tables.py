@@ -117,11 +117,11 @@ def stream_log_timestamp(t):
 @query("stream_log_group", sql="""
 SELECT CAST(user_id % 3 AS INTEGER) AS partition, event_id AS "offset", ts FROM events""")
 def stream_log_group(t):
-    """A9/A11 as a stream: a group reads two partitions in bounded micro-batches
-    and commits; a new query of the group, without a checkpoint, goes on from its
-    commits and finds a third partition and more rows of the second."""
+    """A9/A11 as a stream: a group reads two partitions and commits; a new
+    query of the group, with a checkpoint of its own, goes on from its commits
+    and finds a third partition and more rows of the second."""
     from rivulet.sources.log import events_as_log
-    from rivulet.sources.log_stream import append_segments, log_stream
+    from rivulet.sources.log_stream import append_segments, commit_group, log_stream
 
     S.prepare(t.spark)
     path, groups, out = (scratch_path(t.spark, f"group-{x}") for x in ("log", "offsets", "out"))
@@ -131,9 +131,10 @@ def stream_log_group(t):
     for i, rows in enumerate((log.where(early), log.where(~early))):
         append_segments(rows, path, 4000)
         st = log_stream(t.spark, path, log.schema, group="reports", group_path=groups, reset="earliest", max_offsets=10_000_000)
-        # a last batch without rows lets the group commit the one before it
-        S.run_append(st.select("partition", "offset", "ts"), f"group-{i}", path=f"{out}/{i}", available_now=False,
-                     processing_time="0 seconds")
+        ck = scratch_path(t.spark, f"group-{i}-ck")
+        S.run_append(st.select("partition", "offset", "ts"), f"group-{i}", checkpoint=ck, path=f"{out}/{i}",
+                     available_now=False, processing_time="0 seconds")
+        commit_group(t.spark, ck, groups, "reports")
     return t.spark.read.parquet(f"{out}/0", f"{out}/1")
 
 

@@ -74,16 +74,12 @@ class _Reader(DataSourceStreamReader):
             out[str(part)] = max(out.get(str(part), 0), last + 1)
         return out
 
-    def _group_file(self):
-        fs, base = storage.in_task(self.options["groupPath"])
-        return fs, f"{base.rstrip('/')}/{self.options['group']}.json"
-
     def _committed(self) -> dict:
         from pyarrow import fs as A
 
         if "group" not in self.options:
             return {}
-        fs, file = self._group_file()
+        fs, file = _group_file(self.options["groupPath"], self.options["group"])
         if fs.get_file_info(file).type == A.FileType.NotFound:
             return {}
         with fs.open_input_stream(file) as f:
@@ -166,15 +162,36 @@ class _Reader(DataSourceStreamReader):
                     yield pa.RecordBatch.from_arrays(cols, names)
 
     def commit(self, end: dict) -> None:
-        """Write the group's offsets; whole, in place of the earlier ones."""
-        if "group" not in self.options:
-            return
-        fs, file = self._group_file()
-        fs.create_dir(file.rsplit("/", 1)[0], recursive=True)
-        tmp = f"{file}.{uuid.uuid4().hex}"
-        with fs.open_output_stream(tmp) as out:
-            out.write(json.dumps(end).encode())
-        fs.move(tmp, file)
+        """Spark calls this for a batch when it begins the next one."""
+        if "group" in self.options:
+            _put_offsets(self.options["groupPath"], self.options["group"], end)
+
+
+def _group_file(group_path: str, group: str):
+    fs, base = storage.in_task(group_path)
+    return fs, f"{base.rstrip('/')}/{group}.json"
+
+
+def _put_offsets(group_path: str, group: str, offsets: dict) -> None:
+    """Write a group's offsets: whole, in place of the earlier ones."""
+    fs, file = _group_file(group_path, group)
+    fs.create_dir(file.rsplit("/", 1)[0], recursive=True)
+    tmp = f"{file}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(tmp) as out:
+        out.write(json.dumps(offsets).encode())
+    fs.move(tmp, file)
+
+
+def commit_group(spark: SparkSession, checkpoint: str, group_path: str, group: str) -> dict | None:
+    """Commit for a group what the query with this checkpoint has finished,
+    its last batch included; to be called when the query has stopped, so that
+    another one may go on without its checkpoint. None before the first batch."""
+    done = [int(n) for n in storage.names(spark, f"{checkpoint}/commits") if n.isdigit()]
+    if not done:
+        return None
+    offsets = json.loads(storage.read_text(spark, f"{checkpoint}/offsets/{max(done)}").splitlines()[-1])
+    _put_offsets(group_path, group, offsets)
+    return offsets
 
 
 class LogSource(DataSource):

@@ -20,15 +20,19 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def read_json(spark: SparkSession, path: str):
+def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _at(spark, path)
     stream = fs.open(p)
     try:
-        return json.loads(bytes(stream.readAllBytes()).decode())
+        return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
 
 
+def read_json(spark: SparkSession, path: str):
+    return json.loads(read_text(spark, path))
+
+
 def put_json(spark: SparkSession, path: str, value) -> bool:
     """Write `value` under a name that is not taken yet: the whole file
     appears at once. False (and nothing changes) if the name is taken."""
