@@ -168,26 +168,22 @@ def op4_indexed_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_perspective_rotation", sql="""
 WITH t AS (SELECT conv_id, turn, nullif(trim(role), '') AS role, coalesce(text, '') AS text FROM conversations),
-n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text) - 1 AS number FROM t),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, sha256(text)) - 1 AS number FROM t),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
-r AS (SELECT n.conv_id, speaker, number // 64 AS segment, number, role = speaker AS own,
-  '<|im_start|>' || CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
-    ELSE 'user (' || coalesce(role, 'unknown') || ')' END || chr(10) AS head, text || '<|im_end|>' AS body
+r AS (SELECT n.conv_id, speaker, number, text, role = speaker AS own,
+  CASE WHEN role = speaker THEN 'assistant' WHEN role = 'system' THEN 'system'
+    ELSE 'user (' || coalesce(role, 'unknown') || ')' END AS label
   FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id),
-p AS (SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, speaker, segment ORDER BY number)
-  - length(body) - 1 AS start FROM r)
-SELECT conv_id, speaker, CAST(segment AS BIGINT) AS segment, count(*) AS n_turns,
-  string_agg(head || body || chr(10), '' ORDER BY number) AS rendered,
-  coalesce(string_agg(CASE WHEN own THEN CAST(start AS BIGINT) || ':' || CAST(start + length(body) AS BIGINT) END, ' '
-    ORDER BY number), '') AS mask
-FROM p GROUP BY conv_id, speaker, segment""")
+p AS (SELECT *, '<|im_start|>' || label || chr(10) || text || '<|im_end|>' || chr(10) AS rendered FROM r),
+w AS (SELECT *, sum(length(rendered)) OVER (PARTITION BY conv_id, speaker ORDER BY number) AS finish FROM p)
+SELECT conv_id, speaker, number, label, rendered,
+  CASE WHEN own THEN CAST(finish - length(text) - 11 AS BIGINT) END AS mask_start,
+  CASE WHEN own THEN CAST(finish - 1 AS BIGINT) END AS mask_end FROM w""")
 def op5_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations rendered from every participant's perspective."""
     from rivulet.llm.chat import perspectives
 
-    out = perspectives(read(spark, sf_dir, "conversations"))
-    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
-    return out.withColumn("mask", F.array_join(spans, " "))
+    return perspectives(read(spark, sf_dir, "conversations"))
 
 
 @query("op13_block_whitening")
