@@ -88,6 +88,25 @@ def _over(s: Running, value: Column, w) -> Column:
     return F.max(value).over(w) if s.how == "max" else F.last(value, ignorenulls=True).over(w)
 
 
+def _spanning(keys: Sequence[str]) -> Column:
+    """Whether the lower or the upper bound of the row's range falls into its key."""
+    spans = F.lit(False) if keys else F.lit(True)
+    for bound in (F.try_element_at(_BOUNDS, F.nullif(F.col(_PART), F.lit(0))), F.try_element_at(_BOUNDS, F.col(_PART) + 1)):
+        same = bound.isNotNull() if keys else F.lit(True)
+        for k in keys:
+            same = same & bound.getField(k).eqNullSafe(F.col(k))
+        spans = spans | same
+    return spans
+
+
+def _with_carry(d: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+    on = F.col(_PART) == F.col("_carry_part")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_carry_key_{k}"))
+    # at most two rows per range
+    return d.join(F.broadcast(carry), on, "left")
+
+
 def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                specs: Sequence[Running], ranges: int | None = None) -> DataFrame:
     """Add running aggregates per `keys` in `order`. The order columns must
@@ -97,22 +116,11 @@ def keyed_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     keys, order, specs = list(keys), list(order), list(specs)
     d = with_ranges(df, keys + order, ranges)
 
-    # the keys that the lower or the upper bound of a range falls into
-    spans = F.lit(False) if keys else F.lit(True)
-    for bound in (F.try_element_at(_BOUNDS, F.nullif(F.col(_PART), F.lit(0))), F.try_element_at(_BOUNDS, F.col(_PART) + 1)):
-        same = bound.isNotNull() if keys else F.lit(True)
-        for k in keys:
-            same = same & bound.getField(k).eqNullSafe(F.col(k))
-        spans = spans | same
-    totals = d.where(spans).groupBy(_PART, *keys).agg(*[_total(s, order).alias(f"_total_{s.out}") for s in specs])
+    totals = d.where(_spanning(keys)).groupBy(_PART, *keys).agg(*[_total(s, order).alias(f"_total_{s.out}") for s in specs])
     before = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(F.col(_PART).alias("_carry_part"), *[F.col(k).alias(f"_carry_key_{k}") for k in keys],
                           *[_over(s, F.col(f"_total_{s.out}"), before).alias(f"_carry_{s.out}") for s in specs])
-    on = F.col(_PART) == F.col("_carry_part")
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_carry_key_{k}"))
-    # at most two rows per range
-    j = d.drop(_BOUNDS).join(F.broadcast(carry), on, "left")
+    j = _with_carry(d.drop(_BOUNDS), carry, keys)
 
     out = []
     for s in specs:
@@ -137,11 +145,24 @@ def global_seq(df: DataFrame, order: Sequence[str], out: str = "seq", ranges: in
 def session_scan(df: DataFrame, keys: Sequence[str], ts_us: str, tie: str, gap_us: int,
                  out: str = "session_start_us", ranges: int | None = None) -> DataFrame:
     """Start (epoch µs) of each row's session per key: a session breaks
-    when the previous row of the key is more than `gap_us` earlier. The
-    latest time before a row tells whether it opens a session; the latest
-    opening so far is its session's start."""
-    order = [ts_us, tie]
-    d = keyed_scan(df, keys, order, [Running(ts_us, "max", "_before", inclusive=False)], ranges)
-    opens = F.col("_before").isNull() | (F.col(ts_us) - F.col("_before") > gap_us)
-    d = d.withColumn("_opens", F.when(opens, F.col(ts_us)))
-    return keyed_scan(d, keys, order, [Running("_opens", "max", out)], ranges).drop("_before", "_opens")
+    when the previous row of the key is more than `gap_us` earlier. One scan:
+    a range's carry holds the last time and the last opening of the key
+    before it; whether the first row of a range opens a session follows from
+    the last time, so openings are known per range before they are carried."""
+    keys, order = list(keys), [ts_us, tie]
+    d = with_ranges(df, keys + order, ranges)
+    w = Window.partitionBy(_PART, *keys).orderBy(*order)
+    ts, before = F.col(ts_us), Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_prev", F.max(ts_us).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    totals = d.where(_spanning(keys)).groupBy(_PART, *keys).agg(
+        F.min(ts_us).alias("_first"), F.max(ts_us).alias("_last"), F.max(F.when(ts - F.col("_prev") > gap_us, ts)).alias("_inner"))
+    totals = totals.withColumn("_until", F.max("_last").over(before))
+    first_opens = F.col("_until").isNull() | (F.col("_first") - F.col("_until") > gap_us)
+    totals = totals.withColumn("_opened", F.coalesce("_inner", F.when(first_opens, F.col("_first"))))
+    carry = totals.select(F.col(_PART).alias("_carry_part"), *[F.col(k).alias(f"_carry_key_{k}") for k in keys],
+                          F.col("_until"), F.max("_opened").over(before).alias("_opened"))
+    j = _with_carry(d.drop(_BOUNDS), carry, keys)
+    prev = F.coalesce("_prev", "_until")
+    j = j.withColumn("_opens", F.when(prev.isNull() | (ts - prev > gap_us), ts))
+    local = F.max("_opens").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return j.select(*df.columns, F.greatest(local, F.col("_opened")).alias(out))

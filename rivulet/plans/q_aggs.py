@@ -152,7 +152,10 @@ SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS rank FROM w
 def sort_global(t):
     """Global sort of word counts (descending, ties by word) with the
     rank as a column — a range-partitioned scan, not one task."""
-    wc = _word_counts(t).withColumn("_neg", -F.col("count"))
+    from rivulet.session import written
+
+    # written: the scan reads its input several times
+    wc = written(_word_counts(t).withColumn("_neg", -F.col("count")), "word-counts")
     return global_seq(wc, ["_neg", "word"], "rank").select("word", "count", "rank")
 
 

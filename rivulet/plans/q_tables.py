@@ -168,3 +168,82 @@ def stream_retract(t):
     e = t.events.select("event_type", "user_id", "ts")
     changes = S.run_in_time_order(e, "ts", lambda st: retract_stream(st, ["event_type"], "user_id"), "retract", min_batches=4)
     return replayed(changes, ["event_type"])
+
+
+@query("stream_state_import", sql=O["stream_keyed_counter"])
+def stream_state_import(t):
+    """M1: a counter is stopped after the first half of the events, its state
+    is exported, and a new query with another number of partitions goes on from it."""
+    from rivulet.streaming.stateful import exported_counts, keyed_counter
+
+    S.prepare(t.spark)
+    e = t.events.select("event_id", "user_id", "ts")
+    middle = e.agg(F.expr("percentile_approx(unix_micros(CAST(ts AS timestamp)), 0.5)")).scalar()
+    late = F.unix_micros(F.col("ts").cast("timestamp")) > middle
+    ck = scratch_path(t.spark, "state-ck")
+
+    def counted(name, rows, checkpoint, initial=None):
+        source = scratch_path(t.spark, f"{name}-in")
+        rows.write.parquet(source)
+        st = t.spark.readStream.schema(e.schema).parquet(source)
+        return S.run_append(keyed_counter(st, "user_id", "event_id", "ts", initial), name, checkpoint=checkpoint)
+
+    first = counted("state-first", e.where(~late), ck)
+    state = exported_counts(t.spark, ck, "user_id")
+    key, n = "spark.sql.shuffle.partitions", t.spark.conf.get("spark.sql.shuffle.partitions")
+    t.spark.conf.set(key, str(int(n) // 2 + 1))
+    try:
+        second = counted("state-second", e.where(late), scratch_path(t.spark, "state-ck"), state)
+    finally:
+        t.spark.conf.set(key, n)
+    return first.unionByName(second)
+
+
+@query("stream_side_outputs", sql="""
+SELECT CASE WHEN event_type = 'purchase' THEN 'purchases' WHEN value > 90 THEN 'large' ELSE 'main' END AS output,
+       event_id, event_type FROM events""")
+def stream_side_outputs(t):
+    """B16/B17 on a stream: main and side outputs of each micro-batch are written
+    in one pass and published together; read back output by output."""
+    from rivulet.streaming.multi_sink import read_tagged, tag_by, write_tagged
+
+    S.prepare(t.spark)
+    source, out, ck = (scratch_path(t.spark, f"outputs-{x}") for x in ("in", "out", "ck"))
+    e = t.events.select("event_id", "event_type", "value")
+    tag = tag_by({"purchases": F.col("event_type") == "purchase", "large": F.col("value") > 90})
+    for i in range(2):
+        e.where(F.pmod("event_id", F.lit(2)) == i).write.mode("append").parquet(source)
+        st = t.spark.readStream.schema(e.schema).parquet(source)
+        st.writeStream.foreachBatch(write_tagged(out, tag)).option("checkpointLocation", ck).trigger(
+            availableNow=True).start().awaitTermination()
+    parts = [read_tagged(t.spark, out, e.schema, x).select(F.lit(x).alias("output"), "event_id", "event_type")
+             for x in ("main", "purchases", "large")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("ip_nested_ranges", sql="""
+WITH f AS (SELECT o_orderkey, (o_orderkey * 2654435761) % 4294967296 AS ip FROM orders),
+r AS (SELECT 'region ' || r_regionkey AS name, CAST(r_regionkey AS BIGINT) * 800000000 AS seg_start,
+        CAST(r_regionkey AS BIGINT) * 800000000 + 900000000 AS seg_end FROM region
+      UNION ALL SELECT 'nation ' || n_nationkey, CAST(n_nationkey AS BIGINT) * 170000000 + 12345,
+        CAST(n_nationkey AS BIGINT) * 170000000 + 12345 + 98765432 FROM nation
+      UNION ALL SELECT 'supplier ' || s_suppkey, (CAST(s_suppkey AS BIGINT) * 40503121) % 4294000000,
+        (CAST(s_suppkey AS BIGINT) * 40503121) % 4294000000 + 77777 * (s_suppkey % 12) FROM supplier),
+m AS (SELECT o_orderkey, name, row_number() OVER (PARTITION BY o_orderkey ORDER BY seg_end - seg_start, seg_start DESC, name DESC) AS k
+      FROM f JOIN r ON ip BETWEEN seg_start AND seg_end)
+SELECT f.o_orderkey, name FROM f LEFT JOIN m ON f.o_orderkey = m.o_orderkey AND k = 1""")
+def ip_nested_ranges(t):
+    """C11 with ranges that overlap and nest: the narrowest one that holds the
+    address of an order, by an equi-join on prefixes."""
+    from rivulet.operators.prefix_ranges import narrowest_range_join
+
+    def named(df, kind, key, start, width):
+        k = F.col(key).cast("bigint")
+        return df.select(F.concat(F.lit(kind + " "), F.col(key).cast("string")).alias("name"), start(k).alias("seg_start"),
+                         (start(k) + width(k)).alias("seg_end"))
+
+    r = named(t.region, "region", "r_regionkey", lambda k: k * 800000000, lambda k: F.lit(900000000)).unionByName(
+        named(t.nation, "nation", "n_nationkey", lambda k: k * 170000000 + 12345, lambda k: F.lit(98765432))).unionByName(
+        named(t.supplier, "supplier", "s_suppkey", lambda k: k * 40503121 % 4294000000, lambda k: k % 12 * 77777))
+    f = t.orders.select("o_orderkey", ((F.col("o_orderkey") * 2654435761) % 4294967296).alias("ip"))
+    return narrowest_range_join(f, r, "ip", "o_orderkey").select("o_orderkey", "name")

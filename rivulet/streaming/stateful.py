@@ -6,7 +6,7 @@ event-time timer fires)."""
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,6 +32,9 @@ class KeyedCounter(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "n LONG")
 
+    def handleInitialState(self, key, initialState, timerValues):
+        self.count.update((int(initialState["n"].sum()),))
+
     def handleInputRows(self, key, rows, timerValues):
         import numpy as np
 
@@ -45,11 +48,22 @@ class KeyedCounter(StatefulProcessor):
         pass
 
 
-def keyed_counter(stream: DataFrame, key_col: str, id_col: str, ts_col: str) -> DataFrame:
+def keyed_counter(stream: DataFrame, key_col: str, id_col: str, ts_col: str, initial: DataFrame | None = None) -> DataFrame:
+    """The running number of every row among its key's. `initial` holds the
+    counts (key, n) that a new query begins with, as `exported_counts` gives them."""
     types = dict(stream.dtypes)
     schema = f"{id_col} {types[id_col]}, {key_col} {types[key_col]}, running bigint"
     return stream.groupBy(key_col).transformWithStateInPandas(
-        KeyedCounter(key_col, id_col, ts_col), schema, "Append", "None")
+        KeyedCounter(key_col, id_col, ts_col), schema, "Append", "None",
+        initialState=initial.select(key_col, "n").groupBy(key_col) if initial is not None else None)
+
+
+def exported_counts(spark: SparkSession, checkpoint: str, key_col: str) -> DataFrame:
+    """The counts (key, n) in the state of a stopped `keyed_counter` query, read
+    from its checkpoint. They do not depend on the number of partitions that
+    the query had, so that one with another number may begin with them."""
+    state = spark.read.format("statestore").option("stateVarName", "count").load(checkpoint)
+    return state.select(F.col("key").getField(key_col).alias(key_col), F.col("value.n").alias("n"))
 
 
 class KeyedRunningMax(StatefulProcessor):
