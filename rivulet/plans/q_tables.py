@@ -247,3 +247,16 @@ def ip_nested_ranges(t):
         named(t.supplier, "supplier", "s_suppkey", lambda k: k * 40503121 % 4294000000, lambda k: k % 12 * 77777))
     f = t.orders.select("o_orderkey", ((F.col("o_orderkey") * 2654435761) % 4294967296).alias("ip"))
     return narrowest_range_join(f, r, "ip", "o_orderkey").select("o_orderkey", "name")
+
+
+@query("lookup_indexed", sql="""
+SELECT event_id, user_id, c_name, CASE WHEN c_custkey IS NULL THEN 'miss' ELSE 'hit' END AS lookup_status
+FROM events LEFT JOIN customer ON user_id = c_custkey""")
+def lookup_indexed(t):
+    """Each event looks its customer up in a key-ordered index file, in
+    batches that read only the blocks they need."""
+    from rivulet.operators.point_lookup import indexed_lookup, write_index
+
+    path = scratch_path(t.spark, "customer-index")
+    write_index(t.customer.select("c_custkey", "c_name"), "c_custkey", path, block_bytes=4096)
+    return indexed_lookup(t.events.select("event_id", "user_id"), path, "user_id", ["c_name"])
