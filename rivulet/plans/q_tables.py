@@ -260,3 +260,39 @@ def lookup_indexed(t):
     path = scratch_path(t.spark, "customer-index")
     write_index(t.customer.select("c_custkey", "c_name"), "c_custkey", path, block_bytes=4096)
     return indexed_lookup(t.events.select("event_id", "user_id"), path, "user_id", ["c_name"])
+
+
+def _beaten(key, win, left, right):
+    """How many left rows there are, how many right ones, and how many left
+    rows have a value below the best right one."""
+    import pandas as pd
+
+    best = max((c["value"].max() for c in right()), default=float("nan"))
+    n, below = 0, 0
+    for c in left():
+        n, below = n + len(c), below + int((c["value"] < best).sum())
+    yield pd.DataFrame({"part": [key], "win": [win], "n_left": [n], "n_right": [sum(len(c) for c in right())], "n_below": [below]})
+
+
+@query("stream_cogroup_logic", sql="""
+WITH e AS (SELECT user_id % 5 AS part, epoch_ms(ts) - epoch_ms(ts) % 21600000 AS win, event_type = 'view' AS l, value, ts
+           FROM events WHERE event_type IN ('view', 'purchase')),
+b AS (SELECT *, max(CASE WHEN NOT l THEN value END) OVER (PARTITION BY part, win) AS best FROM e)
+SELECT part, win, CAST(count(*) FILTER (WHERE l) AS BIGINT) AS n_left, CAST(count(*) FILTER (WHERE NOT l) AS BIGINT) AS n_right,
+  CAST(count(*) FILTER (WHERE l AND value < best) AS BIGINT) AS n_below FROM b GROUP BY part, win
+HAVING win + 21600000 <= (SELECT epoch_ms(max(ts)) FROM e)""")
+def stream_cogroup_logic(t):
+    """C10 on a stream with logic of its own: views and purchases of a part of
+    the users in 6-hour windows; a window without views or purchases counts too."""
+    from rivulet.streaming.cogroup import window_cogroup
+
+    S.prepare(t.spark)
+    e = t.events.where(F.col("event_type").isin("view", "purchase")).select(
+        F.pmod("user_id", F.lit(5)).alias("part"), "ts", "value", (F.col("event_type") == "view").alias("is_left"))
+
+    def build(st):
+        st = S.event_time(st).withWatermark("ts", "0 seconds")
+        return window_cogroup(st, "part", "ts", "is_left", ["value"], ["value"], 6 * 3600, _beaten,
+                              "part bigint, win bigint, n_left bigint, n_right bigint, n_below bigint")
+
+    return S.run_in_time_order(e, "ts", build, "cogroup-logic", min_batches=3)

@@ -51,3 +51,69 @@ def test_changelog_takes_back_what_it_gave(spark):
         total[k] += v or 0
     got = {r.k: (r.n, r.total, r.open_rows, r.loose_retracts) for r in replayed(out, ["k"]).collect()}
     assert got == {k: (n[k], total[k], 1, 0) for k in n}
+
+
+def test_cogroup_of_a_hot_window_in_chunks(spark):
+    from rivulet.streaming.cogroup import window_cogroup
+
+    def matches(key, win, left, right):
+        """Left outer join of the chunks: every left row with the number of right rows of its kind."""
+        import pandas as pd
+
+        kinds = Counter()
+        for c in right():
+            assert len(c) <= 7
+            kinds.update(c["kind"].tolist())
+        for c in left():
+            assert len(c) <= 7
+            yield pd.DataFrame({"key": key, "win": win, "id": c["id"], "n": [kinds[k] for k in c["kind"]]})
+
+    S.prepare(spark)
+    rng, data = random.Random(9), []
+    for i in range(400):
+        key = rng.choice(["hot", "hot", "a", None])
+        data.append((i, key, rng.choice([5, 5, 15, 25]) + rng.random() * 4, rng.random() < 0.6, rng.choice(["x", None, "é"])))
+    data.append((999, "a", 100.0, True, "x"))  # moves the watermark past all windows but its own
+    df = spark.createDataFrame(data, "id long, k string, s double, is_left boolean, kind string")
+    df = df.withColumn("ts", F.timestamp_millis((F.col("s") * 1000).cast("long")))
+
+    def build(st):
+        return window_cogroup(st.withWatermark("ts", "0 seconds"), "k", "ts", "is_left", ["id", "kind"], ["kind"], 10, matches,
+                              "key string, win bigint, id bigint, n bigint", salts=3, chunk=7)
+
+    got = {r.id: (r.key, r.win, r.n) for r in S.run_in_time_order(df, "ts", build, "cogroup", min_batches=3).collect()}
+    want = {}
+    for i, k, s, is_left, kind in data:
+        if is_left and i != 999:
+            win = int(s // 10)
+            want[i] = (k, win * 10_000, sum(1 for _, k2, s2, l2, kind2 in data if not l2 and k2 == k and s2 // 10 == win and kind2 == kind))
+    assert got == want
+
+
+def test_counts_go_on_in_another_query(spark, tmp_dir):
+    from rivulet.streaming.stateful import exported_counts, keyed_counter
+
+    S.prepare(spark)
+    spark.createDataFrame([(i, f"k{i % 3}", i) for i in range(30)], "id long, k string, at long").write.parquet(f"{tmp_dir}/a")
+    st = spark.readStream.schema("id long, k string, at long").parquet(f"{tmp_dir}/a")
+    S.run_append(keyed_counter(st, "k", "id", "at"), "counts", checkpoint=f"{tmp_dir}/ck")
+    state = exported_counts(spark, f"{tmp_dir}/ck", "k")
+    assert {(r.k, r.n) for r in state.collect()} == {("k0", 10), ("k1", 10), ("k2", 10)}
+    spark.createDataFrame([(100, "k1", 1), (101, "new", 2), (102, "k1", 3)], "id long, k string, at long").write.parquet(f"{tmp_dir}/b")
+    st = spark.readStream.schema("id long, k string, at long").parquet(f"{tmp_dir}/b")
+    out = S.run_append(keyed_counter(st, "k", "id", "at", state), "counts-2")
+    assert {(r.id, r.running) for r in out.collect()} == {(100, 11), (101, 1), (102, 12)}
+
+
+def test_side_outputs_of_a_replayed_batch(spark, tmp_dir):
+    from rivulet.streaming.multi_sink import read_tagged, tag_by, write_tagged
+
+    write = write_tagged(f"{tmp_dir}/out", tag_by({"big": F.col("id") > 5, "odd": F.col("id") % 2 == 1}))
+    for batch, rows in ((0, spark.range(8)), (1, spark.range(3)), (0, spark.range(100)), (1, spark.range(50))):
+        write(rows, batch)
+    schema = spark.range(1).schema
+
+    def got(tag):
+        return sorted(r.id for r in read_tagged(spark, f"{tmp_dir}/out", schema, tag).collect())
+
+    assert (got("big"), got("odd"), got("main"), got("none")) == ([6, 7], [1, 1, 3, 5], [0, 0, 2, 2, 4], [])
