@@ -72,8 +72,8 @@ def whiten(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding
     projected = written(projected.select("index", vector_to_array("vector").alias("w")), "projected")
 
     deviation = F.aggregate(
-        F.zip_with("x", F.array([F.lit(s) for s in sums]), lambda v, s: (F.lit(n).cast("decimal(19,0)") * v - s).cast("decimal(19,0)")),
-        F.lit(0).cast("decimal(38,0)"), lambda t, v: (t + v * v).cast("decimal(38,0)"))
+        F.zip_with("x", F.array([F.lit(s) for s in sums]), lambda v, s: F.lit(n).cast("decimal(19,0)") * v - s),
+        F.lit(0).cast("decimal(38,0)"), lambda t, v: F.try_add(t, F.try_multiply(v, v)).cast("decimal(38,0)"))
     done = fit.join(_indexed(fit.select("at", "x")).select("at", "index"), "at").join(projected, "index").select(
         "x", "n_rows", deviation.try_cast("bigint").alias("deviation"), "w")
     out = lookup(rows.select("id", "x"), done, ["x"], ["deviation", "w"], total)

@@ -61,6 +61,16 @@ def test_whitening_with_awkward_vectors(spark, monkeypatch):
     same([tuple(r)[:6] for r in got], [r for r in brute([r for r in rows if r[0] in (1, 2, 3, 400, 401)]) if r[1] <= 3])
 
 
+def test_deviations_beyond_a_long_are_null(spark):
+    df = spark.range(40_000).selectExpr("id AS vec_id", "array(IF(id = 7, 2e12D, CAST(id AS DOUBLE))) AS embedding")
+    got = {r.vec_id: r.deviation for r in whiten(df).where("vec_id IN (7, 8)").collect()}
+    assert got == {7: None, 8: None}
+    few = spark.createDataFrame([(0, [0.0]), (1, [1e9]), (2, [2.0])], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.deviation for r in whiten(few).collect()}
+    x = [0, 256 * 10 ** 9, 512]
+    assert got == {i: v if (v := (3 * x[i] - sum(x)) ** 2) < 2 ** 63 else None for i in range(3)}
+
+
 def test_the_query_equals_numpy(spark):
     d = "/root/testdata/sf0.01"
     rows = [(r.vec_id, [float(c) for c in r.embedding]) for r in
