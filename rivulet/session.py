@@ -76,12 +76,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write `df` once to a scratch table and return the table: its rows are
     frozen and lost executors cannot change them."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
