@@ -30,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     labels = quality.labelled(read(spark, sf_dir, "labels"))
     failed = quality.base_failed()
     # written, so that each text's statistics are computed once: not for the sample and for every use in the filter
-    stats = written(quality.text_statistics(docs.withColumn("__text", F.col("text")), "__text"), "statistics")
+    stats = written(quality.text_statistics(docs.withColumn("__text", F.col("text")), "__text"), "statistics", compression="zstd")
     # the labelled sample is bounded by its parameter, so it is broadcast
     known = stats.drop(*COLUMNS[1:]).where(~failed).join(F.broadcast(labels), "doc_id")
     rules = quality.learn_rules(written(known, "labelled"))
