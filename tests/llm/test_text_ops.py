@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from tables import documents, empty, words
 
-from rivulet.llm import langid, quality
+from rivulet.llm import langid, linededup, quality
 from rivulet.llm.linededup import drop_repeated_lines
 from rivulet.llm.sharding import shard
 from pyspark.sql import functions as F
@@ -46,6 +46,32 @@ def test_line_dedup_matches_brute_force(spark, keep, bits):
     assert got == sorted(brute_lines(rows, 3, keep))
 
 
+@pytest.mark.parametrize("bits", [None, 1 << 14, 1 << 6])
+def test_line_dedup_with_filters_too_large_to_broadcast(spark, bits, monkeypatch):
+    monkeypatch.setattr(linededup, "SEGMENT", 1 << 8)
+    monkeypatch.setattr(linededup, "SAMPLE", 40)
+    docs = documents(spark).where("doc_id IS NOT NULL").select("doc_id", "text").union(
+        spark.range(300).selectExpr("id + 1000", "concat('Hot line\\nown ', id, '\\nby ten ', id div 10)")).repartition(5)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    for keep in ("none", "first"):
+        got = drop_repeated_lines(docs, min_docs=3, keep=keep, bits=bits, broadcast_bits=0).collect()
+        assert sorted((r.doc_id, r.text or "", r.n_lines, r.n_dropped) for r in got) == sorted(brute_lines(rows, 3, keep))
+    assert drop_repeated_lines(empty(spark, docs), broadcast_bits=0).collect() == []
+
+
+def test_filters_grow_with_the_lines(spark):
+    """Of 40 000 lines the repeated ones are all suspects, and few others."""
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "concat('a', id, '\\nb', id div 4) AS text")
+    rows = docs.selectExpr("unhex(md5(text)) AS own", "doc_id AS id", "text")
+    digests = rows.mapInArrow(linededup._digests(1), "id long, own binary, line binary").cache()
+    try:
+        for limit in (1 << 26, 0):
+            n = linededup._suspects(digests, "id long, own binary, line binary", None, limit).count()
+            assert 20_000 <= n < 20_000 + 400
+    finally:
+        digests.unpersist()
+
+
 def test_line_dedup_null_ids_empty_table_and_min_chars(spark):
     docs = documents(spark)
     assert drop_repeated_lines(docs).count() == docs.count()
