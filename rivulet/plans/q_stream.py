@@ -121,6 +121,25 @@ def stream_order_timeout(t):
     return S.run_in_time_order(ev, "ts", build, "stream-order-timeout")
 
 
+@query("stream_order_timeout_clock", sql="""
+SELECT o_orderkey AS order_id, CASE WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linestatus = 'F')
+  THEN 'paid' ELSE 'cancelled' END AS status FROM orders""")
+def stream_order_timeout_clock(t):
+    """I3 with processing-time timers: orders with a finished line item are
+    paid on arrival, the others are cancelled once a second later by the clock. The
+    query is stopped when half of the orders have come, and goes on from its
+    checkpoint."""
+    from rivulet.streaming.clock_timers import PAID, PLACED, run_by_clock, timeout_by_clock
+
+    S.prepare(t.spark)
+    placed = t.orders.select(F.col("o_orderkey").alias("order_id"), F.lit(PLACED).alias("kind"))
+    paid = t.lineitem.where(F.col("l_linestatus") == "F").select(F.col("l_orderkey").alias("order_id"), F.lit(PAID).alias("kind"))
+    half = F.pmod(F.xxhash64("order_id"), F.lit(2)).cast("int")
+    rows = placed.unionByName(paid.distinct()).withColumn(S.SLICE, half)
+    return S.run_slices(rows, 2, lambda st: timeout_by_clock(st, "order_id", "kind", 1000), "stream-order-clock",
+                        run=lambda st, name, checkpoint, path: run_by_clock(st, name, 1000, checkpoint, path))
+
+
 def _etl_stream(t):
     from rivulet.plans import order_report as R
     from rivulet.plans.q_joins import ip_segments
@@ -223,13 +242,17 @@ JOIN closed ON closed.k = l.user_id AND closed.s = l.s
 WHERE l.event_type = 'view' AND r.event_type = 'purchase'""")
 def stream_window_join_session(t):
     """C9 on a stream: pairs of the sessions the watermark has closed."""
-    from rivulet.streaming.joins import session_join
+    from rivulet.streaming.session_join import session_pairs, session_tags
 
-    v, p = _views_purchases(t)
-    j = session_join(v.withColumnRenamed("l_id", "event_id"),
-                     p.select("user_id", F.col("r_ts").alias("ts"), F.col("r_id").alias("event_id")),
-                     "user_id", "ts", "event_id", 1800)
-    return S.run_append(j, "stream-join-session")
+    S.prepare(t.spark)
+    ev = t.events.where(F.col("event_type").isin("view", "purchase")).select(
+        "event_id", "user_id", "ts", (F.col("event_type") == "view").alias("is_left"))
+
+    def build(st):
+        return session_tags(S.event_time(st).withWatermark("ts", "0 seconds"), "user_id", "ts", "event_id", "is_left", 1800)
+
+    tags = S.run_in_time_order(ev, "ts", build, "stream-join-session", min_batches=2)
+    return session_pairs(tags).withColumnRenamed("key", "user_id")
 
 
 @query("stream_window_cogroup_left", sql="""

@@ -34,16 +34,3 @@ def sessions(stream: DataFrame, keys: list[str], ts: str, gap_seconds: int) -> D
     one = F.make_dt_interval(secs=F.lit(0.000001))
     return g.select(*keys, F.col("w.start").cast("timestamp_ntz").alias("session_start"),
                     (F.col("w.end") - one).cast("timestamp_ntz").alias("session_end"), "n")
-
-
-def session_join(left: DataFrame, right: DataFrame, key: str, ts: str, id_col: str, gap_seconds: int) -> DataFrame:
-    """Session-window join of two streams with the columns key, ts, id_col:
-    sessions are built from both together; when a session closes, every left
-    id is paired with every right id of it (key, l_id, r_id). A session's ids
-    are kept as state until then."""
-    both = left.select(key, ts, id_col, F.lit(True).alias("is_left")).unionByName(
-        right.select(key, ts, id_col, F.lit(False).alias("is_left")))
-    ids = [F.collect_list(F.when(F.col("is_left") == side, F.col(id_col))).alias(name)
-           for side, name in ((True, "ls"), (False, "rs"))]
-    g = both.groupBy(key, session_gap(ts, gap_seconds).alias("w")).agg(*ids)
-    return g.select(key, F.explode("ls").alias("l_id"), "rs").select(key, "l_id", F.explode("rs").alias("r_id"))

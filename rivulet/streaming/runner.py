@@ -72,9 +72,10 @@ def run_in_time_order(rows: DataFrame, ts_col: str, build: Callable[[DataFrame],
 SLICE = "__slice"
 
 
-def run_slices(rows: DataFrame, n: int, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """Run the append-mode query `build` over rows that arrive in `n` slices
-    (column SLICE, from 0). The rows are written once; the files of a slice
+def run_slices(rows: DataFrame, n: int, build: Callable[[DataFrame], DataFrame], name: str,
+               run: Callable[..., DataFrame] | None = None) -> DataFrame:
+    """Run the append-mode query `build` with `run` (by default `run_append`)
+    over rows that arrive in `n` slices (column SLICE, from 0). The rows are written once; the files of a slice
     are moved to the source folder, and the query runs to the end of what has
     arrived and stops before the next slice, which goes on from its checkpoint."""
     spark = rows.sparkSession
@@ -89,7 +90,7 @@ def run_slices(rows: DataFrame, n: int, build: Callable[[DataFrame], DataFrame],
         if fs.exists(arrived) and not fs.rename(arrived, path(f"{source}/slice-{i}")):
             raise RuntimeError(f"slice {i} of {staged} could not be moved to {source}")
         st = spark.readStream.schema(like.schema).option("recursiveFileLookup", "true").parquet(source)
-        result = run_append(build(st), name, checkpoint=ck, path=out)
+        result = (run or run_append)(build(st), name, checkpoint=ck, path=out)
     return result
 
 
