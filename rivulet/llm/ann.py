@@ -183,7 +183,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
             yield _cells(np.array(slab, np.int64), 1, b.column("id").take(at), b.column("vec").take(at), seen)
 
     schema = "slab long, side int, id long, vec array<double>, leaves array<long>"
-    cells = indexed.mapInArrow(store, schema).unionByName(queries.mapInArrow(visit, schema))
+    spread = queries.repartition(partitions(vectors), "id")  # few bytes, but a search each: not for one task
+    cells = indexed.mapInArrow(store, schema).unionByName(spread.mapInArrow(visit, schema))
     cells = cells.repartitionById(n_slabs, F.col("slab").cast("int")).sortWithinPartitions("slab", "side")
     near = cells.mapInArrow(_scan_slabs(dim, k), "query_id long, vec_id long, score double")
     best = near.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("score", "vec_id"))).alias("all"))
