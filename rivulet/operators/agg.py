@@ -22,6 +22,9 @@ def min_by_row(df: DataFrame, keys: Sequence[str], by: str, tie: Sequence[str],
     return g.select(*keys, *[F.col(f"_m.{c}").alias(c) for c in fields])
 
 
+KEYS_HELD = 100_000
+
+
 class Aggregator:
     """An incremental aggregate function. Subclasses implement `zero`,
     `add(acc, pdf)` (fold a pandas batch of one group into the accumulator),
@@ -44,8 +47,10 @@ def incremental_aggregate(df: DataFrame, keys: Sequence[str], agg: Aggregator,
                           columns: Sequence[str], out: str, out_type: str) -> DataFrame:
     """Evaluate `agg` per key like a built-in aggregate: each input
     partition folds its rows into one accumulator per key (`mapInPandas`),
-    then the partial accumulators of a key — at most one per partition —
-    are merged (`applyInPandas`). No group is ever buffered whole."""
+    then the partial accumulators of a key are merged (`applyInPandas`): one per
+    partition, or one for every KEYS_HELD keys of a partition with more, as a
+    task passes its accumulators on when it holds that many. No group is ever
+    buffered whole."""
     import pandas as pd
 
     keys, columns = list(keys), list(columns)
@@ -58,8 +63,13 @@ def incremental_aggregate(df: DataFrame, keys: Sequence[str], agg: Aggregator,
             for k, g in (pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]):
                 k = k if isinstance(k, tuple) else (k,)
                 accs[k] = agg.add(accs.get(k, agg.zero()), g[columns])
-        rows = [(*k, pickle.dumps(a)) for k, a in accs.items()]
-        yield pd.DataFrame(rows, columns=[*keys, "_acc"])
+            if len(accs) >= KEYS_HELD:
+                yield packed(accs)
+                accs = {}
+        yield packed(accs)
+
+    def packed(accs):
+        return pd.DataFrame([(*k, pickle.dumps(a)) for k, a in accs.items()], columns=[*keys, "_acc"])
 
     key_types = ", ".join(f"`{k}` {t}" for k, t in df.select(*keys).dtypes)
     schema_p = f"{key_types}, _acc binary" if keys else "_acc binary"

@@ -61,3 +61,19 @@ def test_incremental_aggregate_global(spark):
     df = spark.range(0, 500, 1, 5).select((F.col("id") * 25).alias("v"))
     got = A.incremental_aggregate(df, [], A.UnscaledSum("v"), ["v"], "s", "decimal(28,2)").collect()
     assert len(got) == 1 and str(got[0]["s"]) == "31187.50"
+
+
+def test_incremental_aggregate_passes_accumulators_on(spark, monkeypatch):
+    """More keys in a partition than a task holds, a key in every batch, null keys."""
+    monkeypatch.setattr(A, "KEYS_HELD", 50)
+    df = spark.range(0, 4000, 1, 2).select(
+        F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 4 < 3, F.col("id") % 900).alias("k"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = rows(A.incremental_aggregate(df, ["k"], A.UnscaledSum("v", 0), ["v"], "s", "decimal(28,0)").where("k IS NOT NULL"))
+        null = A.incremental_aggregate(df, ["k"], A.UnscaledSum("v", 0), ["v"], "s", "decimal(28,0)").where("k IS NULL").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    exp = df.groupBy("k").agg(F.sum("v").cast("decimal(28,0)").alias("s"))
+    assert got == rows(exp.where("k IS NOT NULL"))
+    assert [r.s for r in null] == [r.s for r in exp.where("k IS NULL").collect()]
