@@ -10,14 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from rivulet.streaming.buckets import BUCKETS, dealt, named, numbered
 
-def _in_order(rows, columns: list[str], order: list[str]) -> dict:
-    """Arrays of the columns of a key's rows of a micro-batch, in `order`. Only
-    these columns are kept of the batches that arrive."""
+
+def _gathered(rows, columns: list[str]) -> dict:
+    """Arrays of the columns of a bucket's rows of a micro-batch. Only these
+    columns are kept of the batches that arrive."""
     import numpy as np
 
     parts = [[pdf[c].to_numpy() for c in columns] for pdf in rows]
-    cols = {c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(columns)}
+    return {c: np.concatenate([p[i] for p in parts]) for i, c in enumerate(columns)}
+
+
+def _in_order(rows, columns: list[str], order: list[str]) -> dict:
+    """`_gathered` rows of a key or bucket, in `order`."""
+    import numpy as np
+
+    cols = _gathered(rows, columns)
     by = np.lexsort([cols[c] for c in reversed(order)])
     return {c: v[by] for c, v in cols.items()}
 
@@ -109,87 +118,105 @@ def keyed_running_max(stream: DataFrame, key_col: str, id_col: str, ts_col: str,
 
 
 class OrderTimeout(StatefulProcessor):
-    """Per user: open orders wait in ListState (order_id, ts_us). A payment
-    pays every open order placed before it within the timeout; one
-    event-time timer per user, at the earliest open deadline, cancels the
-    orders whose deadline has passed. Each call reads and writes the state
-    once and works on whole pandas batches. Emits (order_id, status)."""
-
-    def __init__(self, timeout_us: int, id_col: str, ts_col: str, kind_col: str,
-                 open_kind: str, paid_kind: str):
-        self.timeout_us = timeout_us
-        self.id_col, self.ts_col, self.kind_col = id_col, ts_col, kind_col
+    """Per bucket of users: the open orders wait in ValueState (arrays of user,
+    order id and time). A payment pays every open order of its user placed before
+    it within the timeout; one event-time timer per bucket, at the earliest open
+    deadline, cancels the orders whose deadline has passed. Each call reads and
+    writes the state once and works on whole arrays. Orders without a user are
+    never paid. Emits (order_id, status)."""
+
+    def __init__(self, timeout_us: int, key_kind: str, open_kind: str, paid_kind: str):
+        self.timeout_us, self.key_kind = timeout_us, key_kind
         self.open_kind, self.paid_kind = open_kind, paid_kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "order_id LONG, ts_us LONG")
+        self.open = handle.getValueState("open", f"key ARRAY<{self.key_kind}>, order_id ARRAY<LONG>, ts_us ARRAY<LONG>")
         self.timer = handle.getValueState("timer", "ms LONG")
 
     def _deadline_ms(self, ts_us):
         return -(-(ts_us + self.timeout_us) // 1000)  # ceil to milliseconds
 
-    def _load(self) -> pd.DataFrame:
-        rows = list(self.open.get()) if self.open.exists() else []
-        return pd.DataFrame([tuple(r) for r in rows], columns=["order_id", "ts_us"], dtype="int64")
+    def _load(self) -> tuple:
+        """Keys (object), order ids and times of the open orders."""
+        import numpy as np
+
+        keys, ids, ts = self.open.get() if self.open.exists() else ([], [], [])
+        return named(keys, slice(None)), np.asarray(ids, np.int64), np.asarray(ts, np.int64)
 
-    def _store(self, opens: pd.DataFrame) -> None:
+    def _store(self, keys, ids, ts) -> None:
         old = self.timer.get()[0] if self.timer.exists() else None
-        if len(opens) == 0:
+        if len(ids) == 0:
             self.open.clear()
             if old is not None:
                 self.handle.deleteTimer(old)
                 self.timer.clear()
             return
-        self.open.put([(int(a), int(b)) for a, b in zip(opens["order_id"], opens["ts_us"])])
-        nxt = int(self._deadline_ms(int(opens["ts_us"].min())))
+        self.open.update((keys.tolist(), ids.tolist(), ts.tolist()))
+        nxt = int(self._deadline_ms(int(ts.min())))
         if nxt != old:
             if old is not None:
                 self.handle.deleteTimer(old)
             self.handle.registerTimer(nxt)
             self.timer.update((nxt,))
 
+    def _paid(self, owner, ts, payer, pays):
+        """Which orders have a payment of their owner strictly after them and
+        within the timeout. Owners are numbers."""
+        import numpy as np
+
+        times, rank = np.unique(np.concatenate([ts, pays]), return_inverse=True)
+        pay = payer * len(times) + rank[len(ts):]
+        by = np.argsort(pay)
+        pay, payer, pays = pay[by], payer[by], pays[by]
+        idx = np.searchsorted(pay, owner * len(times) + rank[:len(ts)], side="right")
+        at = np.minimum(idx, len(pay) - 1)
+        return (idx < len(pay)) & (payer[at] == owner) & (pays[at] <= ts + self.timeout_us)
+
     def handleInputRows(self, key, rows, timerValues):
         import numpy as np
 
-        pdf = pd.concat(list(rows), ignore_index=True)
-        kinds = pdf[self.kind_col]
-        new = pdf.loc[kinds == self.open_kind, [self.id_col, self.ts_col]]
-        new.columns = ["order_id", "ts_us"]
-        opens = pd.concat([self._load(), new.astype("int64")], ignore_index=True)
-        pays = np.sort(pdf.loc[kinds == self.paid_kind, self.ts_col].to_numpy(dtype="int64"))
-        if len(pays) and len(opens):
-            ts = opens["ts_us"].to_numpy()
-            idx = np.searchsorted(pays, ts, side="right")   # first payment strictly after
-            nxt = np.where(idx < len(pays), pays[np.minimum(idx, len(pays) - 1)], np.iinfo("int64").max)
-            paid = nxt <= ts + self.timeout_us
+        cols = _gathered(rows, ["key", "keyed", "kind", "order_id", "at"])
+        held, ids, ts = self._load()
+        new, pay = (cols["kind"] == k for k in (self.open_kind, self.paid_kind))
+        pay &= cols["keyed"].astype(bool)
+        codes, keys = numbered(list(dict.fromkeys(held)), cols["key"], cols["keyed"])
+        number = {k: i for i, k in enumerate(keys)}
+        owner = np.concatenate([np.fromiter((number[k] for k in held), np.int64, len(held)), codes[new]])
+        ids = np.concatenate([ids, cols["order_id"][new].astype(np.int64)])
+        ts = np.concatenate([ts, cols["at"][new].astype(np.int64)])
+        if pay.any() and len(ids):
+            paid = self._paid(owner, ts, codes[pay], cols["at"][pay].astype(np.int64))
         else:
-            paid = np.zeros(len(opens), dtype=bool)
-        self._store(opens[~paid])
+            paid = np.zeros(len(ids), dtype=bool)
+        self._store(named(keys, owner[~paid]), ids[~paid], ts[~paid])
         if paid.any():
-            yield pd.DataFrame({"order_id": opens.loc[paid, "order_id"].to_numpy(), "status": "paid"})
+            yield pd.DataFrame({"order_id": ids[paid], "status": "paid"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         # every order whose deadline the watermark has passed is due, not
         # only the one this timer was set for
         fire = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         self.timer.clear()
-        opens = self._load()
-        due = self._deadline_ms(opens["ts_us"]) <= fire
-        self._store(opens[~due])
+        keys, ids, ts = self._load()
+        due = self._deadline_ms(ts) <= fire
+        self._store(keys[~due], ids[~due], ts[~due])
         if due.any():
-            yield pd.DataFrame({"order_id": opens.loc[due, "order_id"].to_numpy(), "status": "cancelled"})
+            yield pd.DataFrame({"order_id": ids[due], "status": "cancelled"})
 
     def close(self) -> None:
         pass
 
 
 def order_timeout(stream: DataFrame, key_col: str, id_col: str, ts_col: str, kind_col: str,
-                  timeout_seconds: int, open_kind: str, paid_kind: str) -> DataFrame:
+                  timeout_seconds: int, open_kind: str, paid_kind: str, buckets: int = BUCKETS) -> DataFrame:
     """Event-time timers: `ts_col` holds epoch microseconds; the stream
-    needs a watermark on its event-time column."""
-    proc = OrderTimeout(timeout_seconds * 1_000_000, id_col, ts_col, kind_col, open_kind, paid_kind)
-    return stream.groupBy(key_col).transformWithStateInPandas(
+    needs a watermark on its event-time column. Rows without a time are left out."""
+    proc = OrderTimeout(timeout_seconds * 1_000_000, dict(stream.dtypes)[key_col], open_kind, paid_kind)
+    rows = dealt(stream.where(F.col(ts_col).isNotNull()), key_col, buckets, F.col(id_col).cast("long").alias("order_id"),
+                 F.col(ts_col).alias("at"), F.col(kind_col).alias("kind"),
+                 *(F.col(c).alias(f"time{i}") for i, (c, kind) in enumerate(stream.dtypes) if kind == "timestamp"))
+    return rows.groupBy("bucket").transformWithStateInPandas(
         proc, "order_id bigint, status string", "Append", "EventTime")
 
 

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 import time
+from pyspark.sql import functions as F
 from conftest import SF_SMALL, rows
 from rivulet.streaming import runner as S
 from rivulet.streaming.clock_timers import run_by_clock, timeout_by_clock
@@ -94,3 +95,45 @@ def test_no_orders(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/in")
     st = spark.readStream.schema("id long, kind string").json(f"{tmp_dir}/in")
     assert rows(run_by_clock(timeout_by_clock(st, "id", "kind", 100), "none", 100, f"{tmp_dir}/ck", limit_s=60)) == []
+
+
+def _calls(monkeypatch, module, name):
+    """Counts in files the calls with rows of a module's processor in its tasks."""
+    import tempfile
+
+    folder = tempfile.mkdtemp()
+
+    class Counted(getattr(module, name)):  # a local class goes to the tasks by value
+        def handleInputRows(self, key, rows, timerValues):
+            tempfile.mkstemp(dir=folder)
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(module, name, Counted)
+    return lambda: len(os.listdir(folder))
+
+
+def test_order_timeouts_of_many_users_take_few_calls(spark, monkeypatch):
+    """Also users of large ids beside null ones, whose orders nothing pays."""
+    import random
+
+    from rivulet.streaming import stateful
+
+    calls, at, rng, big = _calls(monkeypatch, stateful, "OrderTimeout"), dt.datetime(2024, 1, 1), random.Random(4), 2 ** 60
+    data = [(i, rng.choice([None, *(big + k for k in range(300))]), at + dt.timedelta(milliseconds=rng.randrange(3_000_000)),
+             rng.choice(["view", "purchase"])) for i in range(4000)]
+    data += [(9000, 1, at + dt.timedelta(seconds=3100), "purchase"), (9001, 2, None, "view")]
+    ev = spark.createDataFrame(data, "id long, user long, ts timestamp_ntz, kind string").repartition(3)
+    S.prepare(spark)
+    out = S.run_in_time_order(ev, "ts", lambda st: stateful.order_timeout(
+        S.event_time(st).withColumn("us", F.unix_micros("ts")).withWatermark("ts", "0 seconds"),
+        "user", "id", "us", "kind", 300, "view", "purchase", buckets=4), "timeouts", min_batches=4)
+    want = []
+    for i, user, ts, kind in data:
+        if kind == "view" and ts:
+            until = ts + dt.timedelta(seconds=300)
+            if any(u is not None and u == user and k == "purchase" and ts < t <= until for _, u, t, k in data if t):
+                want.append((i, "paid"))
+            elif until <= at + dt.timedelta(seconds=3100):
+                want.append((i, "cancelled"))
+    assert rows(out) == sorted(want)
+    assert 0 < calls() <= 4 * 5
