@@ -1,6 +1,7 @@
 """Session-window join on streams: rows are tagged with their session as they
 come, and tagged rows are paired by a join. The state of a key is two times, so
-that a session of any length is never held in one place."""
+that a session of any length is never held in one place; the keys of a bucket
+are handled at once."""
 
 from __future__ import annotations
 
@@ -9,25 +10,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from rivulet.streaming.buckets import BUCKETS, dealt, named, numbered
 from rivulet.streaming.stateful import _in_order
 
+
 class SessionTags(StatefulProcessor):
-    """ValueState (first, last) of the key's open session, in epoch
-    microseconds. Every row comes out with the first time of its session; a
-    session that ends comes out once more without a row (is_left null): when
-    a later row of the key is further than the gap away, or by a timer when the
-    watermark is."""
+    """Per bucket of keys: ValueState (key, first, last) of the open sessions, as
+    arrays, in epoch microseconds. Every row comes out with the first time of its
+    session; a session that ends comes out once more without a row (is_left
+    null): when a later row of its key is further than the gap away, or by the
+    bucket's timer, at the earliest end of an open session, when the watermark
+    is."""
 
     COLUMNS = ["key", "session", "is_left", "id"]
 
-    def __init__(self, gap_us: int):
-        self.gap = gap_us
+    def __init__(self, gap_us: int, key_kind: str):
+        self.gap, self.key_kind = gap_us, key_kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getValueState("open", "first LONG, last LONG")
+        self.open = handle.getValueState("open", f"key ARRAY<{self.key_kind}>, first ARRAY<LONG>, last ARRAY<LONG>")
+        self.timer = handle.getValueState("timer", "ms LONG")
 
-    def _timer(self, last: int) -> int:
+    def _ends(self, last):
         """The first millisecond that is further than the gap from `last`."""
         return (last + self.gap) // 1000 + 1
 
@@ -35,35 +40,71 @@ class SessionTags(StatefulProcessor):
         out = pd.DataFrame({"key": key, "session": session, "is_left": is_left, "id": ids}, columns=self.COLUMNS)
         return out.astype({"session": "int64", "is_left": "boolean", "id": "Int64"})
 
+    def _load(self) -> tuple:
+        import numpy as np
+
+        keys, first, last = self.open.get() if self.open.exists() else ([], [], [])
+        return list(keys), np.asarray(first, np.int64), np.asarray(last, np.int64)
+
+    def _store(self, keys: list, first, last) -> None:
+        old = self.timer.get()[0] if self.timer.exists() else None
+        nxt = int(self._ends(int(last.min()))) if len(keys) else None
+        if old is not None and old != nxt:
+            self.handle.deleteTimer(old)
+        if nxt is None:
+            self.open.clear()
+            self.timer.clear()
+            return
+        self.open.update((keys, first.tolist(), last.tolist()))
+        if old != nxt:
+            self.handle.registerTimer(nxt)
+            self.timer.update((nxt,))
+
     def handleInputRows(self, key, rows, timerValues):
         import numpy as np
 
-        cols = _in_order(rows, ["ts_us", "id", "is_left"], ["ts_us", "id"])
-        ts, known = cols["ts_us"], self.open.exists()
-        first, last = self.open.get() if known else (int(ts[0]), int(ts[0]))
-        until = np.maximum.accumulate(np.concatenate([[last], ts]))
-        starts = np.flatnonzero(ts - until[:-1] > self.gap)
-        firsts = np.concatenate([[first], ts[starts]])
-        session = firsts[np.searchsorted(starts, np.arange(len(ts)), side="right")]
-        yield self._frame(key[0], session, cols["is_left"], cols["id"])
-        if len(starts):
-            yield self._frame(key[0], firsts[:-1], None, None)
-        if known:
-            self.handle.deleteTimer(self._timer(last))
-        self.handle.registerTimer(self._timer(int(until[-1])))
-        self.open.update((int(firsts[-1]), int(until[-1])))
+        cols = _in_order(rows, ["key", "keyed", "ts_us", "id", "is_left"], ["ts_us", "id"])
+        held, first, last = self._load()
+        codes, keys = numbered(held, cols["key"], cols["keyed"])
+        by = np.argsort(codes, kind="stable")
+        codes, ts, ids, left = codes[by], cols["ts_us"][by], cols["id"][by], cols["is_left"][by]
+        head = np.concatenate([[True], codes[1:] != codes[:-1]])  # the first row of each key
+        at = np.flatnonzero(head)
+        came = codes[at]
+        # a new key's session begins with its first row
+        new = came >= len(held)
+        first, last = (np.concatenate([x, np.zeros(len(keys) - len(held), np.int64)]) for x in (first, last))
+        first[came[new]] = last[came[new]] = ts[at[new]]
+        until = np.maximum(last[codes], np.where(head, last[codes], np.roll(ts, 1)))  # before the row
+        starts = ts - until > self.gap
+        place = np.arange(len(ts))
+        start = np.maximum.accumulate(np.where(starts, place, -1))
+        own = start >= at[np.cumsum(head) - 1]
+        session = np.where(own, ts[start], first[codes])
+        yield self._frame(named(keys, codes), session, left, ids)
+        if starts.any():
+            before = np.where(head, first[codes], np.roll(session, 1))
+            yield self._frame(named(keys, codes[starts]), before[starts], None, None)
+        end = np.concatenate([at[1:], [len(ts)]]) - 1
+        first[came], last[came] = session[end], np.maximum(last[came], ts[end])
+        self._store(keys, first, last)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.open.exists():
-            first, _ = self.open.get()
-            self.open.clear()
-            yield self._frame(key[0], [first], None, None)
+        # every session that the watermark has passed has ended, not only the one of this timer
+        fire = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        self.timer.clear()
+        keys, first, last = self._load()
+        ended = self._ends(last) <= fire
+        self._store([k for k, e in zip(keys, ended.tolist()) if not e], first[~ended], last[~ended])
+        if ended.any():
+            yield self._frame(named(keys, ended), first[ended], None, None)
 
     def close(self) -> None:
         pass
 
 
-def session_tags(stream: DataFrame, key: str, ts: str, id_col: str, is_left: str, gap_seconds: int) -> DataFrame:
+def session_tags(stream: DataFrame, key: str, ts: str, id_col: str, is_left: str, gap_seconds: int,
+                 buckets: int = BUCKETS) -> DataFrame:
     """(key, session, is_left, id) of the rows of a stream with a watermark on
     `ts`, and a row with null is_left and id for each session that has ended:
     sessions of a key whose rows are at most `gap_seconds` apart, named by their
@@ -71,11 +112,11 @@ def session_tags(stream: DataFrame, key: str, ts: str, id_col: str, is_left: str
     (`runner.run_in_time_order`), inside a micro-batch in any order; a row from
     before the open session counts to it. Rows with a null key or time are left
     out."""
-    rows = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
-        F.col(key).alias("key"), ts, F.unix_micros(ts).alias("ts_us"), F.col(id_col).cast("long").alias("id"),
-        F.col(is_left).alias("is_left"))
-    return rows.groupBy("key").transformWithStateInPandas(
-        SessionTags(gap_seconds * 1_000_000), f"key {dict(rows.dtypes)['key']}, session bigint, is_left boolean, id bigint",
+    kind = dict(stream.dtypes)[key]
+    rows = dealt(stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()), key, buckets, F.col(ts).alias("ts"),
+                 F.unix_micros(ts).alias("ts_us"), F.col(id_col).cast("long").alias("id"), F.col(is_left).alias("is_left"))
+    return rows.groupBy("bucket").transformWithStateInPandas(
+        SessionTags(gap_seconds * 1_000_000, kind), f"key {kind}, session bigint, is_left boolean, id bigint",
         "Append", "EventTime")
 
 

@@ -112,6 +112,35 @@ def _calls(monkeypatch, module, name):
     return lambda: len(os.listdir(folder))
 
 
+def test_sessions_of_many_keys_take_few_calls(spark, monkeypatch):
+    import random
+
+    from rivulet.streaming import session_join
+
+    calls, at, rng = _calls(monkeypatch, session_join, "SessionTags"), dt.datetime(2024, 1, 1), random.Random(3)
+    data = [(i, f"k{rng.randrange(400)}", at + dt.timedelta(milliseconds=rng.randrange(3_000_000)), rng.random() < 0.5) for i in range(4000)]
+    data += [(9000 + i, "last", at + dt.timedelta(seconds=3050 + i), True) for i in range(2)]
+    ev = spark.createDataFrame(data, "id long, user string, ts timestamp_ntz, is_left boolean").repartition(3)
+    S.prepare(spark)
+    tags = S.run_in_time_order(ev, "ts", lambda st: session_tags(
+        S.event_time(st).withWatermark("ts", "0 seconds"), "user", "ts", "id", "is_left", 200, buckets=4), "many", min_batches=4)
+    want, ended, now = {}, set(), max(r[2] for r in data)
+    for k in {r[1] for r in data}:
+        mine, last = sorted((r for r in data if r[1] == k), key=lambda r: r[2]), None
+        for r in mine:
+            if last is None or r[2] - last > dt.timedelta(seconds=200):
+                if last is not None:
+                    ended.add((k, first))
+                first = r[2]
+            want[r[0]], last = (k, first), r[2]
+        if now - last > dt.timedelta(seconds=200):
+            ended.add((k, first))
+    got = [(r.id, r.key, at + dt.timedelta(microseconds=r.session - 1_704_067_200_000_000)) for r in tags.collect()]
+    assert {i: (k, s) for i, k, s in got if i is not None} == want
+    assert sorted((k, s) for i, k, s in got if i is None) == sorted(ended)
+    assert 0 < calls() <= 4 * 4
+
+
 def test_order_timeouts_of_many_users_take_few_calls(spark, monkeypatch):
     """Also users of large ids beside null ones, whose orders nothing pays."""
     import random
