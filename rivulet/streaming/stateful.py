@@ -32,47 +32,71 @@ def _in_order(rows, columns: list[str], order: list[str]) -> dict:
 
 
 class KeyedCounter(StatefulProcessor):
-    """ValueState<Long> counter: emits (id, key, running count) per record,
-    records of a key taken in (ts, id) order within a micro-batch."""
+    """Per bucket of keys: ValueState (key, n) of the counts, as arrays. Emits
+    (id, key, running count) per record, records of a key taken in (ts, id)
+    order within a micro-batch."""
 
-    def __init__(self, key_col: str, id_col: str, ts_col: str):
-        self.key_col, self.id_col, self.ts_col = key_col, id_col, ts_col
+    def __init__(self, key_kind: str, id_col: str, key_col: str):
+        self.key_kind, self.id_col, self.key_col = key_kind, id_col, key_col
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n LONG")
+        self.count = handle.getValueState("count", f"key ARRAY<{self.key_kind}>, n ARRAY<LONG>")
+
+    def _added(self, codes, keys: list, by) -> tuple:
+        """The counts of the keys before and with rows of these keys that add `by` each."""
+        import numpy as np
+
+        before = np.zeros(len(keys), np.int64)
+        if self.count.exists():
+            n = self.count.get()[1]
+            before[:len(n)] = n
+        after = before.copy()
+        np.add.at(after, codes, by)
+        self.count.update((keys, after.tolist()))
+        return before, after
+
+    def _known(self) -> list:
+        return list(self.count.get()[0]) if self.count.exists() else []
 
     def handleInitialState(self, key, initialState, timerValues):
-        self.count.update((int(initialState["n"].sum()),))
+        codes, keys = numbered(self._known(), initialState["key"], initialState["keyed"])
+        self._added(codes, keys, initialState["n"].to_numpy())
 
     def handleInputRows(self, key, rows, timerValues):
         import numpy as np
 
-        n = self.count.get()[0] if self.count.exists() else 0
-        cols = _in_order(rows, [self.ts_col, self.id_col], [self.ts_col, self.id_col])
-        counts = n + np.arange(1, len(cols[self.id_col]) + 1)
-        self.count.update((int(counts[-1]),))
-        yield pd.DataFrame({self.id_col: cols[self.id_col], self.key_col: key[0], "running": counts})
+        cols = _in_order(rows, ["key", "keyed", "at", "id"], ["at", "id"])
+        codes, keys = numbered(self._known(), cols["key"], cols["keyed"])
+        before, _ = self._added(codes, keys, 1)
+        by = np.argsort(codes, kind="stable")
+        codes = codes[by]
+        place = np.arange(len(codes)) - np.searchsorted(codes, codes)  # among the rows of the key
+        yield pd.DataFrame({self.id_col: cols["id"][by], self.key_col: named(keys, codes), "running": before[codes] + place + 1})
 
     def close(self) -> None:
         pass
 
 
-def keyed_counter(stream: DataFrame, key_col: str, id_col: str, ts_col: str, initial: DataFrame | None = None) -> DataFrame:
+def keyed_counter(stream: DataFrame, key_col: str, id_col: str, ts_col: str, initial: DataFrame | None = None,
+                  buckets: int = BUCKETS) -> DataFrame:
     """The running number of every row among its key's. `initial` holds the
     counts (key, n) that a new query begins with, as `exported_counts` gives them."""
     types = dict(stream.dtypes)
     schema = f"{id_col} {types[id_col]}, {key_col} {types[key_col]}, running bigint"
-    return stream.groupBy(key_col).transformWithStateInPandas(
-        KeyedCounter(key_col, id_col, ts_col), schema, "Append", "None",
-        initialState=initial.select(key_col, "n").groupBy(key_col) if initial is not None else None)
+    rows = dealt(stream, key_col, buckets, F.col(ts_col).alias("at"), F.col(id_col).alias("id"))
+    return rows.groupBy("bucket").transformWithStateInPandas(
+        KeyedCounter(types[key_col], id_col, key_col), schema, "Append", "None",
+        initialState=dealt(initial, key_col, buckets, "n").groupBy("bucket") if initial is not None else None)
 
 
 def exported_counts(spark: SparkSession, checkpoint: str, key_col: str) -> DataFrame:
     """The counts (key, n) in the state of a stopped `keyed_counter` query, read
-    from its checkpoint. They do not depend on the number of partitions that
-    the query had, so that one with another number may begin with them."""
+    from its checkpoint. They do not depend on the number of partitions or
+    buckets that the query had, so that one with another number may begin with
+    them."""
     state = spark.read.format("statestore").option("stateVarName", "count").load(checkpoint)
-    return state.select(F.col("key").getField(key_col).alias(key_col), F.col("value.n").alias("n"))
+    state = state.select(F.explode(F.arrays_zip(F.col("value.key").alias("key"), F.col("value.n").alias("n"))).alias("c"))
+    return state.select(F.col("c.key").alias(key_col), F.col("c.n").alias("n"))
 
 
 class KeyedRunningMax(StatefulProcessor):

@@ -117,3 +117,39 @@ def test_side_outputs_of_a_replayed_batch(spark, tmp_dir):
         return sorted(r.id for r in read_tagged(spark, f"{tmp_dir}/out", schema, tag).collect())
 
     assert (got("big"), got("odd"), got("main"), got("none")) == ([6, 7], [1, 1, 3, 5], [0, 0, 2, 2, 4], [])
+
+
+def _many_keys(spark, monkeypatch, name):
+    """Rows of 300 large keys and a null one, and a count of the calls with rows of a processor."""
+    import os
+    import tempfile
+
+    from rivulet.streaming import stateful
+
+    folder = tempfile.mkdtemp()
+
+    class Counted(getattr(stateful, name)):  # a local class goes to the tasks by value
+        def handleInputRows(self, key, rows, timerValues):
+            tempfile.mkstemp(dir=folder)
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(stateful, name, Counted)
+    S.prepare(spark)
+    rng = random.Random(8)
+    data = [(i, rng.choice([None, *(2 ** 60 + k for k in range(300))]), rng.randrange(10 ** 6),
+             rng.choice([None, float("nan") if i > 2900 else 1.0, -float("inf"), rng.random() - 0.5])) for i in range(3000)]
+    df = spark.createDataFrame(data, "id long, k long, us long, v double").withColumn("ts", F.timestamp_micros("us"))
+    ordered = defaultdict(list)
+    for r in sorted(data, key=lambda r: (r[2] // 1000, r[2], r[0])):
+        ordered[r[1]].append(r)
+    return df, ordered, lambda: len(os.listdir(folder))
+
+
+def test_counts_of_many_keys_take_few_calls(spark, monkeypatch):
+    from rivulet.streaming.stateful import keyed_counter
+
+    df, ordered, calls = _many_keys(spark, monkeypatch, "KeyedCounter")
+    out = S.run_in_time_order(df, "ts", lambda st: keyed_counter(st, "k", "id", "ts", buckets=4), "counts", min_batches=3)
+    want = {(r[0], k, n) for k, rows in ordered.items() for n, r in enumerate(rows, 1)}
+    assert {tuple(r) for r in out.collect()} == want
+    assert 0 < calls() <= 3 * 5
