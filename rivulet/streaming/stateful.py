@@ -100,45 +100,58 @@ def exported_counts(spark: SparkSession, checkpoint: str, key_col: str) -> DataF
 
 
 class KeyedRunningMax(StatefulProcessor):
-    """ValueState running maximum per key (the keyed-state max demo): emits
-    (id, key, running max) per record in (ts, id) order. Values arrive with a
-    flag instead of nulls, so integers stay integers; a null value changes
-    nothing and repeats the maximum so far (null before any)."""
+    """Per bucket of keys: ValueState (key, max) of the maxima, as arrays (the
+    keyed-state max demo). Emits (id, key, running max) per record in (ts, id)
+    order. Values arrive with a flag instead of nulls, so integers stay
+    integers; a null value changes nothing and repeats the maximum so far (null
+    before any)."""
 
-    def __init__(self, key_col: str, id_col: str, ts_col: str, kind: str):
-        self.key_col, self.id_col, self.ts_col, self.kind = key_col, id_col, ts_col, kind
+    def __init__(self, key_kind: str, id_col: str, key_col: str, kind: str):
+        self.key_kind, self.id_col, self.key_col, self.kind = key_kind, id_col, key_col, kind
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("max", f"v {self.kind}")
+        self.best = handle.getValueState("max", f"key ARRAY<{self.key_kind}>, v ARRAY<{self.kind}>")
 
     def handleInputRows(self, key, rows, timerValues):
         import numpy as np
-
-        cols = _in_order(rows, [self.ts_col, self.id_col, "value_of", "given"], [self.ts_col, self.id_col])
-        v, given = cols["value_of"], cols["given"].astype(bool)
-        low = np.iinfo(v.dtype).min if v.dtype.kind == "i" else -np.inf
-        run = np.maximum.accumulate(np.where(given, v, low))
-        known = np.maximum.accumulate(given)
-        if self.best.exists():
-            run, known = np.maximum(run, self.best.get()[0]), np.ones(len(run), bool)
-        if known[-1]:
-            self.best.update((run[-1].item(),))
-        out = pd.Series(run, dtype="Int64" if v.dtype.kind == "i" else "Float64").where(pd.Series(known))
-        yield pd.DataFrame({self.id_col: cols[self.id_col], self.key_col: key[0], "running_max": out})
+        import pyarrow as pa
+
+        cols = _in_order(rows, ["key", "keyed", "at", "id", "value_of", "given"], ["at", "id"])
+        held, best = self.best.get() if self.best.exists() else ([], [])
+        codes, keys = numbered(list(held), cols["key"], cols["keyed"])
+        v = cols["value_of"]
+        # the maximum so far comes before the rows of its key, ranks take the place of values: NaN is the
+        # largest, 0 stands for none, and the ranks of a later key are all larger
+        found, rank = np.unique(np.concatenate([np.asarray(best, v.dtype), v]), return_inverse=True)
+        rank = np.where(np.concatenate([np.ones(len(best), bool), cols["given"].astype(bool)]), rank + 1, 0)
+        codes = np.concatenate([np.arange(len(best)), codes])
+        by = np.argsort(codes, kind="stable")
+        codes = codes[by]
+        base = codes * (len(found) + 1)
+        run = np.maximum.accumulate(base + rank[by]) - base
+        last = np.flatnonzero(np.concatenate([codes[1:] != codes[:-1], [True]]))
+        last = last[run[last] > 0]
+        if len(last):
+            self.best.update((named(keys, codes[last]).tolist(), found[run[last] - 1].tolist()))
+        row = by >= len(best)
+        run, of = run[row], by[row] - len(best)
+        out = pd.arrays.ArrowExtensionArray(pa.array(found[np.maximum(run, 1) - 1], mask=run == 0, from_pandas=False))
+        yield pd.DataFrame({self.id_col: cols["id"][of], self.key_col: named(keys, codes[row]), "running_max": out})
 
     def close(self) -> None:
         pass
 
 
-def keyed_running_max(stream: DataFrame, key_col: str, id_col: str, ts_col: str, value_col: str) -> DataFrame:
+def keyed_running_max(stream: DataFrame, key_col: str, id_col: str, ts_col: str, value_col: str,
+                      buckets: int = BUCKETS) -> DataFrame:
     """Running maximum of a bigint or double column; the result has its type."""
     types = dict(stream.dtypes)
     kind = types[value_col]
-    rows = stream.select(key_col, id_col, ts_col, F.coalesce(F.col(value_col), F.lit(0).cast(kind)).alias("value_of"),
-                         F.col(value_col).isNotNull().alias("given"))
+    rows = dealt(stream, key_col, buckets, F.col(ts_col).alias("at"), F.col(id_col).alias("id"),
+                 F.coalesce(F.col(value_col), F.lit(0).cast(kind)).alias("value_of"), F.col(value_col).isNotNull().alias("given"))
     schema = f"{id_col} {types[id_col]}, {key_col} {types[key_col]}, running_max {kind}"
-    return rows.groupBy(key_col).transformWithStateInPandas(
-        KeyedRunningMax(key_col, id_col, ts_col, "LONG" if kind == "bigint" else "DOUBLE"), schema, "Append", "None")
+    return rows.groupBy("bucket").transformWithStateInPandas(
+        KeyedRunningMax(types[key_col], id_col, key_col, "LONG" if kind == "bigint" else "DOUBLE"), schema, "Append", "None")
 
 
 class OrderTimeout(StatefulProcessor):

@@ -153,3 +153,23 @@ def test_counts_of_many_keys_take_few_calls(spark, monkeypatch):
     want = {(r[0], k, n) for k, rows in ordered.items() for n, r in enumerate(rows, 1)}
     assert {tuple(r) for r in out.collect()} == want
     assert 0 < calls() <= 3 * 5
+
+
+def test_maxima_of_many_keys_take_few_calls(spark, monkeypatch):
+    """Null values, and NaN, which is larger than all others."""
+    from rivulet.streaming.stateful import keyed_running_max
+
+    df, ordered, calls = _many_keys(spark, monkeypatch, "KeyedRunningMax")
+    for kind in ("double", "bigint"):
+        rows = df.withColumn("v", F.col("v") if kind == "double" else F.col("id") - 2 ** 60)
+        out = S.run_in_time_order(rows, "ts", lambda st: keyed_running_max(st, "k", "id", "ts", "v", buckets=4), "maxima", min_batches=3)
+        want = set()
+        for k, mine in ordered.items():
+            best = None
+            for r in mine:
+                v = r[3] if kind == "double" else r[0] - 2 ** 60
+                if v is not None and (best is None or v > best or v != v):
+                    best = v if best is None or best == best else best
+                want.add((r[0], k, str(best)))
+        assert {(r.id, r.k, str(r.running_max)) for r in out.collect()} == want
+    assert 0 < calls() <= 2 * 3 * 5
